@@ -341,6 +341,15 @@ def first_with_status(status: str) -> Column:
     return rank_name(_per_po(F.min(F.when(F.col("ADHERENCE_STATUS") == F.lit(status), r))))
 
 
+def first_status_by_po(ms: DataFrame, status: str, alias: str) -> DataFrame:
+    """Per PO: name of the lowest-rank milestone with ``status`` (K2 report).
+
+    An aggregate (map-side partial MIN), one row per PO.
+    """
+    r = F.min(F.when(F.col("ADHERENCE_STATUS") == F.lit(status), F.col("MILESTONE_RANK")))
+    return ms.groupBy(F.col("TC_PURCHASE_ORDERS_ID").alias("ORDER_NO")).agg(rank_name(r).alias(alias))
+
+
 def active_flag() -> Column:
     """ACTIVE for the PO's highest-rank milestone, else INACTIVE (K3).
 

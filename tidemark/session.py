@@ -31,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.master(master)
     conf = dict(JOB_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
