@@ -15,6 +15,7 @@ handled here rather than at each call site:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,6 +29,10 @@ def _spread_buckets(df: DataFrame) -> int:
         return 200
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
               spread_null_keys: bool = True, drop_right_keys: bool = True) -> DataFrame:
     """LEFT JOIN ``right`` on pairs ``(left_col, right_col)`` of equal keys.
@@ -35,35 +40,27 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     Right key columns are dropped (they equal the left keys or are NULL)
     unless ``drop_right_keys`` is False.  Other column names must not clash.
     Key columns are matched by name, so the same frame may be joined twice.
+    Built from a handful of name-based calls: plan construction stays cheap
+    however wide the frames are.
     """
-    rk_tmp = [f"__rk{i}" for i in range(len(on))]
-    right = right.select(*[F.col(c).alias(rk_tmp[[r for _, r in on].index(c)])
-                           if c in [r for _, r in on] else F.col(c) for c in right.columns])
-    cond = None
-    for (lk, _), tk in zip(on, rk_tmp):
-        c = F.col(lk) == F.col(tk)
-        cond = c if cond is None else cond & c
+    tmp = {rk: f"__rk{i}" for i, (_, rk) in enumerate(on)}
+    right = right.withColumnsRenamed(tmp)
+    conds = [F.col(lk) == F.col(tmp[rk]) for lk, rk in on]
     if spread_null_keys:
-        any_null = None
-        for lk, _ in on:
-            c = F.col(lk).isNull()
-            any_null = c if any_null is None else any_null | c
+        any_null = " OR ".join(f"{_q(lk)} IS NULL" for lk, _ in on)
+        row_hash = "xxhash64(" + ", ".join(_q(c) for c in left.columns) + ")"
         n = _spread_buckets(left)
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n))
-        left = left.withColumn("__ls", F.when(any_null, spread).otherwise(F.lit(0)).cast("int"))
+        left = left.withColumn("__ls", F.expr(
+            f"CAST(CASE WHEN {any_null} THEN pmod({row_hash}, {n}) ELSE 0 END AS INT)"))
         # A column, not a literal, so the optimizer keeps it as a join key.
-        right = right.withColumn("__rs", F.when(F.col(rk_tmp[0]).isNull(), F.lit(-1))
-                                 .otherwise(F.lit(0)).cast("int"))
-        cond = cond & (F.col("__ls") == F.col("__rs"))
-    out = left.join(right, cond, "left")
-    if spread_null_keys:
-        out = out.drop("__ls", "__rs")
+        right = right.withColumn("__rs", F.expr(
+            f"CAST(CASE WHEN {_q(tmp[on[0][1]])} IS NULL THEN -1 ELSE 0 END AS INT)"))
+        conds.append(F.col("__ls") == F.col("__rs"))
+    out = left.join(right, reduce(lambda a, b: a & b, conds), "left")
+    drop = ["__ls", "__rs"] if spread_null_keys else []
     if drop_right_keys:
-        out = out.drop(*rk_tmp)
-    else:
-        for (_, rk), tk in zip(on, rk_tmp):
-            out = out.withColumnRenamed(tk, rk)
-    return out
+        return out.drop(*drop, *tmp.values())
+    return out.drop(*drop).withColumnsRenamed({v: k for k, v in tmp.items()})
 
 
 def exists_flag(left: DataFrame, keys: DataFrame, left_key: str, right_key: str,

@@ -287,16 +287,58 @@ def milestones(m: DataFrame, thresholds: DataFrame, as_of=None,
 
     Output columns: ``MILESTONE_COLUMNS``.  ``only`` limits the rules (used
     to show a single milestone branch).
+
+    The per-rule values are computed in stacked projections -- expected and
+    actual first, then the day difference, then delay, then revised ETA --
+    so each is evaluated once per row (a generator gets no common
+    subexpression elimination, and the delay repeats the expected/actual
+    expressions several times).  The ``inline`` then only references
+    columns, and the Generate/Filter pair stays in whole-stage codegen.
     """
     ts_type = _ts_type(m)
     clock = _clock(as_of, ts_type)
     x = with_thresholds(m, thresholds)
     chosen = [r for r in rules(clock) if only is None or r.name in only]
-    structs = [F.struct(*[v.alias(k) for k, v in _rule_values(r, ts_type).items()]) for r in chosen]
-    reached = F.filter(F.array(*structs), lambda s: non_blank(s["MILESTONE"]))
-    x = x.select(F.col("TC_PURCHASE_ORDERS_ID"), shipment_key().alias("TC_SHIPMENT_ID"),
-                 F.col("PO_TYPE"), F.inline(reached))
-    return x.select(*MILESTONE_COLUMNS).dropDuplicates()
+    base = [F.col("TC_PURCHASE_ORDERS_ID"), shipment_key().alias("TC_SHIPMENT_ID"), F.col("PO_TYPE"),
+            F.col("DELIV_DATE"), F.col("DELIV_END_DATE")]
+    step1 = []
+    for r in chosen:
+        k = r.rank
+        step1 += [_by_type(r.expected).cast(ts_type).alias(f"__e{k}"),
+                  _by_type(r.actual).cast(ts_type).alias(f"__a{k}"),
+                  _by_type(r.next).cast(ts_type).alias(f"__n{k}"),
+                  _first_match(r.reached, lambda _c, n=r.name: n).cast("string").alias(f"__m{k}"),
+                  _first_match(r.status, lambda c: c[2]).cast("string").alias(f"__s{k}")]
+    x = x.select(*base, *step1)
+    x = x.withColumns({f"__d{r.rank}": days_between(F.col(f"__e{r.rank}"), F.col(f"__a{r.rank}"))
+                       for r in chosen if r.has_delay})
+    delay = {}
+    for r in chosen:
+        d = F.col(f"__d{r.rank}")
+        delay[f"__l{r.rank}"] = (F.when(d > 0, d).when(d <= 0, F.lit(0).cast("bigint"))
+                                 if r.has_delay else F.lit(None).cast("bigint"))
+    x = x.withColumns(delay)
+    t = _po_type()
+    revised = {}
+    for r in chosen:
+        k = r.rank
+        if r.has_delay:
+            rv = (F.when(t.isin(C, I), add_days(F.col(f"__l{k}"), F.col("DELIV_DATE")))
+                  .when(t == F.lit(P), add_days(F.col(f"__l{k}"), F.col("DELIV_END_DATE"))))
+        else:
+            rv = F.when(t.isin(C, I), F.col("DELIV_DATE")).when(t == F.lit(P), F.col("DELIV_END_DATE"))
+        revised[f"__r{k}"] = rv.cast(ts_type)
+    x = x.withColumns(revised)
+    structs = [F.struct(F.col(f"__e{r.rank}").alias("EXPECTED_ETA_FOR_MILESTONE"),
+                        F.col(f"__a{r.rank}").alias("ACTUAL_ETA_FOR_MILESTONE"),
+                        F.col(f"__n{r.rank}").alias("NEXT_MILESTONE_EXPECTED_ETA"),
+                        F.col(f"__l{r.rank}").alias("CURRENT_DELAY_IN_DAYS"),
+                        F.col(f"__r{r.rank}").alias("REVISED_ETA_FOR_PO"),
+                        F.lit(r.rank).cast("int").alias("MILESTONE_RANK"),
+                        F.col(f"__m{r.rank}").alias("MILESTONE"),
+                        F.col(f"__s{r.rank}").alias("ADHERENCE_STATUS")) for r in chosen]
+    x = x.select("TC_PURCHASE_ORDERS_ID", "TC_SHIPMENT_ID", "PO_TYPE", F.inline(F.array(*structs)))
+    return x.where(non_blank("MILESTONE")).select(*MILESTONE_COLUMNS).dropDuplicates()
 
 
 def milestone_branch(m: DataFrame, thresholds: DataFrame, name: str, as_of=None) -> DataFrame:

@@ -15,6 +15,11 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The milestone stage fuses a broadcast join, seven rule projections, a
+    # generator and an aggregate into one generated method; above 8000 bytes
+    # of bytecode the JVM does not JIT-compile a method and it runs
+    # interpreted.  At this limit Spark splits such stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -32,6 +37,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf = dict(JOB_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM; the 1g default
+        # starves the shuffle and aggregation buffers.
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
