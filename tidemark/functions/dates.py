@@ -10,7 +10,10 @@ from pyspark.sql import Column, functions as F
 
 
 def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(x)
+    """Columns pass through, strings name columns, anything else is a literal."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(x)
 
 
 def add_days(n, ts) -> Column:
