@@ -90,7 +90,7 @@ def test_incremental_extract_open_closed(spark):
 def test_control_and_options(spark):
     rows = active_sources(example_control(spark)).collect()
     assert [r.sourceName for r in rows] == ["events", "lineitem", "orders"]
-    assert resolve_options({"sfSchema": "<Schema>_X", "k": 1}, "tpch") == {"sfSchema": "tpch_X", "k": 1}
+    assert resolve_options({"schema": "<Schema>_X", "k": 1}, "tpch") == {"schema": "tpch_X", "k": 1}
 
 
 def test_audit_column(spark):
