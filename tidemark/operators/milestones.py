@@ -371,8 +371,9 @@ def rank_name(rank: Column) -> Column:
 
 
 def _per_po(agg: Column) -> Column:
-    """``agg`` over the rows of the same PO; NULL for a NULL PO (which
-    the reference's equi-joins would not match)."""
+    """``agg`` over the rows of the same PO as a window column; NULL for a
+    NULL PO (the original equi-joins would not match it).  For whole tables
+    prefer ``po_summary`` (map-side aggregation, no group buffering)."""
     po = F.col("TC_PURCHASE_ORDERS_ID")
     return F.when(po.isNotNull(), agg.over(Window.partitionBy(po)))
 
@@ -409,13 +410,33 @@ SILVER_COLUMNS = ("ORDER_NO", "MILESTONE", "ADHERENCE_STATUS", "TC_SHIPMENT_ID",
                   "ETL_UPDATED_DTTM")
 
 
+def po_summary(ms: DataFrame, first_red_status: str = "RED") -> DataFrame:
+    """Per PO: lowest AMBER rank, lowest ``first_red_status`` rank, top rank.
+
+    A plain aggregate, so it is combined map-side: a PO holding a third of
+    all rows is reduced per map task and never buffered as one group.  NULL
+    POs are left out (the original equi-joins never match them).  The
+    aggregate form of K2/K3 for per-PO reports.
+    """
+    r, st = F.col("MILESTONE_RANK"), F.col("ADHERENCE_STATUS")
+    return (ms.where(F.col("TC_PURCHASE_ORDERS_ID").isNotNull())
+            .groupBy(F.col("TC_PURCHASE_ORDERS_ID").alias("__PO"))
+            .agg(F.min(F.when(st == F.lit(AMBER), r)).alias("__FIRST_AMBER"),
+                 F.min(F.when(st == F.lit(first_red_status), r)).alias("__FIRST_RED"),
+                 F.max(r).alias("__TOP_RANK")))
+
+
 def silver(ms: DataFrame, as_of=None, first_red_status: str = "RED") -> DataFrame:
     """The silver milestone table (M8) from de-duplicated milestones.
 
-    The three per-PO values are window aggregates over one partitioning by
-    PO, in place of three aggregates joined back.  ``first_red_status``
-    names the status FIRST_MILESTONE_TO_RED looks for; the original job
-    looks for 'AMBER' there, pass that to reproduce its table.
+    The three per-PO values (K2, K3) are window aggregates over one
+    partitioning by PO.  ``ms`` already arrives hash-partitioned by PO, so
+    they need no exchange, and the milestone rows are computed once (an
+    aggregate joined back would read ``ms`` twice and, with no exchange to
+    reuse, recompute it).  The window buffer of a PO spills to disk when a
+    PO is very large.  ``first_red_status`` names the status
+    FIRST_MILESTONE_TO_RED looks for; the original job looks for 'AMBER'
+    there, pass that to reproduce its table.
     """
     ts_type = ms.schema["ACTUAL_ETA_FOR_MILESTONE"].dataType
     t = F.col("PO_TYPE")

@@ -137,8 +137,7 @@ FROM ms s LEFT JOIN mr ON mr.tc_purchase_orders_id = s.tc_purchase_orders_id""",
 def k3_active_status(spark, sf):
     b = bronze(spark, sf)
     ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
-    return ms.select(F.col("TC_PURCHASE_ORDERS_ID").alias("ORDER_NO"), "MILESTONE", "TC_SHIPMENT_ID",
-                     ml.active_flag().alias("ACTIVE_STATUS"))
+    return ml.silver(ms, AS_OF).select("ORDER_NO", "MILESTONE", "TC_SHIPMENT_ID", "ACTIVE_STATUS")
 
 
 # ---------------------------------------------------------------- facts (M0*)
