@@ -124,3 +124,15 @@ def test_silver_properties(silver_small):
         assert (r.ACTIVE_STATUS == "ACTIVE") == (rank[r.MILESTONE] == top[r.ORDER_NO])
     assert len(rows) == len(set(rows))
     assert silver_small.columns == [f.name for f in __import__("tidemark.schemas", fromlist=["x"]).SILVER_SCHEMA.fields]
+
+
+def test_checkpointed_input_and_publish(spark, bronze):
+    import uuid
+    from tidemark.plans.silver_job import publish_silver
+    a = silver_milestones(bronze, AS_OF, "AMBER", checkpoint_input=True)
+    b = silver_milestones(bronze, AS_OF, "AMBER")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    name = f"silver_{uuid.uuid4().hex[:8]}"
+    publish_silver(spark, bronze, name, AS_OF, "AMBER")
+    publish_silver(spark, bronze, name, AS_OF, "AMBER")
+    assert spark.table(name).count() == b.count()
