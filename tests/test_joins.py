@@ -12,11 +12,21 @@ def test_left_join_null_keys_never_match_and_rows_kept(spark):
     assert out.columns == ["k", "v", "w"]
 
 
-def test_left_join_salt_stays_a_join_key(spark):
-    left = spark.createDataFrame([(1, "a")], "k long, v string")
-    right = spark.createDataFrame([(1, "x")], "rk long, w string")
-    plan = left_join(left, right, [("k", "rk")])._jdf.queryExecution().optimizedPlan().toString()
-    assert "__ls" in plan and "__rs" in plan
+def test_left_join_spread_key_and_guard_stay_in_the_join(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "k long, v string")
+    right = spark.createDataFrame([(1, "x"), (0, "y"), (5, "z")], "rk long, w string")
+    df = left_join(left, right, [("k", "rk")])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "__lk" in plan and "isnotnull(k" in plan
+    # whatever spread value the NULL row gets, it matches nothing
+    assert sorted((r.v, r.w) for r in df.collect()) == [("a", "x"), ("b", None)]
+
+
+def test_left_join_string_keys_spread(spark):
+    left = spark.createDataFrame([("0", "a"), (None, "b"), ("1", "c")], "k string, v string")
+    right = spark.createDataFrame([(str(i), i) for i in range(50)], "rk string, n int")
+    got = sorted((r.v, r.n) for r in left_join(left, right, [("k", "rk")]).collect())
+    assert got == [("a", 0), ("b", None), ("c", 1)]
 
 
 def test_left_join_two_keys_fan_out_kept(spark):

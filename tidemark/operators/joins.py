@@ -5,10 +5,10 @@ handled here rather than at each call site:
 
 * NULL keys on the left never match, yet a hash exchange sends all of them
   to one reducer (hash(NULL) is one value).  When a third of the rows have
-  no shipment, that reducer gets a third of the data.  ``left_join`` adds a
-  second join key: 0 for every right row and every non-NULL left key, and a
-  deterministic spread value for NULL left keys, so those rows scatter over
-  all reducers while matches are unchanged.
+  no shipment, that reducer gets a third of the data.  ``left_join`` gives
+  such rows a deterministic spread key and guards the join with
+  ``key IS NOT NULL``, so they scatter over all reducers and still match
+  nothing.
 * ``F.broadcast`` is applied only after the row count of the small side is
   checked against a bound; above it the planner's shuffle join is kept.
 """
@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _SALT = "__null_spread"
 
@@ -33,6 +33,9 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+_SPREADABLE = (T.IntegralType, T.StringType)
+
+
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
               spread_null_keys: bool = True, drop_right_keys: bool = True) -> DataFrame:
     """LEFT JOIN ``right`` on pairs ``(left_col, right_col)`` of equal keys.
@@ -40,24 +43,35 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     Right key columns are dropped (they equal the left keys or are NULL)
     unless ``drop_right_keys`` is False.  Other column names must not clash.
     Key columns are matched by name, so the same frame may be joined twice.
-    Built from a handful of name-based calls: plan construction stays cheap
-    however wide the frames are.
+
+    With ``spread_null_keys`` a NULL left key is replaced, for the join only,
+    by a spread value of the same type (a hash of the row modulo the shuffle
+    partition count), and ``left key IS NOT NULL`` is added to the ON
+    condition.  A LEFT join cannot push that condition into its left input,
+    so the replaced rows never match (whatever value they got) while their
+    exchange spreads them over all reducers.  The right side keeps its own
+    partitioning on the key: no extra exchange there.
     """
     tmp = {rk: f"__rk{i}" for i, (_, rk) in enumerate(on)}
     right = right.withColumnsRenamed(tmp)
-    conds = [F.col(lk) == F.col(tmp[rk]) for lk, rk in on]
-    if spread_null_keys:
-        any_null = " OR ".join(f"{_q(lk)} IS NULL" for lk, _ in on)
+    types = dict((f.name, f.dataType) for f in left.schema.fields)
+    lkeys = [lk for lk, _ in on]
+    spread = spread_null_keys and isinstance(types.get(lkeys[0]), _SPREADABLE)
+    join_left = {lk: lk for lk in lkeys}
+    if spread:
+        any_null = " OR ".join(f"{_q(k)} IS NULL" for k in lkeys)
         row_hash = "xxhash64(" + ", ".join(_q(c) for c in left.columns) + ")"
         n = _spread_buckets(left)
-        left = left.withColumn("__ls", F.expr(
-            f"CAST(CASE WHEN {any_null} THEN pmod({row_hash}, {n}) ELSE 0 END AS INT)"))
-        # A column, not a literal, so the optimizer keeps it as a join key.
-        right = right.withColumn("__rs", F.expr(
-            f"CAST(CASE WHEN {_q(tmp[on[0][1]])} IS NULL THEN -1 ELSE 0 END AS INT)"))
-        conds.append(F.col("__ls") == F.col("__rs"))
+        first = lkeys[0]
+        left = left.withColumn("__lk", F.expr(
+            f"CASE WHEN {any_null} THEN CAST(pmod({row_hash}, {n}) AS {types[first].simpleString()}) "
+            f"ELSE {_q(first)} END"))
+        join_left[first] = "__lk"
+    conds = [F.col(join_left[lk]) == F.col(tmp[rk]) for lk, rk in on]
+    if spread:
+        conds += [F.col(lk).isNotNull() for lk in lkeys]
     out = left.join(right, reduce(lambda a, b: a & b, conds), "left")
-    drop = ["__ls", "__rs"] if spread_null_keys else []
+    drop = ["__lk"] if spread else []
     if drop_right_keys:
         return out.drop(*drop, *tmp.values())
     return out.drop(*drop).withColumnsRenamed({v: k for k, v in tmp.items()})
