@@ -269,32 +269,62 @@ def po_orders(b) -> DataFrame:
                      spread_null_keys=False)
 
 
+def _two_legs(origin: dict, dest: dict):
+    """``inline`` of one origin and one destination row (ROLE O / D)."""
+    def leg(role, cols):
+        return F.struct(F.lit(role).alias("ROLE"), *[F.col(v).alias(k) for k, v in cols.items()])
+    return F.inline(F.array(leg("O", origin), leg("D", dest)))
+
+
+def route_times(po: DataFrame, stop: DataFrame, tracking_message: DataFrame) -> DataFrame:
+    """Per PO: planned origin departure / stop, destination arrival / stop
+    (M0g, relation B) and actual departure / on-yard times (M0h, relation C).
+
+    The narrow PO frame is unpivoted into an origin and a destination row,
+    joined once to the per-(shipment, facility) stop rollup, then once to
+    the per-(shipment, stop) tracking rollup, and pivoted back with a
+    conditional MAX per PO.  Each rollup is scanned and aggregated once and
+    only (PO, shipment, facility / stop) rows are exchanged; the result is
+    partitioned by PO like the frame it is joined to.
+    """
+    o, d = F.col("ROLE") == "O", F.col("ROLE") == "D"
+    legs = po.select("TC_PURCHASE_ORDERS_ID", "SHIPMENT_ID",
+                     _two_legs({"FACILITY": "O_FACILITY_ALIAS_ID"}, {"FACILITY": "D_FACILITY_ALIAS_ID"}))
+    j = left_join(legs, stops_by_facility(stop),
+                  [("SHIPMENT_ID", "SHIPMENT_ID"), ("FACILITY", "FACILITY_ALIAS_ID")])
+    planned = j.groupBy("TC_PURCHASE_ORDERS_ID").agg(
+        F.max("SHIPMENT_ID").alias("SHIPMENT_ID"),
+        max_where(o, "DEPARTURE_START_DTTM").alias("ORIGIN_DEPARTURE_DTTM"),
+        max_where(o, "STOP_SEQ").alias("ORIGIN_STOP"),
+        max_where(d, "ARRIVAL_START_DTTM").alias("DESTINATION_ARRIVAL_DTTM"),
+        max_where(d, "STOP_SEQ").alias("DEST_STOP"))
+    stops = planned.select("*", _two_legs({"STOP": "ORIGIN_STOP"}, {"STOP": "DEST_STOP"}))
+    j = left_join(stops, tracking_by_stop(tracking_message),
+                  [("SHIPMENT_ID", "SHIPMENT_ID"), ("STOP", "STOP_SEQ")])
+    return j.groupBy("TC_PURCHASE_ORDERS_ID").agg(
+        F.max("ORIGIN_DEPARTURE_DTTM").alias("ORIGIN_DEPARTURE_DTTM"),
+        F.max("ORIGIN_STOP").alias("ORIGIN_STOP"),
+        F.max("DESTINATION_ARRIVAL_DTTM").alias("DESTINATION_ARRIVAL_DTTM"),
+        F.max("DEST_STOP").alias("DEST_STOP"),
+        max_where(o, "DEPARTED_DTTM").alias("ACTUAL_ORIGIN_DEPARTURE_DTTM"),
+        max_where(d, "ON_YARD_DTTM").alias("ACTUAL_ON_YARD_DTTM"))
+
+
 def with_shipment_facts(po: DataFrame, b) -> DataFrame:
     """Attach per-shipment facts to one-row-per-PO frame ``po``.
 
-    Adds shipment status (TSH), planned time (SE), planned origin/destination
-    stop times and numbers (B), actual departure and on-yard times (C) and
-    pickup end (RLI).  All joins run at PO grain, before any fan-out.
+    Adds the stop and tracking times (``route_times``, joined on PO without
+    a new exchange), shipment status (TSH), planned time (SE) and pickup end
+    (RLI).  All joins run at PO grain, before any fan-out.
     """
+    route = route_times(po, b.stop, b.tracking_message).withColumnRenamed(
+        "TC_PURCHASE_ORDERS_ID", "__ROUTE_PO")
+    x = left_join(po, route, [("TC_PURCHASE_ORDERS_ID", "__ROUTE_PO")], spread_null_keys=False)
     # Status and planned time are both keyed by shipment: combine them with a
     # full join of the two co-partitioned rollups, then join the PO frame once.
     per_shipment = shipment_status(b.tlm_shipment).join(
         planned_times(b.shipment_event), "SHIPMENT_ID", "full")
-    x = left_join(po, per_shipment, [("SHIPMENT_ID", "SHIPMENT_ID")])
-    sf = stops_by_facility(b.stop)
-    origin = sf.select("SHIPMENT_ID", "FACILITY_ALIAS_ID",
-                       F.col("DEPARTURE_START_DTTM").alias("ORIGIN_DEPARTURE_DTTM"),
-                       F.col("STOP_SEQ").alias("ORIGIN_STOP"))
-    dest = sf.select("SHIPMENT_ID", "FACILITY_ALIAS_ID",
-                     F.col("ARRIVAL_START_DTTM").alias("DESTINATION_ARRIVAL_DTTM"),
-                     F.col("STOP_SEQ").alias("DEST_STOP"))
-    x = left_join(x, origin, [("SHIPMENT_ID", "SHIPMENT_ID"), ("O_FACILITY_ALIAS_ID", "FACILITY_ALIAS_ID")])
-    x = left_join(x, dest, [("SHIPMENT_ID", "SHIPMENT_ID"), ("D_FACILITY_ALIAS_ID", "FACILITY_ALIAS_ID")])
-    tbs = tracking_by_stop(b.tracking_message)
-    dep = tbs.select("SHIPMENT_ID", "STOP_SEQ", F.col("DEPARTED_DTTM").alias("ACTUAL_ORIGIN_DEPARTURE_DTTM"))
-    yard = tbs.select("SHIPMENT_ID", "STOP_SEQ", F.col("ON_YARD_DTTM").alias("ACTUAL_ON_YARD_DTTM"))
-    x = left_join(x, dep, [("SHIPMENT_ID", "SHIPMENT_ID"), ("ORIGIN_STOP", "STOP_SEQ")])
-    x = left_join(x, yard, [("SHIPMENT_ID", "SHIPMENT_ID"), ("DEST_STOP", "STOP_SEQ")])
+    x = left_join(x, per_shipment, [("SHIPMENT_ID", "SHIPMENT_ID")])
     x = left_join(x, pickup_end(b.rts_line_item), [("PURCHASE_ORDERS_ID", "ORDER_ID")])
     return x
 

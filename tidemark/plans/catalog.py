@@ -258,19 +258,11 @@ def a6_conditional_max(spark, sf):
   FROM b""", "b"))
 def a7_stop_times(spark, sf):
     b = bronze(spark, sf)
-    po = fx.po_orders(b).select("TC_PURCHASE_ORDERS_ID", "SHIPMENT_ID", "O_FACILITY_ALIAS_ID",
-                                "D_FACILITY_ALIAS_ID")
-    sf_ = fx.stops_by_facility(b.stop)
-    origin = sf_.select("SHIPMENT_ID", "FACILITY_ALIAS_ID",
-                        F.col("DEPARTURE_START_DTTM").alias("ORIGIN_DEPARTURE_DTTM"),
-                        F.col("STOP_SEQ").alias("ORIGIN_STOP"))
-    dest = sf_.select("SHIPMENT_ID", "FACILITY_ALIAS_ID",
-                      F.col("ARRIVAL_START_DTTM").alias("DESTINATION_ARRIVAL_DTTM"),
-                      F.col("STOP_SEQ").alias("DEST_STOP"))
-    x = left_join(po, origin, [("SHIPMENT_ID", "SHIPMENT_ID"), ("O_FACILITY_ALIAS_ID", "FACILITY_ALIAS_ID")])
-    x = left_join(x, dest, [("SHIPMENT_ID", "SHIPMENT_ID"), ("D_FACILITY_ALIAS_ID", "FACILITY_ALIAS_ID")])
-    return x.select("TC_PURCHASE_ORDERS_ID", "SHIPMENT_ID", "ORIGIN_DEPARTURE_DTTM",
-                    "DESTINATION_ARRIVAL_DTTM", "ORIGIN_STOP", "DEST_STOP")
+    po = fx.po_orders(b)
+    return fx.route_times(po, b.stop, b.tracking_message).join(
+        po.select("TC_PURCHASE_ORDERS_ID", "SHIPMENT_ID"), "TC_PURCHASE_ORDERS_ID").select(
+        "TC_PURCHASE_ORDERS_ID", "SHIPMENT_ID", "ORIGIN_DEPARTURE_DTTM", "DESTINATION_ARRIVAL_DTTM",
+        "ORIGIN_STOP", "DEST_STOP")
 
 
 @query("a8_max_if_complete", o.sql("""SELECT po_no AS PO_NO, po_tracking_no AS PO_TRACKING_NO,
