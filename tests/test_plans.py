@@ -11,11 +11,14 @@ def _bronze_tables(spark, bronze):
     for n, df in bronze.items():
         names[n] = f"pt_{n}_{uuid.uuid4().hex[:6]}"
         replace_table(spark, df, names[n])
-    return br.from_tables(spark, names)
+    out = br.from_tables(spark, names)
+    out.names = names
+    return out
 
 
 def test_silver_plan(spark, bronze):
     b = _bronze_tables(spark, bronze)
+    b.stop_table, b.tracking_table = b.names["stop"], b.names["tracking_message"]
     df = silver_milestones(b, "2000-01-01 00:00:00", "AMBER")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -35,4 +38,8 @@ def test_silver_plan(spark, bronze):
     assert "equalto(field_name,status)" in low and "equalto(new_value,assig" in low
     assert "equalto(message_status,10)" in low
     # One Generate evaluates all seven milestone rules.
-    assert plan.count("Generate inline") == 1
+    assert plan.count("Generate inline(array(struct(EXPECTED_ETA_FOR_MILESTONE") == 1
+    # Origin and destination lookups read the stop and tracking tables once.
+    import re
+    scans = re.findall(r"FileScan parquet \S+?\.(\w+)\[", plan)
+    assert scans.count(b.stop_table) == 1 and scans.count(b.tracking_table) == 1
