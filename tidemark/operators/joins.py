@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 _SALT = "__null_spread"
 
@@ -102,15 +102,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Rename every column except ``keep`` to ``prefix + name``."""
-    return df.select(*[F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
-
-
 def upper_columns(df: DataFrame) -> DataFrame:
     """Upper-case all column names (sources may arrive lower-case)."""
     return df.toDF(*[c.upper() for c in df.columns])
-
-
-def col(name: str) -> Column:
-    return F.col(name)

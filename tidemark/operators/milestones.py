@@ -50,10 +50,6 @@ RECEIVED_AGE_HOURS = 26
 
 GREEN, AMBER, RED = "GREEN", "AMBER", "RED"
 
-RULE_FIELDS = ("EXPECTED_ETA_FOR_MILESTONE", "ACTUAL_ETA_FOR_MILESTONE",
-               "NEXT_MILESTONE_EXPECTED_ETA", "CURRENT_DELAY_IN_DAYS", "REVISED_ETA_FOR_PO",
-               "MILESTONE_RANK", "MILESTONE", "ADHERENCE_STATUS")
-PASS_THROUGH = ("TC_PURCHASE_ORDERS_ID", "TC_SHIPMENT_ID", "PO_TYPE")
 MILESTONE_COLUMNS = ("TC_PURCHASE_ORDERS_ID", "TC_SHIPMENT_ID", "PO_TYPE",
                      "EXPECTED_ETA_FOR_MILESTONE", "ACTUAL_ETA_FOR_MILESTONE",
                      "NEXT_MILESTONE_EXPECTED_ETA", "CURRENT_DELAY_IN_DAYS",
