@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,18 +55,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by all executors, as named by ``spark.checkpoint.dir``.
+    """Folder shared by driver and executors, as named by ``spark.checkpoint.dir``.
 
-    Written tables and checkpoints go here.  When the session names no such
-    folder (a local test run) a fresh scratch folder is made and set.
+    Only checkpoints and scratch tables go here.  Where the session names no
+    such folder a local master gets a fresh scratch folder (tests); on a
+    cluster that would be a different disk on each machine, so it is an error.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
