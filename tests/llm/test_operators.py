@@ -172,8 +172,8 @@ def test_op4_finds_notices_and_texts(spark, edge):
 def later(data, percent=80, min_words=line_dedup.MIN_WORDS):
     rank = lambda i: (1 << 63) if i is None else i
     data = sorted(data, key=lambda r: rank(r[0]))
-    lines = [(rank(i), k, frozenset(words(x.lower()))) for i, t, _ in data for k, x in enumerate((t or "").split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= min_words]
+    lines = [(rank(i), k, frozenset(words(x.lower()))) for i, t, _ in data for k, x in enumerate((t or "").split("\n"))
+             if len(words(x)) >= min_words]
     out, seen = collections.defaultdict(set), collections.defaultdict(list)
     for at, (i, k, s) in enumerate(lines):
         common = collections.Counter(j for w in s for j in seen[w])

@@ -7,8 +7,8 @@ Lines are split at ``\\n``; a line's set holds its distinct lower-cased words.
 Lines rank by (doc_id, line number), rows without a doc_id last.  A line is
 removed when its text equals that of an earlier line or its set links with that
 of an earlier line (``percent``), whether or not the earlier one is itself
-removed.  Lines of fewer than ``min_words`` distinct words are never touched:
-they are headings and stray words rather than copies.
+removed.  Lines of fewer than ``min_words`` words are never touched: they are
+headings and stray words rather than copies.
 
 Defined cases: NULL or empty text has no lines to remove; rows that repeat a
 doc_id are one document and don't remove each other's equal lines; other
@@ -16,86 +16,90 @@ columns pass through ``drop_lines`` untouched.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import signed, split_words, stage, text_chunks
-from .setjoin import (NO_ID, NONE_HEAVY, PAIR, Heavy, MakeSets, Sets, digests, full_sets, heavy_values, known_id,
-                      more_pairs, nominated, tiles, units_of, verify)
+from .common import split_words, stage
+from .setjoin import NO_ID, PAIR, Heavy, Sets, Units, known_id, more_pairs, nominated, survey, tiles, verify
 
 MIN_WORDS = 8
 
 
-def line_sets(min_words: int) -> MakeSets:
-    """Distinct hashed words per line, in rarity order."""
-    def make(chunk: pa.RecordBatch, heavy: Heavy) -> Sets:
+class Lines(Units):
+    """Distinct hashed words per line, in rarity order; equal text makes lines
+    equal."""
+
+    counts_all = True
+
+    def __init__(self, percent: int, min_words: int):
+        self.percent, self.min_words = percent, min_words
+
+    def texts(self, chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         lines = pc.split_pattern(pc.fill_null(chunk.column("text"), ""), "\n")
         per_text = pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
-        offsets, codes, uniq = split_words(pc.utf8_lower(lines.flatten()))
-        count = heavy.count(uniq)
-        order = np.lexsort((uniq, count))
+        doc = np.repeat(chunk.column("doc").to_numpy(), per_text).astype(np.int64)
+        line = np.arange(len(doc)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+        return doc, line.astype(np.int32), lines.flatten()
+
+    def _split(self, chunk: pa.RecordBatch) -> tuple:
+        """(doc, line, offsets, codes, hashes by code, id1, id2, again) of the lines
+        with enough words."""
+        doc, line, text = self.texts(chunk)
+        offsets, codes, uniq = split_words(pc.utf8_lower(text))
+        size = np.diff(offsets)
+        keep = size >= self.min_words
+        at = np.flatnonzero(keep)
+        raw = text.take(pa.array(at)).cast(pa.binary()).to_pylist()
+        both = b"".join(map(xxhash.xxh3_128_digest, raw))
+        ids = np.frombuffer(both, ">u8").astype(np.uint64).reshape(-1, 2)
+        codes = codes[np.repeat(keep, size)]
+        doc, line = doc[at], line[at]
+        order = np.lexsort((line, ids[:, 1], ids[:, 0], doc))
+        again = np.zeros(len(at), bool)
+        a, b = order[1:], order[:-1]
+        again[a] = (doc[a] == doc[b]) & (ids[a] == ids[b]).all(axis=1) & (line[a] != line[b])
+        return doc, line, np.r_[0, np.cumsum(size[keep])], codes, uniq, ids[:, 0], ids[:, 1], again
+
+    def counted(self, chunk: pa.RecordBatch) -> tuple:
+        doc, _, _, codes, uniq, id1, id2, again = self._split(chunk)
+        count = np.bincount(codes, minlength=len(uniq))
+        some = np.flatnonzero(count)
+        return uniq[some], count[some], id1[~again], id2[~again], doc[~again]
+
+    def sets(self, chunk: pa.RecordBatch, heavy: Heavy) -> Sets:
+        doc, line, offsets, codes, uniq, id1, id2, again = self._split(chunk)
+        order = np.lexsort((uniq, heavy.count(uniq)))
         rank = np.empty(len(uniq), np.int64)
         rank[order] = np.arange(len(uniq))
-        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         width = max(1, len(uniq))
-        key = np.sort(owner * width + rank[codes])
+        key = np.sort(np.repeat(np.arange(len(doc)), np.diff(offsets)) * width + rank[codes])
         key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
         owner = key // width
-        size = np.bincount(owner, minlength=len(offsets) - 1)
-        keep = size >= min_words
-        values = uniq[order][key[keep[owner]] % width] if len(key) else np.empty(0, np.uint64)
-        doc = np.repeat(chunk.column("doc").to_numpy(), per_text)
-        line = np.arange(len(doc)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        return Sets(doc[keep].astype(np.int64), line[keep].astype(np.int32), np.r_[0, np.cumsum(size[keep])], values)
-
-    return make
-
-
-def _digests(docs: DataFrame, make: MakeSets) -> DataFrame:
-    """(doc, line, d1, d2, again): again marks lines equal to one before them in
-    the same document."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_chunks(batches, "text"):
-            s = make(chunk, NONE_HEAVY)
-            d1, d2 = digests(s), digests(s, 1)
-            order = np.lexsort((s.line, d2, d1, s.doc))
-            same = np.zeros(len(order), bool)
-            if len(order) > 1:
-                a, b = order[1:], order[:-1]
-                same[a] = (s.doc[a] == s.doc[b]) & (d1[a] == d1[b]) & (d2[a] == d2[b]) & (s.line[a] != s.line[b])
-            yield pa.record_batch([s.doc, s.line, signed(d1), signed(d2), same], ["doc", "line", "d1", "d2", "again"])
-
-    return docs.mapInArrow(run, "doc long, line int, d1 long, d2 long, again boolean")
+        values = uniq[order][key - owner * width] if len(key) else np.empty(0, np.uint64)
+        return Sets(doc, line, np.r_[0, np.cumsum(np.bincount(owner, minlength=len(doc)))], values, id1, id2, again)
 
 
 def later_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, line, x_doc): lines to remove and the document of an earlier line
     that they match."""
     docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
-    make = line_sets(min_words)
-    lines = stage(_digests(docs, make), "lines")
-    first = lines.groupBy("d1", "d2").agg(F.min("doc").alias("x_doc"), F.count("*").alias("n"))
-    first = stage(first.where("n > 1").drop("n"), "repeated-lines")
-    equal = stage(lines.join(first, ["d1", "d2"]).where("again or doc > x_doc")
-                  .select("doc", "line", "x_doc"), "equal-lines")
-
-    heavy = heavy_values(docs, make)
-    t = tiles(docs, make, heavy, percent)
+    units = Lines(percent, min_words)
+    t = tiles(docs, units, survey(docs, units))
+    equal = t.where("pos < 0").select("doc", "line", "x_doc")
     near = stage(nominated(t), "nominated")
     tested = near.where("place <= 2").select(*PAIR)
-    found = stage(verify(tested, full_sets(docs, make, units_of(tested)), percent), "near-lines")
-    # still open: more candidates than were tested, and not removed yet
+    found = stage(verify(tested, docs, units), "near-lines")
+    # still open: nominated but not tested, or not all nominated, and not removed yet
     gone = found.select("doc", "line").union(equal.select("doc", "line"))
-    rest = near.where("place > 2").select("doc", "line").union(t.where("more").select("doc", "line")).distinct() \
+    left = near.where("place > 2").select(*PAIR).join(gone, ["doc", "line"], "left_anti").select(*PAIR)
+    rest = t.where("pos >= 0 and more").select("doc", "line").distinct() \
         .join(gone, ["doc", "line"], "left_anti").withColumn("part", F.xxhash64("doc", "line"))
-    pairs = stage(more_pairs(t, percent, rest).join(tested, PAIR, "left_anti"), "pairs")
+    pairs = stage(left.union(more_pairs(t, percent, rest)).distinct().join(tested, PAIR, "left_anti"), "pairs")
     if not pairs.isEmpty():
-        more = verify(pairs, full_sets(docs, make, units_of(pairs)), percent)
-        found = found.unionByName(more)
+        found = found.unionByName(verify(pairs, docs, units))
     return equal.unionByName(found.select("doc", "line", "x_doc")) \
         .groupBy("doc", "line").agg(F.min("x_doc").alias("x_doc"))
 

@@ -16,31 +16,37 @@ that repeat a doc_id are the same node; other columns are ignored.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix, signed, split_words, stage, text_chunks
+from .common import mix, split_words, stage
 from .components import components
-from .setjoin import (NO_ID, PAIR, Heavy, MakeSets, Sets, digests, full_sets, heavy_values, known_id, more_pairs,
-                      nominated, prefix_size, tiles, units_of, verify)
+from .setjoin import (NO_ID, PAIR, Heavy, Sets, Units, digests, known_id, leading, more_pairs, nominated, prefix_size,
+                      survey, tiles, verify)
 
 
-def shingle_sets(words: int) -> MakeSets:
+class Shingles(Units):
     """Distinct hashed word n-grams per text, A-Z in lower case."""
-    def make(chunk: pa.RecordBatch, heavy: Heavy) -> Sets:
+
+    reports_all = True
+
+    def __init__(self, words: int, percent: int):
+        self.words, self.percent = words, percent
+
+    def _hashed(self, chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(doc, offsets, values by hash) of the texts that have words."""
+        k = self.words
         offsets, codes, uniq = split_words(pc.ascii_lower(pc.fill_null(chunk.column("text"), "")))
         h = uniq[codes]
-        grams = np.zeros(max(0, len(h) - words + 1), np.uint64)
-        for k in range(words):
-            grams = mix(grams + h[k:len(h) - words + 1 + k]) if len(grams) else grams
+        grams = np.zeros(max(0, len(h) - k + 1), np.uint64)
+        for i in range(k if len(grams) else 0):
+            grams = mix(grams + h[i:len(h) - k + 1 + i])
         parts, docs = [], []
-        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-            if b - a >= words:
-                u = np.sort(grams[a:b - words + 1])
+        for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            if b - a >= k:
+                u = np.sort(grams[a:b - k + 1])
                 parts.append(u[np.r_[True, u[1:] != u[:-1]]])
             elif b > a:
                 short = np.full(1, b - a, np.uint64)
@@ -52,27 +58,30 @@ def shingle_sets(words: int) -> MakeSets:
             docs.append(i)
         values = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        ends = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+        return chunk.column("doc").to_numpy()[docs].astype(np.int64), np.r_[0, np.cumsum(sizes)].astype(np.int64), values
+
+    def counted(self, chunk: pa.RecordBatch) -> tuple:
+        """Counts what may be in a prefix: leading values by hash, with some
+        room for heavy ones that move back."""
+        doc, offsets, values = self._hashed(chunk)
+        n = np.diff(offsets)
+        some = leading(offsets, values, np.minimum(n, prefix_size(self.percent, n) * 5 // 4 + 8))[2]
+        v, c = np.unique(some, return_counts=True)
+        return v, c, digests(offsets, values), digests(offsets, values, 1), doc
+
+    def sets(self, chunk: pa.RecordBatch, heavy: Heavy) -> Sets:
+        doc, offsets, values = self._hashed(chunk)
+        id1, id2 = digests(offsets, values), digests(offsets, values, 1)
         if len(heavy.values) and len(values):
             count = heavy.count(values)
-            for i in np.unique(np.repeat(np.arange(len(sizes)), sizes)[count > 0]):
-                at = slice(ends[i], ends[i + 1])
+            for i in np.unique(np.repeat(np.arange(len(doc)), np.diff(offsets))[count > 0]):
+                at = slice(offsets[i], offsets[i + 1])
                 values[at] = values[at][np.argsort(count[at], kind="stable")]
-        doc = chunk.column("doc").to_numpy()[docs].astype(np.int64)
-        return Sets(doc, np.zeros(len(doc), np.int32), ends, values)
-
-    return make
+        return Sets(doc, np.zeros(len(doc), np.int32), offsets, values, id1, id2, np.zeros(len(doc), bool))
 
-
-def shingle_counts(docs: DataFrame, make: MakeSets) -> DataFrame:
-    """(doc, n_shingles, d1, d2): size and digest of each document's set."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in text_chunks(batches, "text"):
-            s = make(chunk, Heavy(np.empty(0, np.uint64), np.empty(0, np.int64)))
-            yield pa.record_batch([s.doc, np.diff(s.offsets), signed(digests(s)), signed(digests(s, 1))],
-                                  ["doc", "n_shingles", "d1", "d2"])
-
-    return docs.mapInArrow(run, "doc long, n_shingles long, d1 long, d2 long")
+    def texts(self, chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        doc = chunk.column("doc").to_numpy()
+        return doc, np.zeros(len(doc), np.int32), chunk.column("text")
 
 
 def similar_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -84,31 +93,28 @@ def similar_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[D
     component of the representatives that have a link.
     """
     docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
-    make = shingle_sets(words)
-    counted = stage(shingle_counts(docs, make), "shingle-counts")
-    same = ["n_shingles", "d1", "d2"]
-    reps = counted.groupBy(*same).agg(F.min("doc").alias("rep"), F.count("*").alias("members"))
-    # only sets that occur twice or more need the join; a hot one is split by Spark
-    repeated = stage(reps.where("members > 1").drop("members"), "classes")
-    classes = stage(counted.join(repeated, same, "left")
-                    .select("doc", "n_shingles", F.coalesce("rep", "doc").alias("rep")), "members")
-
-    heavy = heavy_values(docs, make, lambda n: prefix_size(percent, n) * 5 // 4 + 8)
-    t = tiles(docs, make, heavy, percent)
+    units = Shingles(words, percent)
+    t = tiles(docs, units, survey(docs, units))
+    classes = t.where("pos < 0").select("doc", F.col("n").cast("long").alias("n_shingles"), F.col("x_doc").alias("rep"))
+
     near = stage(nominated(t), "nominated")
-    tested = near.where("place <= 2").select(*PAIR)
-    sets = full_sets(docs, make, units_of(tested))
-    links = stage(verify(tested, sets, percent).distinct(), "links")
-    label = components(links.select(F.col("doc").alias("a"), F.col("x_doc").alias("b")))
+    tested = near.where("place = 1").select(*PAIR)
+    links = stage(verify(tested, docs, units), "links")
     for per_unit in (3, None):
-        parts = t.select("doc", "line").distinct().join(label.withColumnRenamed("node", "doc"), "doc", "left") \
+        label = components(links.select(F.col("doc").alias("a"), F.col("x_doc").alias("b")))
+        part = lambda name: label.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
+        # nominated and not tested, then what was not nominated, between components
+        left = near.where("place > 1").select(*PAIR).join(part("doc"), "doc", "left").join(part("x_doc"), "x_doc", "left") \
+            .where(F.coalesce("doc_part", "doc") != F.coalesce("x_doc_part", "x_doc")).select(*PAIR)
+        parts = t.where("pos >= 0 and open").select("doc", "line").distinct() \
+            .join(label.withColumnRenamed("node", "doc"), "doc", "left") \
             .select("doc", "line", F.coalesce("component", "doc").alias("part"))
-        pairs = stage(more_pairs(t, percent, parts, per_unit).join(tested, PAIR, "left_anti"), "pairs")
+        pairs = stage(left.union(more_pairs(t, percent, parts, per_unit)).distinct().join(tested, PAIR, "left_anti"), "pairs")
         if pairs.isEmpty():
             break
-        sets = full_sets(docs, make, units_of(pairs))
-        links = stage(links.union(verify(pairs, sets, percent)).distinct(), "links")
+        links = stage(links.union(verify(pairs, docs, units)), "links")
         tested = tested.union(pairs)
+    else:
         label = components(links.select(F.col("doc").alias("a"), F.col("x_doc").alias("b")))
     return classes, links.select(F.col("doc").alias("a"), F.col("x_doc").alias("b")), label
 

@@ -1,29 +1,31 @@
 """Exact set-similarity join by prefix, length, positional and bitmap filters.
 
-Both users, line dedup and the shingle join, have sets of 64-bit hashes, one
-per unit (a document and a line number).  Two sets link when
+Both users, line dedup and the shingle join, have units (a document, or a line
+of one) with a set of 64-bit hashes each.  Two sets link when
 ``100 * |x & y| >= percent * |x | y|``.
 
-1. ``heavy_values`` counts the values over all sets and keeps those whose
-   count is at least 1/2**20 of the total, so at most 2**20 whatever the
-   input: small enough to send to every task.  All sets are ordered by
-   (heavy count, hash): rare values first, common ones last.
+1. ``survey`` reads the texts once and counts values and unit digests over all
+   of them.  A value or digest is heavy if its count is at least 1/2**20 of the
+   total, so at most 2**20 are, whatever the input: small enough to send to
+   every task.  Two hashed bitmaps of fixed size mark what occurs twice or more.
+   Sets are ordered by (heavy count, hash): rare values first, common ones last.
 2. ``tiles``: two linked sets share a value among their first
    ``n - ceil(percent * n / 100) + 1``, so these are dealt out by value.  Each
-   sorted value group is read as a stream; groups of one set are dropped, and
-   each set is compared with the 31 before it and the first of its group under
-   three exact bounds: sizes, positions of the shared value, and the bit count
-   of the XOR of parity bitmaps (each set bit needs a value that only one set
-   has).  It nominates the closest of those that pass.
-3. ``verify`` joins the nominated pairs with the full sets and counts the
+   sorted value group is read as a stream; each set is compared with the 31
+   before it and the first of its group under three exact bounds: sizes,
+   positions of the shared value, and the bit count of the XOR of parity bitmaps
+   (each set bit needs a value that only one set has).  It nominates the closest
+   of those that pass.  Equal units meet by digest in the same shuffle; those of
+   a heavy digest are settled where they lie, so no task gathers them.
+3. ``verify`` joins the nominated pairs with the units' texts and counts the
    intersection of the sorted arrays.
-4. ``more_pairs`` lists what passes the bounds and was not nominated, only
-   for sets whose outcome is still open.  A group of n near copies so costs
-   about n comparisons, not n squared, and no link is lost.
+4. ``more_pairs`` lists what passes the bounds and was not nominated, only for
+   sets whose outcome is still open.  A group of n near copies so costs about n
+   comparisons, not n squared, and no link is lost.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,28 +34,36 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import mix, signed, stage, text_chunks
 
-#: At most this many heavy values exist by their definition.
+#: At most this many heavy values, and heavy digests, exist by their definition.
 HEAVY_SLOTS = 1 << 20
 #: Sets before it with which a set is compared in the first round.
 REACH = 31
 #: Rows of one value group held at once by the streaming stage.
 HELD_ROWS = 500_000
-#: Bits of the hashed unit filter, fixed whatever the input.
+#: Bits of the hashed bitmaps, fixed whatever the input.
 FILTER_BITS = 1 << 24
 #: Stands for a missing doc_id inside the join; ranks last.
 NO_ID = (1 << 63) - 1
+#: ``pos`` of rows that are no set members: a unit among equals, a settled unit.
+EQUALS, SETTLED = -1, -2
 
-POSTING = "key long, doc long, line int, n int, pos int, sig long, digest long"
-TILE = POSTING + ", x_doc long, x_line int, dist int, lead_doc long, lead_line int, more boolean"
+POSTING = "key long, doc long, line int, n int, pos int, sig long, digest int"
+TILE = POSTING + ", x_doc long, x_line int, dist int, lead_doc long, lead_line int, more boolean, open boolean"
+PAIR = ["doc", "line", "x_doc", "x_line"]
+PAIR_TYPE = "doc long, line int, x_doc long, x_line int"
 
 
 class Sets(NamedTuple):
-    """Sets of a chunk: set ``i`` is ``values[offsets[i]:offsets[i + 1]]`` in
-    the global order; empty sets are left out."""
+    """Units of a chunk: set ``i`` is ``values[offsets[i]:offsets[i + 1]]`` in the
+    global order, ``id1`` and ``id2`` the digest of what makes units equal;
+    ``again`` marks units equal to an earlier one of their document."""
     doc: np.ndarray
     line: np.ndarray
     offsets: np.ndarray
     values: np.ndarray
+    id1: np.ndarray
+    id2: np.ndarray
+    again: np.ndarray
 
 
 class Heavy(NamedTuple):
@@ -69,7 +79,35 @@ class Heavy(NamedTuple):
 
 
 NONE_HEAVY = Heavy(np.empty(0, np.uint64), np.empty(0, np.int64))
-MakeSets = Callable[[pa.RecordBatch, Heavy], Sets]
+
+
+class Units:
+    """What a user of the join provides."""
+
+    percent = 80
+    #: Are all values counted, so that a value counted once can't be shared?
+    counts_all = False
+    #: Is every unit reported, or only those with an earlier equal?
+    reports_all = False
+
+    def counted(self, chunk: pa.RecordBatch) -> tuple:
+        """(values, counts, id1, id2, doc), the last three for units that are not
+        ``again``."""
+        raise NotImplementedError
+
+    def sets(self, chunk: pa.RecordBatch, heavy: Heavy) -> Sets:
+        raise NotImplementedError
+
+    def texts(self, chunk: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """(doc, line, text) of each unit."""
+        raise NotImplementedError
+
+
+class Survey(NamedTuple):
+    heavy: Heavy
+    shared_values: np.ndarray | None
+    shared_ids: np.ndarray
+    hot_ids: dict[tuple[int, int], int]  # digest -> smallest document
 
 
 def need(percent: int, n):
@@ -81,71 +119,123 @@ def prefix_size(percent: int, n):
     return n - -(-percent * n // 100) + 1
 
 
-def _first(sets: Sets, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def leading(offsets: np.ndarray, values: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(set index, position, value) of the first ``size`` values of each set."""
     owner = np.repeat(np.arange(len(size)), size)
     pos = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-    return owner, pos, sets.values[sets.offsets[:-1][owner] + pos]
+    return owner, pos, values[offsets[:-1][owner] + pos]
 
 
-def heavy_values(docs: DataFrame, make: MakeSets, share: Callable | None = None) -> Heavy:
-    """Exact counts of the heavy values.
+def _bit(x: np.ndarray) -> np.ndarray:
+    return (mix(x) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
-    ``share`` gives how many leading values (by hash) of a set of size n are
-    counted; values beyond can't be in a prefix.  Default: all.
-    """
+
+def _marked(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    at = _bit(x)
+    return ((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def hashed_bits(df: DataFrame, *columns: str) -> np.ndarray:
+    """Bitmap of the rows' hashes, 2 MB whatever their number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _bit(combined(*(c.to_numpy() for c in b.columns)))
+            yield pa.record_batch([at >> 6, np.int64(1) << (at & 63)], ["word", "bits"])
+
+    got = df.select(*columns).mapInArrow(run, "word long, bits long") \
+        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def combined(first: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    out = first.astype(np.uint64)
+    for x in more:
+        out = mix(out) + x.astype(np.uint64)
+    return out
+
+
+def survey(docs: DataFrame, units: Units) -> Survey:
+    """Exact counts over all texts, kept where they exceed one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "text"):
-            s = make(chunk, NONE_HEAVY)
-            n = np.diff(s.offsets)
-            values = s.values if share is None else _first(s, np.minimum(n, share(n)))[2]
-            v, c = np.unique(values, return_counts=True)
-            yield pa.record_batch([signed(v), c.astype(np.int64)], ["value", "n"])
-
-    counts = stage(docs.mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
-                   .where("n >= 16"), "value-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    got = counts.where(F.col("n") >= max(16, total // HEAVY_SLOTS + 1)).toArrow()
-    v = got["value"].to_numpy().view(np.uint64)
+            values, counts, id1, id2, doc = units.counted(chunk)
+            m = len(values)
+            yield pa.record_batch(
+                [signed(np.r_[values, id1]), np.r_[np.zeros(m, np.int64), signed(id2)],
+                 pa.array(np.r_[np.zeros(m, np.int64), doc], mask=np.r_[np.ones(m, bool), np.zeros(len(doc), bool)]),
+                 np.r_[counts, np.ones(len(doc), np.int64)]], ["k1", "k2", "doc", "n"])
+
+    grouped = docs.mapInArrow(run, "k1 long, k2 long, doc long, n long").groupBy("k1", "k2", F.isnull("doc").alias("value")) \
+        .agg(F.min("doc").alias("first"), F.sum("n").alias("n")).where("n > 1")
+    counts = stage(grouped, "counts")
+    totals = {r.value: r.n for r in counts.groupBy("value").agg(F.sum("n").alias("n")).collect()}
+    least = lambda value: max(16, totals.get(value, 0) // HEAVY_SLOTS + 1)
+    values, ids = counts.where("value"), counts.where("not value")
+    got = values.where(F.col("n") >= least(True)).select("k1", "n").toArrow()
+    v = got["k1"].to_numpy().view(np.uint64)
     order = np.argsort(v)
-    return Heavy(v[order], got["n"].to_numpy()[order])
+    hot = ids.where(F.col("n") >= max(64, least(False))).select("k1", "k2", "first").toArrow().to_pylist()
+    return Survey(Heavy(v[order], got["n"].to_numpy()[order]),
+                  hashed_bits(values, "k1") if units.counts_all else None, hashed_bits(ids, "k1", "k2"),
+                  {(r["k1"], r["k2"]): r["first"] for r in hot})
 
 
 def _reduce(op, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return op.reduceat(values, offsets[:-1]) if len(offsets) > 1 else np.empty(0, np.uint64)
 
 
-def signatures(s: Sets) -> np.ndarray:
-    """Parity bitmap of 64 bits: bit b is the parity of the values hashed to b."""
-    return _reduce(np.bitwise_xor, np.uint64(1) << (s.values >> np.uint64(58)), s.offsets)
-
-
-def digests(s: Sets, salt: int = 0) -> np.ndarray:
+def digests(offsets: np.ndarray, values: np.ndarray, salt: int = 0) -> np.ndarray:
     """Order-free hash of each set."""
-    return _reduce(np.add, mix(s.values + np.uint64(salt)), s.offsets)
+    return _reduce(np.add, mix(values + np.uint64(salt)), offsets)
 
 
-def tiles(docs: DataFrame, make: MakeSets, heavy: Heavy, percent: int) -> DataFrame:
-    """Members of the value groups of two or more sets, with nominations."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
+    """Nominations and open members of the value groups (pos >= 0), and the units
+    with an equal one (pos < 0, the smallest document in x_doc)."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    percent = units.percent
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        hot = np.array(sorted({k for k, _ in known.hot_ids}), np.int64)
         for chunk in text_chunks(batches, "text"):
-            s = make(chunk, shared.value)
-            n, sig, digest = np.diff(s.offsets), signatures(s), digests(s)
+            s = units.sets(chunk, known.heavy)
+            n, id1, id2 = np.diff(s.offsets), signed(s.id1), signed(s.id2)
+            sig = signed(_reduce(np.bitwise_xor, np.uint64(1) << (s.values >> np.uint64(58)), s.offsets))
+            short = (id1 ^ id2).astype(np.int32)
+            first = np.full(len(n), NO_ID)  # smallest document of a heavy digest
+            for k in np.flatnonzero(np.isin(id1, hot)):
+                first[k] = known.hot_ids.get((int(id1[k]), int(id2[k])), NO_ID)
+            is_hot = first < NO_ID
+            copy = s.again | (is_hot & (s.doc > first))
+            # of equal units in this chunk the first is enough
             keep = np.lexsort((s.line, s.doc))
-            # of equal sets in this chunk the first is enough
-            keep = keep[np.unique(digest[keep], return_index=True)[1]]
+            keep = keep[~copy[keep]]
+            keep = keep[np.unique(id1[keep], return_index=True)[1]]
             size = np.zeros(len(n), np.int64)
             size[keep] = prefix_size(percent, n[keep])
-            owner, pos, value = _first(s, size)
-            yield pa.record_batch(
-                [signed(value), s.doc[owner], s.line[owner], n[owner].astype(np.int32), pos.astype(np.int32),
-                 signed(sig)[owner], signed(digest)[owner]],
-                ["key", "doc", "line", "n", "pos", "sig", "digest"])
+            owner, pos, value = leading(s.offsets, s.values, size)
+            if known.shared_values is not None:
+                some = _marked(known.shared_values, value)
+                owner, pos, value = owner[some], pos[some], value[some]
+            yield _record(value, s, owner, n, pos, sig, short)
+            equals = ~is_hot & ~s.again & _marked(known.shared_ids, combined(id1, id2))
+            at = np.flatnonzero(equals)
+            yield _record(id1[at], s, at, n, np.full(len(at), EQUALS), id2, short)
+            at = np.flatnonzero(~equals if units.reports_all else copy)
+            rep = np.where(is_hot, np.minimum(first, s.doc), s.doc)
+            yield _record(id1[at], s, at, n, np.full(len(at), SETTLED), rep, short)
 
     dealt = docs.mapInArrow(post, POSTING).repartition("key").sortWithinPartitions("key", "doc", "line")
-    return stage(dealt.mapInArrow(lambda batches: _nominate(batches, percent), TILE), "tiles")
+    return stage(dealt.mapInArrow(lambda batches: _nominate(batches, percent, units.reports_all), TILE), "tiles")
+
+
+def _record(key, s: Sets, at, n, pos, sig, short) -> pa.RecordBatch:
+    return pa.record_batch([signed(key) if key.dtype == np.uint64 else key, s.doc[at], s.line[at], n[at].astype(np.int32),
+                            pos.astype(np.int32), sig[at], short[at]],
+                           ["key", "doc", "line", "n", "pos", "sig", "digest"])
 
 
 def passes(percent: int, a: dict, i, b: dict, j):
@@ -155,7 +245,7 @@ def passes(percent: int, a: dict, i, b: dict, j):
     least = need(percent, ni + nj)
     dist = np.bitwise_count(a["sig"][i] ^ b["sig"][j])
     ok = (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj)) & (dist <= ni + nj - 2 * least) \
-        & (np.minimum(pi, pj) + np.minimum(ni - pi, nj - pj) >= least) & (a["digest"][i] != b["digest"][j])
+        & (np.minimum(pi, pj) + np.minimum(ni - pi, nj - pj) >= least)
     return ok, dist
 
 
@@ -166,6 +256,7 @@ def _columns(batch) -> dict[str, np.ndarray]:
     for name in ("n", "pos"):
         out[name] = out[name].astype(np.int64)
     out["sig"] = np.ascontiguousarray(out["sig"]).view(np.uint64)
+    out["digest"] = np.ascontiguousarray(out["digest"])
     return out
 
 
@@ -206,22 +297,52 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(starts, size), np.repeat(size, size)
 
 
-def _nominate(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _equals(c: dict, reports_all: bool) -> pa.RecordBatch:
+    """Units among equals (key and sig are their digest) and settled ones."""
+    order = np.lexsort((c["line"], c["doc"], c["pos"], c["sig"], c["key"]))
+    c = _take(c, order)
+    same = np.r_[True, (c["key"][1:] != c["key"][:-1]) | (c["sig"][1:] != c["sig"][:-1]) | (c["pos"][1:] != c["pos"][:-1])]
+    start = np.maximum.accumulate(np.where(same, np.arange(len(same)), 0))
+    settled = c["pos"] == SETTLED
+    first = np.where(settled, c["sig"].view(np.int64), c["doc"][start])
+    return _tile(_take(c, settled | reports_all | (c["doc"] != first)), first[settled | reports_all | (c["doc"] != first)])
+
+
+def _tile(c: dict, x_doc, x_line=None, dist=None, lead=None, more=None, is_open=None) -> pa.RecordBatch:
+    m = len(c["key"])
+    nothing = pa.nulls(m, pa.int64())
+    no_line, no = pa.nulls(m, pa.int32()), np.zeros(m, bool)
+    return pa.record_batch(
+        [c["key"], c["doc"], c["line"], c["n"].astype(np.int32), c["pos"].astype(np.int32), c["sig"].view(np.int64),
+         c["digest"], x_doc, no_line if x_line is None else x_line,
+         no_line if dist is None else dist, nothing if lead is None else lead[0], no_line if lead is None else lead[1],
+         no if more is None else more, no if is_open is None else is_open],
+        ["key", "doc", "line", "n", "pos", "sig", "digest", "x_doc", "x_line", "dist", "lead_doc", "lead_line", "more", "open"])
+
+
+def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool) -> Iterator[pa.RecordBatch]:
     for c, new in _streamed(batches, HELD_ROWS):
+        member = c["pos"] >= 0
+        if (~member & new).any():
+            yield _equals(_take(c, ~member & new), reports_all)
+        c, new = _take(c, member), new[member]
+        if not len(new):
+            continue
         many = _groups(c["key"])[1] > 1
         c, new = _take(c, many), new[many]
         if not len(new):
             continue
-        order = np.lexsort((c["line"], c["doc"], c["digest"], c["key"]))
-        k, d = c["key"][order], c["digest"][order]
-        first = np.sort(order[np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])]])
+        # equal sets (digest, signature and size) of a group count once
+        order = np.lexsort((c["line"], c["doc"], c["n"], c["sig"], c["digest"], c["key"]))
+        k = [c[x][order] for x in ("key", "digest", "sig", "n")]
+        first = np.sort(order[np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in k])]])
         c, new = _take(c, first), new[first]
         many = _groups(c["key"])[1] > 1
         c, new = _take(c, many), new[many]
         m = len(new)
         if not m:
             continue
-        start = _groups(c["key"])[0]
+        start, size = _groups(c["key"])
         best, at, seen = np.full(m, 99), np.full(m, -1), np.zeros(m, np.int64)
         for step in range(1, min(REACH, m - 1) + 1):
             same = np.flatnonzero(c["key"][step:] == c["key"][:-step])
@@ -236,28 +357,24 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         far = np.flatnonzero(np.arange(m) - start > REACH)
         lead = np.full(m, -1)
         lead[far] = np.where(passes(percent, c, far, c, start[far])[0], start[far], -1)
-        col = lambda name, i: pa.array(c[name][i], mask=i < 0)
         more = (seen > 1) | (np.arange(m) - start > REACH)
-        yield pa.record_batch(
-            [c["key"], c["doc"], c["line"], c["n"].astype(np.int32), c["pos"].astype(np.int32),
-             c["sig"].view(np.int64), c["digest"], col("doc", at), col("line", at), best.astype(np.int32),
-             col("doc", lead), col("line", lead), more],
-            ["key", "doc", "line", "n", "pos", "sig", "digest", "x_doc", "x_line", "dist", "lead_doc",
-             "lead_line", "more"]).filter(pa.array(new))
+        is_open = np.logical_or.reduceat(more, np.unique(start))[np.unique(start, return_inverse=True)[1]] \
+            | (size >= HELD_ROWS // 2) | (~new).any()
+        keep = new & (is_open | (at >= 0) | (lead >= 0))
+        col = lambda name, i: pa.array(c[name][i[keep]], mask=i[keep] < 0)
+        yield _tile(_take(c, keep), col("doc", at), col("line", at), best[keep].astype(np.int32),
+                    (col("doc", lead), col("line", lead)), more[keep], is_open[keep])
 
 
-PAIR = ["doc", "line", "x_doc", "x_line"]
-
-
-def nominated(t: DataFrame, per_unit: int = 2) -> DataFrame:
-    """The closest nominations of each unit, by ``place`` from 1; a unit with a
-    row at ``per_unit + 1`` has more of them."""
+def nominated(t: DataFrame) -> DataFrame:
+    """The nominations of each unit, the closest first by ``place`` from 1."""
+    t = t.where("pos >= 0")
     first = t.where("x_doc is not null").select(*PAIR, "dist")
     lead = t.where("lead_doc is not null").select(
         "doc", "line", F.col("lead_doc").alias("x_doc"), F.col("lead_line").alias("x_line"), F.lit(64).alias("dist"))
     pairs = first.unionByName(lead).groupBy(*PAIR).agg(F.min("dist").alias("dist"), F.count("*").alias("votes"))
     w = Window.partitionBy("doc", "line").orderBy("dist", F.desc("votes"), "x_doc", "x_line")
-    return pairs.withColumn("place", F.row_number().over(w)).where(F.col("place") <= per_unit + 1)
+    return pairs.withColumn("place", F.row_number().over(w))
 
 
 def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int | None = None) -> DataFrame:
@@ -265,16 +382,16 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
 
     ``open_units`` has doc, line, part, a row a unit: an open unit meets all
     units before it but those open in the same part.  ``per_unit`` keeps the
-    closest so many of each unit and value.  Groups without open units, or
-    all of one part, go before anything is gathered by value.
+    closest so many of each unit and value.  Groups where all was nominated, that
+    have no open unit, or only open units of one part go before anything is
+    gathered by value.
     """
-    side = t.select("key", "doc", "line", "n", "pos", "sig", "digest") \
-        .join(open_units.select("doc", "line", "part"), ["doc", "line"], "left") \
-        .withColumn("is_open", F.col("part").isNotNull()).withColumn("part", F.coalesce("part", F.lit(0)))
-    side = stage(side, "open-tiles")
-    live = side.groupBy("key").agg(F.max("is_open").alias("any"), F.min("is_open").alias("all"),
-                                   F.min("part").alias("lo"), F.max("part").alias("hi")) \
-        .where("any and not (all and lo = hi)").select("key")
+    members = t.where("pos >= 0 and open").select("key", "doc", "line", "n", "pos", "sig", "digest")
+    side = stage(members.join(open_units.select("doc", "line", "part"), ["doc", "line"], "left")
+                 .withColumn("is_open", F.col("part").isNotNull()).withColumn("part", F.coalesce("part", F.lit(0))), "open-tiles")
+    live = stage(side.groupBy("key").agg(F.max("is_open").alias("any"), F.min("is_open").alias("all"),
+                                         F.min("part").alias("lo"), F.max("part").alias("hi"))
+                 .where("any and not (all and lo = hi)").select("key"), "open-keys")
     side = side.join(live, "key").repartition("key").sortWithinPartitions("key", "doc", "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,65 +412,41 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
                         y = i[y, 0]
                         yield pa.record_batch([g["doc"][y], g["line"][y], g["doc"][x], g["line"][x]], PAIR)
 
-    return side.mapInArrow(run, "doc long, line int, x_doc long, x_line int").distinct()
-
-
-def _unit_bits(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return (mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + line.astype(np.uint64))
-            & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-
-
-def unit_filter(units: DataFrame) -> np.ndarray:
-    """Hashed bitmap of the units (doc, line): 2 MB whatever their number."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bits = _unit_bits(b.column(0).to_numpy(), b.column(1).to_numpy())
-            yield pa.record_batch([bits >> 6, np.int64(1) << (bits & 63)], ["word", "bits"])
-
-    got = units.select("doc", "line").mapInArrow(run, "word long, bits long") \
-        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-    return out
+    return side.mapInArrow(run, PAIR_TYPE).distinct()
 
 
-def full_sets(docs: DataFrame, make: MakeSets, units: DataFrame) -> DataFrame:
-    """Sorted values of the units asked for (and of a few more: the filter is
-    hashed), as doc, line, n, values (little-endian 64-bit)."""
-    wanted = docs.sparkSession.sparkContext.broadcast(unit_filter(units))
+def verify(pairs: DataFrame, docs: DataFrame, units: Units) -> DataFrame:
+    """The pairs that link, by the exact count of common values."""
+    percent = units.percent
+    either = pairs.select("doc", "line").union(pairs.select("x_doc", "x_line"))
+    wanted = docs.sparkSession.sparkContext.broadcast(hashed_bits(either, "doc", "line"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "text"):
-            s = make(chunk, NONE_HEAVY)
-            bits = _unit_bits(s.doc, s.line)
-            at = np.flatnonzero((wanted.value[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1))
-            for lo in range(0, len(at), 500):
-                i = at[lo:lo + 500]
-                values = [np.sort(s.values[s.offsets[k]:s.offsets[k + 1]]).tobytes() for k in i]
-                yield pa.record_batch([s.doc[i], s.line[i], pa.array(values, pa.binary())], ["doc", "line", "values"])
-
-    return stage(docs.mapInArrow(run, "doc long, line int, values binary"), "sets")
-
-
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, by the exact count of common values."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = np.zeros(b.num_rows, bool)
-            for k, (a, c) in enumerate(zip(b.column("a"), b.column("b"), strict=True)):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), np.uint64)
-                common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep[k] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield b.select(PAIR).filter(pa.array(keep))
-
-    both = pairs.select(*PAIR).join(sets.withColumnRenamed("values", "a"), ["doc", "line"]) \
-        .join(sets.select(F.col("doc").alias("x_doc"), F.col("line").alias("x_line"), F.col("values").alias("b")),
+            doc, line, text = units.texts(chunk)
+            at = np.flatnonzero(_marked(wanted.value, combined(doc, line)))
+            yield pa.record_batch([doc[at], line[at], text.take(pa.array(at))], ["doc", "line", "text"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches, "a", 2 << 20):
+            numbers = pa.array(np.arange(chunk.num_rows))
+            a, b = (units.sets(pa.record_batch([numbers, chunk.column(c)], ["doc", "text"]), NONE_HEAVY) for c in "ab")
+            keep = np.zeros(chunk.num_rows, bool)
+            place = {d: k for k, d in enumerate(b.doc.tolist())}
+            for i, d in enumerate(a.doc.tolist()):
+                if (k := place.get(d)) is None:
+                    continue
+                x, y = a.values[a.offsets[i]:a.offsets[i + 1]], b.values[b.offsets[k]:b.offsets[k + 1]]
+                both = np.sort(np.concatenate([x, y]))
+                common = int((both[1:] == both[:-1]).sum())
+                keep[d] = 100 * common >= percent * (len(both) - common)
+            yield chunk.select(PAIR).filter(pa.array(keep))
+
+    texts = stage(docs.mapInArrow(pick, "doc long, line int, text string"), "texts")
+    both = pairs.select(*PAIR).join(texts.withColumnRenamed("text", "a"), ["doc", "line"]) \
+        .join(texts.select(F.col("doc").alias("x_doc"), F.col("line").alias("x_line"), F.col("text").alias("b")),
               ["x_doc", "x_line"])
-    return both.select(*PAIR, "a", "b").mapInArrow(run, "doc long, line int, x_doc long, x_line int")
-
-
-def units_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select("doc", "line").union(pairs.select("x_doc", "x_line"))
+    return both.select(*PAIR, "a", "b").mapInArrow(count, PAIR_TYPE)
 
 
 def known_id(doc_id: Column) -> Column:
