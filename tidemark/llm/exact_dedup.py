@@ -4,9 +4,9 @@ Method: sampled splitters range-partition the normalised text, the sort within
 the partitions puts equals next to each other, neighbours are compared in
 full, and the smallest doc_id of each run of equals stays.
 
-``repartitionByRange`` samples the splitters; the window over (text, salt)
-keeps that partitioning, sorts externally and compares neighbouring keys in
-full.  A text with a large share of the rows would fill one range, so such
+``repartitionByRange`` samples the splitters; the window over (head of the
+text, hash, salt, text) keeps that partitioning, sorts externally and compares
+neighbouring keys in full.  A text with a large share of the rows would fill one range, so such
 texts (at most ``HOT_SLOTS`` by their definition, found by a digest count) are
 salted: their rows go to several ranges and the runs are added up afterwards.
 
@@ -36,8 +36,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     # fewer than HOT_SLOTS rows by definition, so they are sent to all tasks
     salted = norm.withColumn("h", F.xxhash64("norm")).join(F.broadcast(hot), "h", "left").withColumn("salt", salt)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    run = Window.partitionBy("norm", "salt")
-    ranked = salted.drop("h").repartitionByRange(parts, "norm", "salt").select(
+    # Splitters are collected by the driver, so they hold the head of a text and
+    # its hash only; the window still compares the whole text.
+    place = ["head", "h", "salt"]
+    run = Window.partitionBy(*place, "norm")
+    ranked = salted.withColumn("head", F.substring("norm", 1, 32)).repartitionByRange(parts, *place).select(
         "doc_id", "hot", F.min("doc_id").over(run).alias("first_id"), F.count("*").over(run).alias("n"),
         F.row_number().over(run.orderBy(F.col("doc_id").asc_nulls_last())).alias("place"),
         F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"))
