@@ -1,6 +1,7 @@
 import datetime as dt
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.runinfo import run_info
@@ -19,11 +20,15 @@ def _name(p):
     return f"{p}_{uuid.uuid4().hex[:8]}"
 
 
-def test_tables_live_under_the_shared_folder(spark):
+def test_tables_live_under_the_table_root(spark, tmp_path):
     name = _name("t")
     loc = replace_table(spark, spark.range(10), name)
-    assert loc.startswith(shared_dir(spark))
-    assert table_count(spark, name) == 10
+    assert not loc.startswith(shared_dir(spark))  # scratch holds no tables
+    assert loc.startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/"))
+    own = replace_table(spark, spark.range(10), name, root=f"file:{tmp_path}")
+    assert own.startswith(f"file:{tmp_path}")
+    assert spark.table(name).count() == 10
+    spark.sql(f"drop table {name}")
 
 
 def test_replace_table_allows_new_schema(spark):
@@ -106,6 +111,28 @@ def test_ingest_all(spark):
     log = ingest_all(spark, example_control(spark), run, _name("log"), table_prefix=prefix)
     got = {r.sourceName: r.sourceCount for r in log.collect()}
     n_orders = spark.read.parquet(f"{SF}/orders.parquet").count()
-    assert got["orders"] == n_orders and got["lineitem"] == 0 and "customer" not in got
+    assert got["orders"] == n_orders and got["lineitem"] == spark.table("lineitem").count() and "customer" not in got
     assert got["events"] > 0
     assert "ETL_CREATED_DTTM" in spark.table(prefix + "orders").columns
+
+
+def test_failed_write_keeps_the_table(spark):
+    from pyspark.sql import functions as F
+    from tidemark.sources.sinks import replace_table
+    replace_table(spark, spark.range(3), "t_keep")
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(spark, bad, "t_keep")
+    assert spark.table("t_keep").count() == 3
+    replace_table(spark, spark.table("t_keep").where("id > 0"), "t_keep")  # reads itself
+    assert spark.table("t_keep").count() == 2
+    spark.sql("drop table t_keep")
+
+
+def test_publish_refuses_another_type(spark):
+    from tidemark.sources.sinks import publish
+    publish(spark, spark.range(2), "t_type")
+    with pytest.raises(ValueError, match="differ"):
+        publish(spark, spark.range(2).selectExpr("cast(id as string) id"), "t_type")
+    assert spark.table("t_type").count() == 2
+    spark.sql("drop table t_type")

@@ -25,7 +25,8 @@ def run_info(spark: SparkSession, now: dt.datetime | None = None, environment: s
     One one-row query; the value is cast to a zone-less timestamp before it
     reaches Python so the wall clock does not depend on the driver's zone.
     """
-    utc = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+    # from text, so that the driver's zone does not matter
+    utc = F.lit(str(now)).cast("timestamp_ntz").cast("timestamp") if now is not None else F.current_timestamp()
     start = spark.range(1).select(central_time(utc).cast("timestamp_ntz").alias("t")).first()["t"]
     return RunInfo(start, start.strftime("%Y%m%d%H%M%S"), start.isoformat(), environment)
 

@@ -33,11 +33,14 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-_SPREADABLE = (T.IntegralType, T.StringType)
+def _spreadable(t: T.DataType) -> bool:
+    """Can a bucket number be a value of this key type?"""
+    return isinstance(t, (T.IntegralType, T.StringType)) or isinstance(t, T.DecimalType) and t.precision - t.scale >= 10
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-              spread_null_keys: bool = True, drop_right_keys: bool = True) -> DataFrame:
+              spread_null_keys: bool = True, drop_right_keys: bool = True,
+              spread_by: str | None = None) -> DataFrame:
     """LEFT JOIN ``right`` on pairs ``(left_col, right_col)`` of equal keys.
 
     Right key columns are dropped (they equal the left keys or are NULL)
@@ -45,8 +48,9 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     Key columns are matched by name, so the same frame may be joined twice.
 
     With ``spread_null_keys`` a NULL left key is replaced, for the join only,
-    by a spread value of the same type (a hash of the row modulo the shuffle
-    partition count), and ``left key IS NOT NULL`` is added to the ON
+    by a spread value of the same type (a hash of ``spread_by``, by default the
+    first left column, modulo the shuffle partition count; other columns are not
+    read for it), and ``left key IS NOT NULL`` is added to the ON
     condition.  A LEFT join cannot push that condition into its left input,
     so the replaced rows never match (whatever value they got) while their
     exchange spreads them over all reducers.  The right side keeps its own
@@ -56,11 +60,11 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     right = right.withColumnsRenamed(tmp)
     types = dict((f.name, f.dataType) for f in left.schema.fields)
     lkeys = [lk for lk, _ in on]
-    spread = spread_null_keys and isinstance(types.get(lkeys[0]), _SPREADABLE)
+    spread = spread_null_keys and lkeys[0] in types and _spreadable(types[lkeys[0]])
     join_left = {lk: lk for lk in lkeys}
     if spread:
         any_null = " OR ".join(f"{_q(k)} IS NULL" for k in lkeys)
-        row_hash = "xxhash64(" + ", ".join(_q(c) for c in left.columns) + ")"
+        row_hash = f"xxhash64({_q(spread_by or left.columns[0])})"
         n = _spread_buckets(left)
         first = lkeys[0]
         left = left.withColumn("__lk", F.expr(

@@ -17,7 +17,6 @@ the benchmark comparison.
 """
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -259,9 +258,8 @@ def _clock(as_of, ts_type: T.DataType) -> Column:
         return F.current_timestamp().cast(ts_type)
     if isinstance(as_of, Column):
         return as_of.cast(ts_type)
-    if isinstance(as_of, str):
-        as_of = _dt.datetime.fromisoformat(as_of)
-    return F.lit(as_of).cast(ts_type)
+    # from text, so that the driver's zone does not matter
+    return F.lit(str(as_of)).cast("timestamp_ntz").cast(ts_type)
 
 
 def with_thresholds(m: DataFrame, thresholds: DataFrame, max_rows: int = 10_000) -> DataFrame:
@@ -274,7 +272,9 @@ def with_thresholds(m: DataFrame, thresholds: DataFrame, max_rows: int = 10_000)
 
 
 def _ts_type(m: DataFrame) -> T.DataType:
-    return m.schema["PO_DATE"].dataType
+    """Times stay times even where PO_DATE arrives as a date."""
+    t = m.schema["PO_DATE"].dataType
+    return t if isinstance(t, (T.TimestampType, T.TimestampNTZType)) else T.TimestampNTZType()
 
 
 def milestones(m: DataFrame, thresholds: DataFrame, as_of=None,

@@ -24,7 +24,7 @@ from ..operators.joins import left_join
 from ..sources import bronze as br
 from ..sources.control import example_control
 from ..sources.extract import extract_full, extract_incremental
-from ..sources.sinks import (append_run_log, compact_table, publish, replace_table, table_count,
+from ..sources.sinks import (append_run_log, compact_table, publish, replace_table, table_count, truncate_append,
                              with_audit_ts)
 from . import oracle as o
 from .ingest_job import ingest_all
@@ -696,7 +696,7 @@ def s11_truncate_append(spark, sf):
     name = _uniq("silver_milestone")
     df = silver_milestones(bronze(spark, sf), AS_OF, first_red_status="AMBER")
     publish(spark, df, name)
-    publish(spark, df, name)
+    truncate_append(spark, df, name)
     return spark.table(name)
 
 
@@ -717,8 +717,8 @@ SELECT '{INGEST_BATCH}' AS batchId, 'events' AS sourceName, count(*) AS sourceCo
   FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '{INGEST_JOB_START}'
 UNION ALL
 SELECT '{INGEST_BATCH}', 'lineitem', count(*),
-  'SELECT * FROM lineitem WHERE l_returnflag = ''none'' AND l_linestatus = "none"'
-  FROM lineitem WHERE l_returnflag = 'none' AND l_linestatus = 'none'
+  'SELECT * FROM lineitem WHERE l_returnflag <> ''none'' OR l_linestatus = "none"'
+  FROM lineitem WHERE l_returnflag <> 'none' OR l_linestatus = 'none'
 UNION ALL
 SELECT '{INGEST_BATCH}', 'orders', count(*), 'SELECT * FROM orders' FROM orders"""
 

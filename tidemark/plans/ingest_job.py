@@ -18,8 +18,14 @@ from ..sources.sinks import append_run_log, compact_table, replace_table, table_
 
 def ingest_all(spark: SparkSession, control: DataFrame, run: RunInfo, log_table: str,
                fmt: str = "sql", read_config: dict | None = None, table_prefix: str = "bronze_",
-               target_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Load every active source; returns this run's log rows."""
+               target_bytes: int = 128 * 1024 * 1024, table_format: str = "parquet",
+               table_root: str | None = None) -> DataFrame:
+    """Load every active source; returns this run's log rows.
+
+    ``fmt`` is the format of the extracts, ``table_format`` and ``table_root``
+    are those of the tables.  An incremental extract replaces the bronze table
+    by its increment, as the original job does.
+    """
     for row in active_sources(control).collect():
         start = central_now()
         options = resolve_options(read_config or {}, row["schema"] or "")
@@ -30,9 +36,9 @@ def ingest_all(spark: SparkSession, control: DataFrame, run: RunInfo, log_table:
             query = row["sourceQuery"]
             df = extract_full(spark, query, fmt, options)
         name = f"{table_prefix}{row['sourceName']}"
-        replace_table(spark, with_audit_ts(df, run.job_start), name)
+        replace_table(spark, with_audit_ts(df, run.job_start), name, table_format, table_root)
         count = table_count(spark, name)
-        compact_table(spark, name, target_bytes)
+        compact_table(spark, name, target_bytes, table_format, table_root)
         append_run_log(spark, [(run.batch_id, row["sourceName"], start, central_now(), count, query)],
-                       log_table)
+                       log_table, table_format, table_root)
     return spark.table(log_table).where(F.col("batchId") == F.lit(run.batch_id))
