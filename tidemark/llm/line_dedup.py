@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import split_words, stage
-from .setjoin import NO_ID, PAIR, Heavy, Sets, Units, known_id, more_pairs, nominated, survey, tiles, verify
+from .setjoin import NO_ID, PAIR, Heavy, Sets, Units, equal_units, known_id, more_pairs, nominated, survey, tiles, verify
 
 MIN_WORDS = 8
 
@@ -88,10 +88,10 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS)
     docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
     units = Lines(percent, min_words)
     t = tiles(docs, units, survey(docs, units))
-    equal = t.where("pos < 0").select("doc", "line", "x_doc")
+    equal = equal_units(t).select("doc", "line", "x_doc")
     near = stage(nominated(t), "nominated")
     tested = near.where("place <= 2").select(*PAIR)
-    found = stage(verify(tested, docs, units), "near-lines")
+    found = stage(verify(tested, t, docs, units), "near-lines")
     # still open: nominated but not tested, or not all nominated, and not removed yet
     gone = found.select("doc", "line").union(equal.select("doc", "line"))
     left = near.where("place > 2").select(*PAIR).join(gone, ["doc", "line"], "left_anti").select(*PAIR)
@@ -99,7 +99,7 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS)
         .join(gone, ["doc", "line"], "left_anti").withColumn("part", F.xxhash64("doc", "line"))
     pairs = stage(left.union(more_pairs(t, percent, rest)).distinct().join(tested, PAIR, "left_anti"), "pairs")
     if not pairs.isEmpty():
-        found = found.unionByName(verify(pairs, docs, units))
+        found = found.unionByName(verify(pairs, t, docs, units))
     return equal.unionByName(found.select("doc", "line", "x_doc")) \
         .groupBy("doc", "line").agg(F.min("x_doc").alias("x_doc"))
 

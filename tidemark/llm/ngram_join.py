@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import mix, split_words, stage
 from .components import components
-from .setjoin import (NO_ID, PAIR, Heavy, Sets, Units, digests, known_id, leading, more_pairs, nominated, prefix_size,
+from .setjoin import (NO_ID, PAIR, Heavy, Sets, Units, digests, equal_units, known_id, leading, more_pairs, nominated, prefix_size,
                       survey, tiles, verify)
 
 
@@ -95,11 +95,11 @@ def similar_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[D
     docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
     units = Shingles(words, percent)
     t = tiles(docs, units, survey(docs, units))
-    classes = t.where("pos < 0").select("doc", F.col("n").cast("long").alias("n_shingles"), F.col("x_doc").alias("rep"))
+    classes = equal_units(t).select("doc", F.col("n").cast("long").alias("n_shingles"), F.col("x_doc").alias("rep"))
 
     near = stage(nominated(t), "nominated")
     tested = near.where("place = 1").select(*PAIR)
-    links = stage(verify(tested, docs, units), "links")
+    links = stage(verify(tested, t, docs, units), "links")
     for per_unit in (3, None):
         label = components(links.select(F.col("doc").alias("a"), F.col("x_doc").alias("b")))
         part = lambda name: label.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
@@ -112,7 +112,7 @@ def similar_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[D
         pairs = stage(left.union(more_pairs(t, percent, parts, per_unit)).distinct().join(tested, PAIR, "left_anti"), "pairs")
         if pairs.isEmpty():
             break
-        links = stage(links.union(verify(pairs, docs, units)), "links")
+        links = stage(links.union(verify(pairs, t, docs, units)), "links")
         tested = tested.union(pairs)
     else:
         label = components(links.select(F.col("doc").alias("a"), F.col("x_doc").alias("b")))

@@ -17,8 +17,10 @@ of one) with a set of 64-bit hashes each.  Two sets link when
    (each set bit needs a value that only one set has).  It nominates the closest
    of those that pass.  Equal units meet by digest in the same shuffle; those of
    a heavy digest are settled where they lie, so no task gathers them.
-3. ``verify`` joins the nominated pairs with the units' texts and counts the
-   intersection of the sorted arrays.
+3. ``verify`` first holds the nominated pairs against whole bitmaps, about one
+   bit per value of a set (the 64 bits of a posting say little about sets of
+   hundreds of values), then joins the pairs left with the units' texts and
+   counts the intersection of the sorted arrays.
 4. ``more_pairs`` lists what passes the bounds and was not nominated, only for
    sets whose outcome is still open.  A group of n near copies so costs about n
    comparisons, not n squared, and no link is lost.
@@ -30,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import mix, signed, stage, text_chunks
@@ -42,13 +45,17 @@ REACH = 31
 HELD_ROWS = 500_000
 #: Bits of the hashed bitmaps, fixed whatever the input.
 FILTER_BITS = 1 << 24
+#: Values of sets turned into bitmaps at once.
+SLICE = 1 << 17
 #: Stands for a missing doc_id inside the join; ranks last.
 NO_ID = (1 << 63) - 1
-#: ``pos`` of rows that are no set members: a unit among equals, a settled unit.
-EQUALS, SETTLED = -1, -2
+#: ``pos`` of rows that are no set members: a unit among equals, a settled unit,
+#: a unit's whole bitmap.
+EQUALS, SETTLED, BITMAP = -1, -2, -3
 
 POSTING = "key long, doc long, line int, n int, pos int, sig long, digest int"
-TILE = POSTING + ", x_doc long, x_line int, dist int, lead_doc long, lead_line int, more boolean, open boolean"
+DEALT = POSTING + ", bitmap binary"
+TILE = POSTING + ", x_doc long, x_line int, dist int, lead_doc long, lead_line int, more boolean, open boolean, bitmap binary"
 PAIR = ["doc", "line", "x_doc", "x_line"]
 PAIR_TYPE = "doc long, line int, x_doc long, x_line int"
 
@@ -191,16 +198,38 @@ def digests(offsets: np.ndarray, values: np.ndarray, salt: int = 0) -> np.ndarra
     return _reduce(np.add, mix(values + np.uint64(salt)), offsets)
 
 
+def bitmaps(s: Sets, at: np.ndarray) -> pa.Array:
+    """Parity bitmap of each set of ``at`` (ascending), of the least power of two
+    of bits that reaches its size, 64 at least.  XOR of its two halves gives the
+    bitmap of half the bits."""
+    n = np.diff(s.offsets)
+    bits = np.zeros(len(n), np.int64)
+    bits[at] = np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(n[at], 1))).astype(np.int64))
+    base = np.r_[0, np.cumsum(bits)]
+    odd = np.zeros(base[-1], np.uint8)
+    # a long text's set is large: its temporaries are held for a slice at a time
+    for lo in range(0, int(s.offsets[-1]), SLICE):
+        values = s.values[lo:lo + SLICE]
+        owner = np.searchsorted(s.offsets, np.arange(lo, lo + len(values)), "right") - 1
+        some = bits[owner] > 0
+        owner, values = owner[some], values[some]
+        place = base[owner] + (values & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+        np.add.at(odd, place, np.uint8(1))
+    odd &= 1
+    starts = (base[np.r_[at, len(n)]] // 8).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(starts), pa.py_buffer(np.packbits(odd))])
+
+
 def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
-    """Nominations and open members of the value groups (pos >= 0), and the units
-    with an equal one (pos < 0, the smallest document in x_doc)."""
+    """Nominations and open members of the value groups (pos >= 0), the units
+    with an equal one (``equal_units``) and the whole bitmaps of those dealt out."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
     percent = units.percent
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         hot = np.array(sorted({k for k, _ in known.hot_ids}), np.int64)
-        for chunk in text_chunks(batches, "text"):
+        for chunk in text_chunks(batches, "text", 3 << 20):
             s = units.sets(chunk, known.heavy)
             n, id1, id2 = np.diff(s.offsets), signed(s.id1), signed(s.id2)
             sig = signed(_reduce(np.bitwise_xor, np.uint64(1) << (s.values >> np.uint64(58)), s.offsets))
@@ -221,6 +250,8 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
                 some = _marked(known.shared_values, value)
                 owner, pos, value = owner[some], pos[some], value[some]
             yield _record(value, s, owner, n, pos, sig, short)
+            at = np.unique(owner)
+            yield _record(combined(s.doc[at], s.line[at]), s, at, n, np.full(len(at), BITMAP), sig, short, bitmaps(s, at))
             equals = ~is_hot & ~s.again & _marked(known.shared_ids, combined(id1, id2))
             at = np.flatnonzero(equals)
             yield _record(id1[at], s, at, n, np.full(len(at), EQUALS), id2, short)
@@ -228,14 +259,20 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
             rep = np.where(is_hot, np.minimum(first, s.doc), s.doc)
             yield _record(id1[at], s, at, n, np.full(len(at), SETTLED), rep, short)
 
-    dealt = docs.mapInArrow(post, POSTING).repartition("key").sortWithinPartitions("key", "doc", "line")
-    return stage(dealt.mapInArrow(lambda batches: _nominate(batches, percent, units.reports_all), TILE), "tiles")
+    dealt = docs.mapInArrow(post, DEALT).repartition("key").sortWithinPartitions("key", "doc", "line")
+    return stage(dealt.mapInArrow(lambda batches: _settled(batches, percent, units.reports_all), TILE), "tiles")
+
 
+def equal_units(t: DataFrame) -> DataFrame:
+    """Units with an equal one, the smallest document in x_doc."""
+    return t.where(F.col("pos").isin(EQUALS, SETTLED))
 
-def _record(key, s: Sets, at, n, pos, sig, short) -> pa.RecordBatch:
+
+def _record(key, s: Sets, at, n, pos, sig, short, bitmap=None) -> pa.RecordBatch:
     return pa.record_batch([signed(key) if key.dtype == np.uint64 else key, s.doc[at], s.line[at], n[at].astype(np.int32),
-                            pos.astype(np.int32), sig[at], short[at]],
-                           ["key", "doc", "line", "n", "pos", "sig", "digest"])
+                            pos.astype(np.int32), sig[at], short[at],
+                            pa.nulls(len(at), pa.binary()) if bitmap is None else bitmap],
+                           ["key", "doc", "line", "n", "pos", "sig", "digest", "bitmap"])
 
 
 def passes(percent: int, a: dict, i, b: dict, j):
@@ -308,7 +345,7 @@ def _equals(c: dict, reports_all: bool) -> pa.RecordBatch:
     return _tile(_take(c, settled | reports_all | (c["doc"] != first)), first[settled | reports_all | (c["doc"] != first)])
 
 
-def _tile(c: dict, x_doc, x_line=None, dist=None, lead=None, more=None, is_open=None) -> pa.RecordBatch:
+def _tile(c: dict, x_doc, x_line=None, dist=None, lead=None, more=None, is_open=None, bitmap=None) -> pa.RecordBatch:
     m = len(c["key"])
     nothing = pa.nulls(m, pa.int64())
     no_line, no = pa.nulls(m, pa.int32()), np.zeros(m, bool)
@@ -316,8 +353,31 @@ def _tile(c: dict, x_doc, x_line=None, dist=None, lead=None, more=None, is_open=
         [c["key"], c["doc"], c["line"], c["n"].astype(np.int32), c["pos"].astype(np.int32), c["sig"].view(np.int64),
          c["digest"], x_doc, no_line if x_line is None else x_line,
          no_line if dist is None else dist, nothing if lead is None else lead[0], no_line if lead is None else lead[1],
-         no if more is None else more, no if is_open is None else is_open],
-        ["key", "doc", "line", "n", "pos", "sig", "digest", "x_doc", "x_line", "dist", "lead_doc", "lead_line", "more", "open"])
+         no if more is None else more, no if is_open is None else is_open,
+         pa.nulls(m, pa.binary()) if bitmap is None else bitmap],
+        ["key", "doc", "line", "n", "pos", "sig", "digest", "x_doc", "x_line", "dist", "lead_doc", "lead_line", "more", "open", "bitmap"])
+
+
+def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool) -> Iterator[pa.RecordBatch]:
+    """Bitmaps as they come, apart from the value groups."""
+    aside = []
+
+    def others() -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.drop_columns(["bitmap"])
+            whole = pc.equal(b.column("pos"), BITMAP)
+            if pc.any(whole).as_py():
+                at = b.filter(whole)
+                aside.append(_tile(_columns(at.drop_columns(["bitmap"])), pa.nulls(at.num_rows, pa.int64()),
+                                   bitmap=at.column("bitmap")))
+                rows = rows.filter(pc.invert(whole))
+            yield rows
+
+    for out in _nominate(others(), percent, reports_all):
+        while aside:
+            yield aside.pop()
+        yield out
+    yield from aside
 
 
 def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool) -> Iterator[pa.RecordBatch]:
@@ -415,9 +475,42 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
     return side.mapInArrow(run, PAIR_TYPE).distinct()
 
 
-def verify(pairs: DataFrame, docs: DataFrame, units: Units) -> DataFrame:
+def may_link(pairs: DataFrame, t: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the bit counts of their whole bitmaps leave."""
+    whole = t.where(F.col("pos") == BITMAP)
+
+    def side(doc: str, line: str, name: str) -> DataFrame:
+        return whole.select(F.col("doc").alias(doc), F.col("line").alias(line), F.col("n").alias(f"n_{name}"),
+                            F.col("bitmap").alias(name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches, "a", 2 << 20):
+            n = chunk.column("n_a").to_numpy().astype(np.int64) + chunk.column("n_b").to_numpy()
+            size = [pc.binary_length(chunk.column(c)).to_numpy() for c in "ab"]
+            dist = np.zeros(chunk.num_rows, np.int64)
+            for both in np.unique(np.stack(size), axis=1).T:
+                at = np.flatnonzero((size[0] == both[0]) & (size[1] == both[1]))
+                a, b = (_folded(chunk.column(c).take(pa.array(at)), both.min()) for c in "ab")
+                dist[at] = np.bitwise_count(a ^ b).sum(axis=1)
+            yield chunk.select(PAIR).filter(pa.array(dist <= n - 2 * need(percent, n)))
+
+    both = pairs.select(*PAIR).join(side("doc", "line", "a"), ["doc", "line"]).join(side("x_doc", "x_line", "b"), ["x_doc", "x_line"])
+    return both.select(*PAIR, "n_a", "n_b", "a", "b").mapInArrow(run, PAIR_TYPE).distinct()
+
+
+def _folded(bitmap: pa.Array, size: int) -> np.ndarray:
+    """Bitmaps of one size, a row each, halved to ``size`` bytes."""
+    out = np.frombuffer(b"".join(bitmap.to_pylist()), np.uint64).reshape(len(bitmap), -1)
+    while out.shape[1] * 8 > size:
+        half = out.shape[1] // 2
+        out = out[:, :half] ^ out[:, half:]
+    return out
+
+
+def verify(pairs: DataFrame, t: DataFrame, docs: DataFrame, units: Units) -> DataFrame:
     """The pairs that link, by the exact count of common values."""
     percent = units.percent
+    pairs = stage(may_link(pairs, t, percent), "bitmap-pairs")
     either = pairs.select("doc", "line").union(pairs.select("x_doc", "x_line"))
     wanted = docs.sparkSession.sparkContext.broadcast(hashed_bits(either, "doc", "line"))
 
