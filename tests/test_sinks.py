@@ -92,6 +92,25 @@ def test_incremental_extract_open_closed(spark):
     assert sorted(r.ts.day for r in out.collect()) == [11, 20]
 
 
+@pytest.mark.parametrize("where", [
+    "<IncrementalColumn> > '<IncrementalStartTime>' AND <IncrementalColumn> <= '<JobStartTime>'",
+    "e.<IncrementalColumn> > '<IncrementalStartTime>' AND e.<IncrementalColumn> <= '<JobStartTime>'",
+    "<IncrementalColumn> > TIMESTAMP '<IncrementalStartTime>' AND <IncrementalColumn> <= timestamp_ntz'<JobStartTime>'",
+    "concat('[', <IncrementalColumn>) > '[<IncrementalStartTime>' AND concat('[', <IncrementalColumn>) <= '[<JobStartTime>'",
+])
+def test_incremental_template_forms(spark, where):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, d),) for d in (9, 10, 11, 20, 21)], "ts timestamp_ntz")
+    df.createOrReplaceTempView("inc_forms")
+    out, _ = extract_incremental(spark, f"SELECT * FROM inc_forms e WHERE {where}", "ts",
+                                 dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20))
+    assert sorted(r.ts.day for r in out.collect()) == [11, 20]
+
+
+def test_incremental_column_is_a_name():
+    text, _ = bound_query("SELECT <IncrementalColumn> FROM e", "ts` FROM x --", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+    assert text == "SELECT `ts`` FROM x --` FROM e"
+
+
 def test_control_and_options(spark):
     rows = active_sources(example_control(spark)).collect()
     assert [r.sourceName for r in rows] == ["events", "lineitem", "orders"]

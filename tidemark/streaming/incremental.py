@@ -1,7 +1,9 @@
 """Bounded incremental window ``(start, job_start]`` of an extract.
 
 Templates use the placeholders ``<IncrementalColumn>``,
-``<IncrementalStartTime>`` and ``<JobStartTime>``, optionally in quotes.
+``<IncrementalStartTime>`` and ``<JobStartTime>``, alone, in quotes, after a
+type keyword (``TIMESTAMP '<JobStartTime>'``) or inside a longer quoted text; the
+column may follow a table alias (``e.<IncrementalColumn>``).
 """
 from __future__ import annotations
 
@@ -11,16 +13,37 @@ import re
 # Placeholder names of the extract templates.
 COLUMN, START, JOB_START = "<IncrementalColumn>", "<IncrementalStartTime>", "<JobStartTime>"
 
+_LITERAL = re.compile(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")""", re.DOTALL)
+_TYPED = re.compile(r"\b(timestamp(_ntz|_ltz)?|date|interval)\s*$", re.IGNORECASE)
+
 
 def bound_query(template: str, column: str, start: dt.datetime,
                 job_start: dt.datetime) -> tuple[str, dict]:
-    """Template -> (Spark SQL with named parameters, args)."""
-    text = template.replace(COLUMN, "IDENTIFIER(:inc_column)")
-    for ph, name in ((START, ":inc_start"), (JOB_START, ":inc_job_start")):
-        text = re.sub(r"'" + re.escape(ph) + r"'|" + re.escape(ph), name, text)
+    """Template -> (Spark SQL with named parameters, args).
+
+    A placeholder that stands for a whole value becomes a parameter, one inside
+    a longer literal or after a type keyword escaped text, and the column a
+    quoted name.
+    """
     # Bounds travel as text: compared with the column they are read in its own
     # type, so no time zone is applied on the way.
-    return text, {"inc_column": column, "inc_start": str(start), "inc_job_start": str(job_start)}
+    names = {START: "inc_start", JOB_START: "inc_job_start"}
+    values = {START: str(start), JOB_START: str(job_start), COLUMN: column}
+    name = ".".join("`" + part.replace("`", "``") + "`" for part in column.split("."))
+    parts = _LITERAL.split(template)
+    for k, part in enumerate(parts):
+        if k % 2 == 0:
+            part = part.replace(COLUMN, name)
+            for ph, param in names.items():
+                part = part.replace(ph, f":{param}")
+        elif part[1:-1] in names and not _TYPED.search(parts[k - 1]):
+            part = f":{names[part[1:-1]]}"
+        else:
+            for ph, value in values.items():
+                part = part.replace(ph, re.sub(r"(['\"\\])", r"\\\1", value))
+        parts[k] = part
+    text = "".join(parts)
+    return text, {param: values[ph] for ph, param in names.items() if f":{param}" in text}
 
 
 def render_query(template: str, column: str, start: dt.datetime, job_start: dt.datetime) -> str:
