@@ -33,6 +33,8 @@ class Lines(Units):
     equal."""
 
     counts_all = True
+    # lines have few enough words for the bits of a posting, and share frequent ones
+    reach, bitmap_from = 255, 129
 
     def __init__(self, percent: int, min_words: int):
         self.percent, self.min_words = percent, min_words

@@ -11,16 +11,17 @@ of one) with a set of 64-bit hashes each.  Two sets link when
    Sets are ordered by (heavy count, hash): rare values first, common ones last.
 2. ``tiles``: two linked sets share a value among their first
    ``n - ceil(percent * n / 100) + 1``, so these are dealt out by value.  Each
-   sorted value group is read as a stream; each set is compared with the 31
-   before it and the first of its group under three exact bounds: sizes,
-   positions of the shared value, and the bit count of the XOR of parity bitmaps
-   (each set bit needs a value that only one set has).  It nominates the closest
-   of those that pass.  Equal units meet by digest in the same shuffle; those of
-   a heavy digest are settled where they lie, so no task gathers them.
+   value group, sorted by size, is read as a stream; each set is compared with the
+   ``reach`` before it whose sizes allow a link, and the first of its size, under
+   three exact bounds: sizes, positions of the shared value, and the bit count of
+   the XOR of parity bitmaps (each set bit needs a value that only one set has).
+   Of the pairs that pass, the later unit nominates the closest.  Equal units meet
+   by digest in the same shuffle; those of a heavy digest are settled where they
+   lie, so no task gathers them.
 3. ``verify`` first holds the nominated pairs against whole bitmaps, about one
-   bit per value of a set (the 64 bits of a posting say little about sets of
-   hundreds of values), then joins the pairs left with the units' texts and
-   counts the intersection of the sorted arrays.
+   bit per value of a set (the 128 bits of a posting say little about sets of
+   hundreds of values; smaller sets need no more), then joins the pairs left with
+   the units' texts and counts the intersection of the sorted arrays.
 4. ``more_pairs`` lists what passes the bounds and was not nominated, only for
    sets whose outcome is still open.  A group of n near copies so costs about n
    comparisons, not n squared, and no link is lost.
@@ -39,8 +40,6 @@ from .common import mix, signed, stage, text_chunks
 
 #: At most this many heavy values, and heavy digests, exist by their definition.
 HEAVY_SLOTS = 1 << 20
-#: Sets before it with which a set is compared in the first round.
-REACH = 31
 #: Rows of one value group held at once by the streaming stage.
 HELD_ROWS = 500_000
 #: Bits of the hashed bitmaps, fixed whatever the input.
@@ -53,7 +52,7 @@ NO_ID = (1 << 63) - 1
 #: a unit's whole bitmap.
 EQUALS, SETTLED, BITMAP = -1, -2, -3
 
-POSTING = "key long, doc long, line int, n int, pos int, sig long, digest int"
+POSTING = "key long, doc long, line int, n int, pos int, sig long, sig2 long, digest int"
 DEALT = POSTING + ", bitmap binary"
 TILE = POSTING + ", x_doc long, x_line int, dist int, lead_doc long, lead_line int, more boolean, open boolean, bitmap binary"
 PAIR = ["doc", "line", "x_doc", "x_line"]
@@ -92,6 +91,10 @@ class Units:
     """What a user of the join provides."""
 
     percent = 80
+    #: Sets before it with which a set is compared in the first round.
+    reach = 31
+    #: Least size of the sets that have a whole bitmap.
+    bitmap_from = 1
     #: Are all values counted, so that a value counted once can't be shared?
     counts_all = False
     #: Is every unit reported, or only those with an earlier equal?
@@ -232,7 +235,8 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
         for chunk in text_chunks(batches, "text", 3 << 20):
             s = units.sets(chunk, known.heavy)
             n, id1, id2 = np.diff(s.offsets), signed(s.id1), signed(s.id2)
-            sig = signed(_reduce(np.bitwise_xor, np.uint64(1) << (s.values >> np.uint64(58)), s.offsets))
+            bit, upper = np.uint64(1) << (s.values >> np.uint64(58)), (s.values >> np.uint64(57) & np.uint64(1)).astype(bool)
+            sig = [signed(_reduce(np.bitwise_xor, np.where(half, bit, np.uint64(0)), s.offsets)) for half in (upper, ~upper)]
             short = (id1 ^ id2).astype(np.int32)
             first = np.full(len(n), NO_ID)  # smallest document of a heavy digest
             for k in np.flatnonzero(np.isin(id1, hot)):
@@ -251,16 +255,18 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
                 owner, pos, value = owner[some], pos[some], value[some]
             yield _record(value, s, owner, n, pos, sig, short)
             at = np.unique(owner)
+            at = at[n[at] >= units.bitmap_from]
             yield _record(combined(s.doc[at], s.line[at]), s, at, n, np.full(len(at), BITMAP), sig, short, bitmaps(s, at))
             equals = ~is_hot & ~s.again & _marked(known.shared_ids, combined(id1, id2))
             at = np.flatnonzero(equals)
-            yield _record(id1[at], s, at, n, np.full(len(at), EQUALS), id2, short)
+            yield _record(id1[at], s, at, n, np.full(len(at), EQUALS), (id2, sig[1]), short)
             at = np.flatnonzero(~equals if units.reports_all else copy)
             rep = np.where(is_hot, np.minimum(first, s.doc), s.doc)
-            yield _record(id1[at], s, at, n, np.full(len(at), SETTLED), rep, short)
+            yield _record(id1[at], s, at, n, np.full(len(at), SETTLED), (rep, sig[1]), short)
 
-    dealt = docs.mapInArrow(post, DEALT).repartition("key").sortWithinPartitions("key", "doc", "line")
-    return stage(dealt.mapInArrow(lambda batches: _settled(batches, percent, units.reports_all), TILE), "tiles")
+    dealt = docs.mapInArrow(post, DEALT).repartition("key").sortWithinPartitions("key", "n", "doc", "line")
+    reach, reports_all = units.reach, units.reports_all
+    return stage(dealt.mapInArrow(lambda batches: _settled(batches, percent, reports_all, reach), TILE), "tiles")
 
 
 def equal_units(t: DataFrame) -> DataFrame:
@@ -270,9 +276,9 @@ def equal_units(t: DataFrame) -> DataFrame:
 
 def _record(key, s: Sets, at, n, pos, sig, short, bitmap=None) -> pa.RecordBatch:
     return pa.record_batch([signed(key) if key.dtype == np.uint64 else key, s.doc[at], s.line[at], n[at].astype(np.int32),
-                            pos.astype(np.int32), sig[at], short[at],
+                            pos.astype(np.int32), sig[0][at], sig[1][at], short[at],
                             pa.nulls(len(at), pa.binary()) if bitmap is None else bitmap],
-                           ["key", "doc", "line", "n", "pos", "sig", "digest", "bitmap"])
+                           ["key", "doc", "line", "n", "pos", "sig", "sig2", "digest", "bitmap"])
 
 
 def passes(percent: int, a: dict, i, b: dict, j):
@@ -280,7 +286,7 @@ def passes(percent: int, a: dict, i, b: dict, j):
     one value group."""
     ni, nj, pi, pj = a["n"][i], b["n"][j], a["pos"][i], b["pos"][j]
     least = need(percent, ni + nj)
-    dist = np.bitwise_count(a["sig"][i] ^ b["sig"][j])
+    dist = np.bitwise_count(a["sig"][i] ^ b["sig"][j]) + np.bitwise_count(a["sig2"][i] ^ b["sig2"][j])
     ok = (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj)) & (dist <= ni + nj - 2 * least) \
         & (np.minimum(pi, pj) + np.minimum(ni - pi, nj - pj) >= least)
     return ok, dist
@@ -292,7 +298,8 @@ def _columns(batch) -> dict[str, np.ndarray]:
         out[name] = col.to_numpy(zero_copy_only=False)
     for name in ("n", "pos"):
         out[name] = out[name].astype(np.int64)
-    out["sig"] = np.ascontiguousarray(out["sig"]).view(np.uint64)
+    for name in ("sig", "sig2"):
+        out[name] = np.ascontiguousarray(out[name]).view(np.uint64)
     out["digest"] = np.ascontiguousarray(out["digest"])
     return out
 
@@ -301,11 +308,11 @@ def _take(cols: dict, at) -> dict:
     return {k: v[at] for k, v in cols.items()}
 
 
-def _streamed(batches: Iterator[pa.RecordBatch], held: int) -> Iterator[tuple[dict, np.ndarray]]:
+def _streamed(batches: Iterator[pa.RecordBatch], held: int, reach: int = 0) -> Iterator[tuple[dict, np.ndarray]]:
     """Whole value groups of a sorted stream, as (columns, is new).
 
     A group of over ``held`` rows comes in parts; each part repeats, as not
-    new, the group's first row and the last ``REACH``.
+    new, the group's first row and the last ``reach``.
     """
     rest, old = None, 0
     for batch in batches:
@@ -321,7 +328,7 @@ def _streamed(batches: Iterator[pa.RecordBatch], held: int) -> Iterator[tuple[di
         rest = _take(cols, slice(cut, None))
         if (n := len(rest["key"])) > held:
             yield rest, np.arange(n) >= old
-            at = np.r_[0, max(1, n - REACH):n]
+            at = np.r_[0, max(1, n - reach):n]
             rest, old = _take(rest, at), len(at)
     if rest is not None:
         yield rest, np.arange(len(rest["key"])) >= old
@@ -351,14 +358,14 @@ def _tile(c: dict, x_doc, x_line=None, dist=None, lead=None, more=None, is_open=
     no_line, no = pa.nulls(m, pa.int32()), np.zeros(m, bool)
     return pa.record_batch(
         [c["key"], c["doc"], c["line"], c["n"].astype(np.int32), c["pos"].astype(np.int32), c["sig"].view(np.int64),
-         c["digest"], x_doc, no_line if x_line is None else x_line,
+         c["sig2"].view(np.int64), c["digest"], x_doc, no_line if x_line is None else x_line,
          no_line if dist is None else dist, nothing if lead is None else lead[0], no_line if lead is None else lead[1],
          no if more is None else more, no if is_open is None else is_open,
          pa.nulls(m, pa.binary()) if bitmap is None else bitmap],
-        ["key", "doc", "line", "n", "pos", "sig", "digest", "x_doc", "x_line", "dist", "lead_doc", "lead_line", "more", "open", "bitmap"])
+        ["key", "doc", "line", "n", "pos", "sig", "sig2", "digest", "x_doc", "x_line", "dist", "lead_doc", "lead_line", "more", "open", "bitmap"])
 
 
-def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool) -> Iterator[pa.RecordBatch]:
+def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool, reach: int) -> Iterator[pa.RecordBatch]:
     """Bitmaps as they come, apart from the value groups."""
     aside = []
 
@@ -373,23 +380,27 @@ def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool)
                 rows = rows.filter(pc.invert(whole))
             yield rows
 
-    for out in _nominate(others(), percent, reports_all):
+    for out in _nominate(others(), percent, reports_all, reach):
         while aside:
             yield aside.pop()
         yield out
     yield from aside
 
 
-def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool) -> Iterator[pa.RecordBatch]:
-    for c, new in _streamed(batches, HELD_ROWS):
+def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool, reach: int) -> Iterator[pa.RecordBatch]:
+    for c, new in _streamed(batches, HELD_ROWS, reach):
         member = c["pos"] >= 0
         if (~member & new).any():
             yield _equals(_take(c, ~member & new), reports_all)
         c, new = _take(c, member), new[member]
         if not len(new):
             continue
-        many = _groups(c["key"])[1] > 1
-        c, new = _take(c, many), new[many]
+        # groups that come in parts
+        start, size = _groups(c["key"])
+        old = np.zeros(len(new), bool)
+        old[start[~new]] = True
+        c["split"] = old[start] | (size >= HELD_ROWS // 2)
+        c, new = _take(c, size > 1), new[size > 1]
         if not len(new):
             continue
         # equal sets (digest, signature and size) of a group count once
@@ -397,29 +408,40 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool
         k = [c[x][order] for x in ("key", "digest", "sig", "n")]
         first = np.sort(order[np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in k])]])
         c, new = _take(c, first), new[first]
-        many = _groups(c["key"])[1] > 1
+        many = (_groups(c["key"])[1] > 1) | c["split"]
         c, new = _take(c, many), new[many]
         m = len(new)
         if not m:
             continue
-        start, size = _groups(c["key"])
-        best, at, seen = np.full(m, 99), np.full(m, -1), np.zeros(m, np.int64)
-        for step in range(1, min(REACH, m - 1) + 1):
-            same = np.flatnonzero(c["key"][step:] == c["key"][:-step])
-            if not len(same):
+        key, n, doc, line = c["key"], c["n"], c["doc"], c["line"]
+        best, at, seen = np.full(m, 999), np.full(m, -1), np.zeros(m, np.int64)
+        live = np.arange(m)
+        for step in range(1, min(reach, m - 1) + 1):
+            # by size: what is too large for a set is so at any greater step
+            live = live[live + step < m]
+            live = live[(key[live + step] == key[live]) & (percent * n[live + step] <= 100 * n[live])]
+            if not len(live):
                 break
-            ok, dist = passes(percent, c, same + step, c, same)
-            y = same[ok] + step
-            seen[y] += 1
-            dist = dist[ok].astype(np.int64)
-            closer = dist < best[y]
-            best[y[closer]], at[y[closer]] = dist[closer], y[closer] - step
-        far = np.flatnonzero(np.arange(m) - start > REACH)
-        lead = np.full(m, -1)
-        lead[far] = np.where(passes(percent, c, far, c, start[far])[0], start[far], -1)
-        more = (seen > 1) | (np.arange(m) - start > REACH)
-        is_open = np.logical_or.reduceat(more, np.unique(start))[np.unique(start, return_inverse=True)[1]] \
-            | (size >= HELD_ROWS // 2) | (~new).any()
+            ok, dist = passes(percent, c, live + step, c, live)
+            a, dist = live[ok], dist[ok].astype(np.int64)
+            b = a + step
+            after = (doc[b] > doc[a]) | ((doc[b] == doc[a]) & (line[b] >= line[a]))
+            for y, x, d in ((b[after], a[after], dist[after]), (a[~after], b[~after], dist[~after])):
+                seen[y] += 1
+                closer = d < best[y]
+                best[y[closer]], at[y[closer]] = d[closer], x[closer]
+        # the sets of its group whose size allows a link, and the first of its own size
+        start = _groups(key)[0]
+        width = int(n.max()) + 1
+        place, i = start * width + n, np.arange(m)
+        low = np.searchsorted(place, start * width + -(-percent * n // 100))
+        high = np.searchsorted(place, start * width + np.minimum(100 * n // percent, width - 1), "right")
+        lead = np.searchsorted(place, place)
+        far = np.flatnonzero(i - lead > reach)
+        lead, of_size = np.full(m, -1), lead
+        lead[far] = np.where(passes(percent, c, far, c, of_size[far])[0], of_size[far], -1)
+        more = (seen > 1) | (i - low > reach) | (high - 1 - i > reach) | c["split"]
+        is_open = np.logical_or.reduceat(more, np.unique(start))[np.unique(start, return_inverse=True)[1]]
         keep = new & (is_open | (at >= 0) | (lead >= 0))
         col = lambda name, i: pa.array(c[name][i[keep]], mask=i[keep] < 0)
         yield _tile(_take(c, keep), col("doc", at), col("line", at), best[keep].astype(np.int32),
@@ -431,7 +453,7 @@ def nominated(t: DataFrame) -> DataFrame:
     t = t.where("pos >= 0")
     first = t.where("x_doc is not null").select(*PAIR, "dist")
     lead = t.where("lead_doc is not null").select(
-        "doc", "line", F.col("lead_doc").alias("x_doc"), F.col("lead_line").alias("x_line"), F.lit(64).alias("dist"))
+        "doc", "line", F.col("lead_doc").alias("x_doc"), F.col("lead_line").alias("x_line"), F.lit(128).alias("dist"))
     pairs = first.unionByName(lead).groupBy(*PAIR).agg(F.min("dist").alias("dist"), F.count("*").alias("votes"))
     w = Window.partitionBy("doc", "line").orderBy("dist", F.desc("votes"), "x_doc", "x_line")
     return pairs.withColumn("place", F.row_number().over(w))
@@ -446,7 +468,7 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
     have no open unit, or only open units of one part go before anything is
     gathered by value.
     """
-    members = t.where("pos >= 0 and open").select("key", "doc", "line", "n", "pos", "sig", "digest")
+    members = t.where("pos >= 0 and open").select("key", "doc", "line", "n", "pos", "sig", "sig2", "digest")
     side = stage(members.join(open_units.select("doc", "line", "part"), ["doc", "line"], "left")
                  .withColumn("is_open", F.col("part").isNotNull()).withColumn("part", F.coalesce("part", F.lit(0))), "open-tiles")
     live = stage(side.groupBy("key").agg(F.max("is_open").alias("any"), F.min("is_open").alias("all"),
@@ -465,7 +487,7 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
                     ok, dist = passes(percent, g, i, g, j)
                     ok &= (j < i) & ~(g["is_open"][j] & (g["part"][i] == g["part"][j]))
                     if per_unit is not None:
-                        rank = np.argsort(np.argsort(np.where(ok, dist, 99), axis=1, kind="stable"), axis=1)
+                        rank = np.argsort(np.argsort(np.where(ok, dist, 999), axis=1, kind="stable"), axis=1)
                         ok &= rank < per_unit
                     y, x = np.nonzero(ok)
                     if len(y):
@@ -476,7 +498,7 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
 
 
 def may_link(pairs: DataFrame, t: DataFrame, percent: int) -> DataFrame:
-    """The pairs that the bit counts of their whole bitmaps leave."""
+    """The pairs that the bit counts of their whole bitmaps leave, or that lack one."""
     whole = t.where(F.col("pos") == BITMAP)
 
     def side(doc: str, line: str, name: str) -> DataFrame:
@@ -485,16 +507,19 @@ def may_link(pairs: DataFrame, t: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "a", 2 << 20):
-            n = chunk.column("n_a").to_numpy().astype(np.int64) + chunk.column("n_b").to_numpy()
-            size = [pc.binary_length(chunk.column(c)).to_numpy() for c in "ab"]
+            n = sum(pc.fill_null(chunk.column(c), 0).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+            size = [pc.fill_null(pc.binary_length(chunk.column(c)), 0).to_numpy() for c in "ab"]
             dist = np.zeros(chunk.num_rows, np.int64)
             for both in np.unique(np.stack(size), axis=1).T:
+                if not both.all():
+                    continue
                 at = np.flatnonzero((size[0] == both[0]) & (size[1] == both[1]))
                 a, b = (_folded(chunk.column(c).take(pa.array(at)), both.min()) for c in "ab")
                 dist[at] = np.bitwise_count(a ^ b).sum(axis=1)
             yield chunk.select(PAIR).filter(pa.array(dist <= n - 2 * need(percent, n)))
 
-    both = pairs.select(*PAIR).join(side("doc", "line", "a"), ["doc", "line"]).join(side("x_doc", "x_line", "b"), ["x_doc", "x_line"])
+    both = pairs.select(*PAIR).join(side("doc", "line", "a"), ["doc", "line"], "left") \
+        .join(side("x_doc", "x_line", "b"), ["x_doc", "x_line"], "left")
     return both.select(*PAIR, "n_a", "n_b", "a", "b").mapInArrow(run, PAIR_TYPE).distinct()
 
 
