@@ -62,20 +62,20 @@ def _dbl(*cols: str):
 
 # ---------------------------------------------------------------- milestones
 
-@query("m8_silver", o.silver_sql("first_red_as_amber"))
+@query("m8_silver", o.silver_sql("amber"))
 def m8_silver(spark, sf):
     """Flagship: the silver table as the original job writes it (its
     FIRST_MILESTONE_TO_RED looks for AMBER, quirk Q1)."""
     return silver_milestones(bronze(spark, sf), AS_OF, first_red_status="AMBER")
 
 
-@query("m8_silver_red", o.silver_sql("first_red"))
+@query("m8_silver_red", o.silver_sql("red"))
 def m8_silver_red(spark, sf):
     """Silver table with FIRST_MILESTONE_TO_RED looking for RED."""
     return silver_milestones(bronze(spark, sf), AS_OF, first_red_status="RED")
 
 
-@query("m8_silver_literal", o.silver_sql("first_red_as_amber"))
+@query("m8_silver_literal", o.silver_sql("amber"))
 def m8_silver_literal(spark, sf):
     """Silver table through the literal seven-branch union (comparison)."""
     return silver_milestones(bronze(spark, sf), AS_OF, first_red_status="AMBER", single_pass=False)
@@ -101,29 +101,26 @@ def _branch_query(name: str, key: str):
         b = bronze(spark, sf)
         return ml.milestone_branch(fx.milestone_input(b), b.config_milestone_status, name, AS_OF)
     fn.__name__ = key
-    body = f"SELECT {o.MILESTONE_SELECT} FROM br_{name.lower()}"
-    query(key, o.sql(body, f"br_{name.lower()}"))(fn)
+    body = f"SELECT {o.MILESTONE_SELECT} FROM judged WHERE step = {o.STEPS.index(name) + 1}"
+    query(key, o.sql(body, "judged"))(fn)
 
 
 for _i, _n in enumerate(ml.MILESTONE_NAMES, start=1):
     _branch_query(_n, f"m{_i}_{_n.lower()}")
 
 
-def _first_sql(status: str, alias: str) -> str:
-    body = f"""SELECT tc_purchase_orders_id AS ORDER_NO,
-      {o.RANK_NAME.format(r=f"min(CASE WHEN adherence_status = '{status}' THEN milestone_rank END)")} AS {alias}
-    FROM ms GROUP BY tc_purchase_orders_id"""
-    return o.sql(body, "ms")
+def _first_sql(colour: str, alias: str) -> str:
+    return o.sql(f"SELECT po AS ORDER_NO, {o.step_name(colour)} AS {alias} FROM per_po", "per_po")
 
 
-@query("k2_first_amber", _first_sql("AMBER", "FIRST_MILESTONE_TO_AMBER"))
+@query("k2_first_amber", _first_sql("amber", "FIRST_MILESTONE_TO_AMBER"))
 def k2_first_amber(spark, sf):
     b = bronze(spark, sf)
     ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
     return ml.first_status_by_po(ms, "AMBER", "FIRST_MILESTONE_TO_AMBER")
 
 
-@query("k2_first_red", _first_sql("RED", "FIRST_MILESTONE_TO_RED"))
+@query("k2_first_red", _first_sql("red", "FIRST_MILESTONE_TO_RED"))
 def k2_first_red(spark, sf):
     b = bronze(spark, sf)
     ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
@@ -131,9 +128,8 @@ def k2_first_red(spark, sf):
 
 
 @query("k3_active_status", o.sql("""
-SELECT s.tc_purchase_orders_id AS ORDER_NO, s.milestone AS MILESTONE, s.tc_shipment_id AS TC_SHIPMENT_ID,
-       CASE WHEN s.milestone_rank = mr.max_rank THEN 'ACTIVE' ELSE 'INACTIVE' END AS ACTIVE_STATUS
-FROM ms s LEFT JOIN mr ON mr.tc_purchase_orders_id = s.tc_purchase_orders_id""", "ms", "mr"))
+SELECT s.po AS ORDER_NO, milestone AS MILESTONE, unit AS TC_SHIPMENT_ID, if(step = top, 'ACTIVE', 'INACTIVE') AS ACTIVE_STATUS
+FROM ms s LEFT JOIN per_po p ON p.po = s.po""", "ms", "per_po"))
 def k3_active_status(spark, sf):
     b = bronze(spark, sf)
     ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
@@ -148,7 +144,7 @@ SELECT tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID, po_type AS PO_TYPE,
        d_city AS D_CITY, d_country_code AS D_COUNTRY_CODE, o_country_code AS O_COUNTRY_CODE,
        billing_method AS BILLING_METHOD, o_city AS O_CITY, o_state_prov AS O_STATE_PROV,
        purchase_orders_id AS PURCHASE_ORDERS_ID, last_updated_dttm AS LAST_UPDATED_DTTM,
-       created_dttm AS CREATED_DTTM FROM tpo""", "tpo"))
+       created_dttm AS CREATED_DTTM FROM po_kind""", "po_kind"))
 def m0_po_type(spark, sf):
     b = bronze(spark, sf)
     return fx.po_types(b.purchase_orders, b.export_order).select(
@@ -168,7 +164,7 @@ def _sel_sql(cols, num=()):
                      [f"CAST({c.lower()} AS DOUBLE) AS {c}" for c in num])
 
 
-@query("m0b_po_lines", o.sql(f"SELECT {_sel_sql(_POL_COLS, _POL_NUM)} FROM pol", "pol"))
+@query("m0b_po_lines", o.sql(f"SELECT {_sel_sql(_POL_COLS, _POL_NUM)} FROM line_group", "line_group"))
 def m0b_po_lines(spark, sf):
     return fx.po_line_rollup(bronze(spark, sf).purchase_order_line).select(*_POL_COLS, *_dbl(*_POL_NUM))
 
@@ -177,7 +173,7 @@ _CTS_COLS = ("PO", "SC_CT_SHIPMENT_ID", "VENDOR_BOOKED_DATE", "CARGO_READY_DATE"
              "SC_CT_SHIPMENT_START_DATE", "SHIP_NOT_AFTER", "SHIP_NOT_BEFORE")
 
 
-@query("m0c_ct_shipments", o.sql(f"SELECT {_sel_sql(_CTS_COLS)} FROM cts", "cts"))
+@query("m0c_ct_shipments", o.sql(f"SELECT {_sel_sql(_CTS_COLS)} FROM ct_unit", "ct_unit"))
 def m0c_ct_shipments(spark, sf):
     b = bronze(spark, sf)
     return fx.ct_shipment_rollup(b.ct_shipment, b.export_order).select(*_CTS_COLS)
@@ -193,12 +189,12 @@ _A_COLS = ("TC_PURCHASE_ORDERS_ID", "PO_TYPE", "O_FACILITY_ALIAS_ID", "D_FACILIT
 _A_NUM = ("PO_WEIGHT", "PO_VOLUME", "ORDER_QTY", "MONETARY_VALUE")
 
 
-@query("m0f_po_context", o.sql(f"SELECT {_sel_sql(_A_COLS, _A_NUM)} FROM a", "a"))
+@query("m0f_po_context", o.sql(f"SELECT {_sel_sql(_A_COLS, _A_NUM)} FROM context", "context"))
 def m0f_po_context(spark, sf):
     return fx.po_context(bronze(spark, sf)).select(*_A_COLS, *_dbl(*_A_NUM))
 
 
-@query("m0j_milestone_input", o.sql(f"SELECT {_sel_sql(fx.MILESTONE_INPUT_COLUMNS)} FROM m", "m"))
+@query("m0j_milestone_input", o.sql(f"SELECT {_sel_sql(fx.MILESTONE_INPUT_COLUMNS)} FROM watch", "watch"))
 def m0j_milestone_input(spark, sf):
     return fx.milestone_input(bronze(spark, sf))
 
@@ -206,7 +202,7 @@ def m0j_milestone_input(spark, sf):
 # ---------------------------------------------------------------- aggregates
 
 @query("a1_group_max", o.sql("""SELECT shipment_id AS SHIPMENT_ID, shipment_status AS SHIPMENT_STATUS,
-  status_change_dttm AS STATUS_CHANGE_DTTM, trailer_number AS TRAILER_NUMBER FROM tsh""", "tsh"))
+  status_change_dttm AS STATUS_CHANGE_DTTM, trailer_number AS TRAILER_NUMBER FROM ship_now""", "ship_now"))
 def a1_group_max(spark, sf):
     return fx.shipment_status(bronze(spark, sf).tlm_shipment)
 
@@ -241,13 +237,13 @@ def a4_any_value(spark, sf):
                                                    F.max("O_COUNTRY_CODE").alias("O_COUNTRY_CODE"))
 
 
-@query("a5_distinct", o.sql("SELECT po_no AS PO_NO FROM ppol", "ppol"))
+@query("a5_distinct", o.sql("SELECT po_no AS PO_NO FROM waiting", "waiting"))
 def a5_distinct(spark, sf):
     return fx.pending_pos(bronze(spark, sf).pending_po_line)
 
 
 @query("a6_conditional_max", o.sql("""SELECT ct_shipment_id AS CT_SHIPMENT_ID, cob_ts AS COB_TS,
-  carrier_drop_ts AS CARRIER_DROP_TS FROM ctse""", "ctse"))
+  carrier_drop_ts AS CARRIER_DROP_TS FROM ct_times""", "ct_times"))
 def a6_conditional_max(spark, sf):
     return fx.ct_event_times(bronze(spark, sf).ct_shipment_event)
 
@@ -255,7 +251,7 @@ def a6_conditional_max(spark, sf):
 @query("a7_stop_times", o.sql("""SELECT DISTINCT tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID,
   shipment_id AS SHIPMENT_ID, origin_departure_dttm AS ORIGIN_DEPARTURE_DTTM,
   destination_arrival_dttm AS DESTINATION_ARRIVAL_DTTM, origin_stop AS ORIGIN_STOP, dest_stop AS DEST_STOP
-  FROM b""", "b"))
+  FROM route""", "route"))
 def a7_stop_times(spark, sf):
     b = bronze(spark, sf)
     po = fx.po_orders(b)
@@ -267,26 +263,26 @@ def a7_stop_times(spark, sf):
 
 @query("a8_max_if_complete", o.sql("""SELECT po_no AS PO_NO, po_tracking_no AS PO_TRACKING_NO,
   freight_type_code AS FREIGHT_TYPE_CODE, po_line_move_type_code AS PO_LINE_MOVE_TYPE_CODE,
-  po_rcvd_date AS PO_RCVD_DATE, po_full_rcvd_date AS PO_FULL_RCVD_DATE FROM pol""", "pol"))
+  po_rcvd_date AS PO_RCVD_DATE, po_full_rcvd_date AS PO_FULL_RCVD_DATE FROM line_group""", "line_group"))
 def a8_max_if_complete(spark, sf):
     return fx.po_line_rollup(bronze(spark, sf).purchase_order_line).select(
         *fx.PO_LINE_KEYS, "PO_RCVD_DATE", "PO_FULL_RCVD_DATE")
 
 
 @query("a9_multi_key", o.sql("""SELECT shipment_id AS SHIPMENT_ID, stop_seq AS STOP_SEQ,
-  message_status AS MESSAGE_STATUS, message_type AS MESSAGE_TYPE, event_dttm AS EVENT_DTTM FROM ttm""", "ttm"))
+  message_status AS MESSAGE_STATUS, message_type AS MESSAGE_TYPE, event_dttm AS EVENT_DTTM FROM heard""", "heard"))
 def a9_multi_key(spark, sf):
     return fx.tracking_rollup(bronze(spark, sf).tracking_message)
 
 
 @query("a10_group_alias", o.sql("""SELECT po AS PO, sku AS SKU, ship_not_after AS SHIP_NOT_AFTER,
   ship_not_before AS SHIP_NOT_BEFORE, vendor_booked_date AS VENDOR_BOOKED_DATE,
-  cargo_ready_date AS CARGO_READY_DATE FROM expa""", "expa"))
+  cargo_ready_date AS CARGO_READY_DATE FROM export_sku""", "export_sku"))
 def a10_group_alias(spark, sf):
     return fx.export_article_rollup(bronze(spark, sf).export_order)
 
 
-@query("a13_filtered_max", o.sql("SELECT shipment_id AS SHIPMENT_ID, planned_time AS PLANNED_TIME FROM se", "se"))
+@query("a13_filtered_max", o.sql("SELECT shipment_id AS SHIPMENT_ID, planned_time AS PLANNED_TIME FROM assigned", "assigned"))
 def a13_filtered_max(spark, sf):
     return fx.planned_times(bronze(spark, sf).shipment_event)
 
@@ -296,7 +292,7 @@ def a13_filtered_max(spark, sf):
 @query("j1_left_equi", o.sql("""SELECT t.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID, t.po_type AS PO_TYPE,
   r.shipment_id AS SHIPMENT_ID, r.tc_shipment_id AS TC_SHIPMENT_ID, r.order_id AS ORDER_ID,
   r.o_facility_alias_id AS O_FACILITY_ALIAS_ID
-  FROM tpo t LEFT JOIN ord r ON t.tc_purchase_orders_id = r.tc_master_order_id""", "tpo", "ord"))
+  FROM po_kind t LEFT JOIN linked r ON t.tc_purchase_orders_id = r.tc_master_order_id""", "po_kind", "linked"))
 def j1_left_equi(spark, sf):
     return fx.po_orders(bronze(spark, sf)).select(
         "TC_PURCHASE_ORDERS_ID", "PO_TYPE", "SHIPMENT_ID", "TC_SHIPMENT_ID", "ORDER_ID", "O_FACILITY_ALIAS_ID")
@@ -305,7 +301,7 @@ def j1_left_equi(spark, sf):
 @query("j2_left_fanout", o.sql("""SELECT t.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID, t.po_type AS PO_TYPE,
   l.po_tracking_no AS PO_TRACKING_NO, l.freight_type_code AS FREIGHT_TYPE_CODE,
   l.po_line_move_type_code AS PO_LINE_MOVE_TYPE_CODE, l.deliv_date AS DELIV_DATE
-  FROM tpo t LEFT JOIN pol l ON t.tc_purchase_orders_id = l.po_no""", "tpo", "pol"))
+  FROM po_kind t LEFT JOIN line_group l ON t.tc_purchase_orders_id = l.po_no""", "po_kind", "line_group"))
 def j2_left_fanout(spark, sf):
     b = bronze(spark, sf)
     tpo = fx.po_types(b.purchase_orders, b.export_order).select("TC_PURCHASE_ORDERS_ID", "PO_TYPE")
@@ -319,7 +315,7 @@ _CTJ = ("SC_CT_SHIPMENT_ID", "TSC_PO_NO", "ARTICLE_NO", "SHIPMENT_START_DATE", "
         "SHIP_NOT_AFTER", "SHIP_NOT_BEFORE", "VENDOR_BOOKED_DATE", "CARGO_READY_DATE")
 
 
-@query("j3_left_two_keys", o.sql(f"SELECT {_sel_sql(_CTJ)} FROM ctj", "ctj"))
+@query("j3_left_two_keys", o.sql(f"SELECT {_sel_sql(_CTJ)} FROM ct_line", "ct_line"))
 def j3_left_two_keys(spark, sf):
     b = bronze(spark, sf)
     return fx.ct_lines_with_export(b.ct_shipment, b.export_order).select(*_CTJ)
@@ -327,8 +323,8 @@ def j3_left_two_keys(spark, sf):
 
 @query("j4_left_on_literals", o.sql("""SELECT s.shipment_id AS SHIPMENT_ID, s.facility_alias_id AS FACILITY_ALIAS_ID,
   s.stop_seq AS STOP_SEQ, t.event_dttm AS DEPARTED_DTTM
-  FROM stop s LEFT JOIN ttm t ON s.shipment_id = t.shipment_id AND t.stop_seq = s.stop_seq
-       AND t.message_type = 50 AND t.message_status = 10""", "stop", "ttm"))
+  FROM stop s LEFT JOIN heard t ON s.shipment_id = t.shipment_id AND t.stop_seq = s.stop_seq
+       AND t.message_type = 50 AND t.message_status = 10""", "stop", "heard"))
 def j4_left_on_literals(spark, sf):
     """Constants for the right side in ON: filter the right, then LEFT join."""
     b = bronze(spark, sf)
@@ -342,10 +338,10 @@ def j4_left_on_literals(spark, sf):
 @query("j5_double_join", o.sql("""SELECT s.shipment_id AS SHIPMENT_ID, s.facility_alias_id AS FACILITY_ALIAS_ID,
   s.stop_seq AS STOP_SEQ, t1.event_dttm AS DEPARTED_DTTM, t2.event_dttm AS ON_YARD_DTTM
   FROM stop s
-  LEFT JOIN ttm t1 ON s.shipment_id = t1.shipment_id AND t1.stop_seq = s.stop_seq
+  LEFT JOIN heard t1 ON s.shipment_id = t1.shipment_id AND t1.stop_seq = s.stop_seq
        AND t1.message_type = 50 AND t1.message_status = 10
-  LEFT JOIN ttm t2 ON s.shipment_id = t2.shipment_id AND t2.stop_seq = s.stop_seq
-       AND t2.message_type = 45 AND t2.message_status = 10""", "stop", "ttm"))
+  LEFT JOIN heard t2 ON s.shipment_id = t2.shipment_id AND t2.stop_seq = s.stop_seq
+       AND t2.message_type = 45 AND t2.message_status = 10""", "stop", "heard"))
 def j5_double_join(spark, sf):
     """The relation joined twice under two aliases, as one conditional
     aggregate joined once."""
@@ -357,8 +353,8 @@ def j5_double_join(spark, sf):
 
 @query("j6_exists_flag", o.sql("""SELECT p.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID,
   max(e.sc_exp_po_no) IS NOT NULL AS HAS_EXPORT
-  FROM purchase_orders p LEFT JOIN exp e ON e.sc_exp_po_no = p.tc_purchase_orders_id
-  GROUP BY p.tc_purchase_orders_id""", "purchase_orders", "exp"))
+  FROM purchase_orders p LEFT JOIN exported e ON e.sc_exp_po_no = p.tc_purchase_orders_id
+  GROUP BY p.tc_purchase_orders_id""", "purchase_orders", "exported"))
 def j6_exists_flag(spark, sf):
     from ..operators.joins import exists_flag
     b = bronze(spark, sf)
@@ -367,8 +363,8 @@ def j6_exists_flag(spark, sf):
                        "SC_EXP_PO_NO", "HAS_EXPORT")
 
 
-@query("j6_anti", o.sql("""SELECT t.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID FROM tpo t
-  LEFT JOIN ppol p ON p.po_no = t.tc_purchase_orders_id WHERE p.po_no IS NULL""", "tpo", "ppol"))
+@query("j6_anti", o.sql("""SELECT t.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID FROM po_kind t
+  LEFT JOIN waiting p ON p.po_no = t.tc_purchase_orders_id WHERE p.po_no IS NULL""", "po_kind", "waiting"))
 def j6_anti(spark, sf):
     """POs without a pending line: a left_anti join (NOT EXISTS)."""
     b = bronze(spark, sf)
@@ -380,7 +376,7 @@ def j6_anti(spark, sf):
 @query("j7_broadcast_dim", o.sql("""SELECT t.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID, t.po_type AS PO_TYPE,
   c.vendor_booked_g AS VENDOR_BOOKED_G, c.in_transit_g AS IN_TRANSIT_G, c.on_yard_a AS ON_YARD_A,
   c.received_r AS RECEIVED_R
-  FROM tpo t LEFT JOIN config_milestone_status c ON t.po_type = c.po_type""", "tpo", "config_milestone_status"))
+  FROM po_kind t LEFT JOIN config_milestone_status c ON t.po_type = c.po_type""", "po_kind", "config_milestone_status"))
 def j7_broadcast_dim(spark, sf):
     b = bronze(spark, sf)
     tpo = fx.po_types(b.purchase_orders, b.export_order).select("TC_PURCHASE_ORDERS_ID", "PO_TYPE")
@@ -390,7 +386,7 @@ def j7_broadcast_dim(spark, sf):
 
 @query("j8_join_then_group", o.sql("""SELECT tc_master_order_id AS TC_MASTER_ORDER_ID,
   o_facility_alias_id AS O_FACILITY_ALIAS_ID, shipment_id AS SHIPMENT_ID, tc_shipment_id AS TC_SHIPMENT_ID,
-  order_id AS ORDER_ID, created_dttm AS CREATED_DTTM FROM ord""", "ord"))
+  order_id AS ORDER_ID, created_dttm AS CREATED_DTTM FROM linked""", "linked"))
 def j8_join_then_group(spark, sf):
     b = bronze(spark, sf)
     return fx.master_order_rollup(b.order_master_order, b.tlm_orders)
@@ -398,7 +394,7 @@ def j8_join_then_group(spark, sf):
 
 @query("p2_star_plus", o.sql("""SELECT tc_master_order_id AS TC_MASTER_ORDER_ID, order_id AS ORDER_ID,
   o_facility_alias_id AS O_FACILITY_ALIAS_ID, shipment_id AS SHIPMENT_ID, tc_shipment_id AS TC_SHIPMENT_ID,
-  created_dttm AS CREATED_DTTM FROM omo_o""", "omo_o"))
+  created_dttm AS CREATED_DTTM FROM linked_order""", "linked_order"))
 def p2_star_plus(spark, sf):
     b = bronze(spark, sf)
     return fx.master_order_lines(b.order_master_order, b.tlm_orders)
@@ -452,8 +448,8 @@ def p5_filter_and(spark, sf):
 
 @query("p6_not_and_null", o.sql("""SELECT t.tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID, t.po_type AS PO_TYPE,
   x.sc_ct_shipment_id AS SC_CT_SHIPMENT_ID
-  FROM tpo t LEFT JOIN cts x ON t.tc_purchase_orders_id = x.po
-  WHERE NOT (t.po_type = 'INTERNATIONAL' AND x.sc_ct_shipment_id IS NULL)""", "tpo", "cts"))
+  FROM po_kind t LEFT JOIN ct_unit x ON t.tc_purchase_orders_id = x.po
+  WHERE NOT (t.po_type = 'INTERNATIONAL' AND x.sc_ct_shipment_id IS NULL)""", "po_kind", "ct_unit"))
 def p6_not_and_null(spark, sf):
     from ..functions import drop_unshipped_international
     b = bronze(spark, sf)
@@ -544,7 +540,7 @@ def f2_cast(spark, sf):
 
 @query("f3_case", o.sql("""SELECT tc_purchase_orders_id AS TC_PURCHASE_ORDERS_ID,
   CASE WHEN po_type = 'COLLECT' OR po_type = 'PREPAID' THEN 'PO' WHEN po_type = 'INTERNATIONAL' THEN 'SHIPMENT' END
-  AS RECORD_TYPE FROM tpo""", "tpo"))
+  AS RECORD_TYPE FROM po_kind""", "po_kind"))
 def f3_case(spark, sf):
     b = bronze(spark, sf)
     t = F.col("PO_TYPE")
@@ -586,7 +582,7 @@ def f7_datediff_day(spark, sf):
 
 @query("f8_datediff_hour", o.sql(f"""SELECT o.order_id AS ORDER_ID,
   {o.hdiff('o.created_dttm', 'r.pickup_end_dttm')} AS HOURS_TO_PICKUP
-  FROM tlm_orders o LEFT JOIN rli r ON o.order_id = r.order_id""", "tlm_orders", "rli"))
+  FROM tlm_orders o LEFT JOIN pickup r ON o.order_id = r.order_id""", "tlm_orders", "pickup"))
 def f8_datediff_hour(spark, sf):
     b = bronze(spark, sf)
     x = left_join(b.tlm_orders.select("ORDER_ID", "CREATED_DTTM"), fx.pickup_end(b.rts_line_item),
@@ -690,7 +686,7 @@ def s10_run_log(spark, sf):
     return spark.table(log).select("batchId", "sourceName", "sourceCount", "queryUsed")
 
 
-@query("s11_truncate_append", o.silver_sql("first_red_as_amber"))
+@query("s11_truncate_append", o.silver_sql("amber"))
 def s11_truncate_append(spark, sf):
     """Publish the silver table twice (second run replaces), read it back."""
     name = _uniq("silver_milestone")
