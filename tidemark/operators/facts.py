@@ -365,7 +365,7 @@ MILESTONE_INPUT_COLUMNS = (
 )
 
 
-def milestone_input(b) -> DataFrame:
+def milestone_input(b, used_only: bool = False) -> DataFrame:
     """Milestone input (M0j, relation M): one row per PO x line group x
     control-tower shipment x ASN, international POs without a control-tower
     shipment removed (P6).
@@ -376,11 +376,22 @@ def milestone_input(b) -> DataFrame:
     line groups and the control-tower shipments with their events.  The PO
     keyed rollups share one hash partitioning, so the wide fan-out rows are
     produced in place and not exchanged again before the milestone rules.
+
+    Only prepaid POs use the ASN time and only international ones the
+    control-tower columns.  With ``used_only`` the other types don't meet those
+    rows (a PO without a type still does: P6 asks whether it has a shipment), so
+    a PO's line groups, shipments and ASNs aren't multiplied with each other;
+    the de-duplicated milestones are the same.
     """
     po = with_shipment_facts(po_orders(b), b)
     po = po.withColumn("SHIPMENT_ID_O", F.col("SHIPMENT_ID"))
     asn = b.asn.select("TC_SHIPMENT_ID", "ACTUAL_SHIPPED_DTTM")
-    po = left_join(po, asn, [("TC_SHIPMENT_ID", "TC_SHIPMENT_ID")])
+    if used_only:
+        key = F.when(F.col("PO_TYPE") == PREPAID, F.col("TC_SHIPMENT_ID"))
+        asn = asn.distinct().withColumnRenamed("TC_SHIPMENT_ID", "__ASN_SHIPMENT")
+        po = left_join(po.withColumn("__ASN_KEY", key), asn, [("__ASN_KEY", "__ASN_SHIPMENT")])
+    else:
+        po = left_join(po, asn, [("TC_SHIPMENT_ID", "TC_SHIPMENT_ID")])
     ppol = pending_pos(b.pending_po_line).select(F.col("PO_NO").alias("P_PO_NO"))
     x = left_join(po, ppol, [("TC_PURCHASE_ORDERS_ID", "P_PO_NO")], drop_right_keys=False,
                   spread_null_keys=False)
@@ -392,6 +403,10 @@ def milestone_input(b) -> DataFrame:
     cts = ct_shipment_rollup(b.ct_shipment, b.export_order, keep_unmatched=False)
     cts = left_join(cts, ct_event_times(b.ct_shipment_event, only_used_codes=True),
                     [("SC_CT_SHIPMENT_ID", "CT_SHIPMENT_ID")], spread_null_keys=False)
-    x = left_join(x, cts, [("TC_PURCHASE_ORDERS_ID", "PO")], spread_null_keys=False)
+    if used_only:
+        t = F.col("PO_TYPE")
+        x = x.join(cts, (F.col("TC_PURCHASE_ORDERS_ID") == F.col("PO")) & (t.isNull() | (t == INTERNATIONAL)), "left")
+    else:
+        x = left_join(x, cts, [("TC_PURCHASE_ORDERS_ID", "PO")], spread_null_keys=False)
     x = x.where(drop_unshipped_international("PO_TYPE", "SC_CT_SHIPMENT_ID"))
     return x.select(*MILESTONE_INPUT_COLUMNS)

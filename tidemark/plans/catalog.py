@@ -87,7 +87,7 @@ _MS = f"SELECT {o.MILESTONE_SELECT} FROM ms"
 @query("k1_milestones", o.sql(_MS, "ms"))
 def k1_milestones(spark, sf):
     b = bronze(spark, sf)
-    return ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
+    return ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
 
 
 @query("k1_union_distinct", o.sql(_MS, "ms"))
@@ -116,14 +116,14 @@ def _first_sql(colour: str, alias: str) -> str:
 @query("k2_first_amber", _first_sql("amber", "FIRST_MILESTONE_TO_AMBER"))
 def k2_first_amber(spark, sf):
     b = bronze(spark, sf)
-    ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
+    ms = ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
     return ml.first_status_by_po(ms, "AMBER", "FIRST_MILESTONE_TO_AMBER")
 
 
 @query("k2_first_red", _first_sql("red", "FIRST_MILESTONE_TO_RED"))
 def k2_first_red(spark, sf):
     b = bronze(spark, sf)
-    ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
+    ms = ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
     return ml.first_status_by_po(ms, "RED", "FIRST_MILESTONE_TO_RED")
 
 
@@ -132,7 +132,7 @@ SELECT s.po AS ORDER_NO, milestone AS MILESTONE, unit AS TC_SHIPMENT_ID, if(step
 FROM ms s LEFT JOIN per_po p ON p.po = s.po""", "ms", "per_po"))
 def k3_active_status(spark, sf):
     b = bronze(spark, sf)
-    ms = ml.milestones(fx.milestone_input(b), b.config_milestone_status, AS_OF)
+    ms = ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
     return ml.silver(ms, AS_OF).select("ORDER_NO", "MILESTONE", "TC_SHIPMENT_ID", "ACTIVE_STATUS")
 
 
