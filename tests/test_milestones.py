@@ -136,3 +136,13 @@ def test_checkpointed_input_and_publish(spark, bronze):
     publish_silver(spark, bronze, name, AS_OF, "AMBER")
     publish_silver(spark, bronze, name, AS_OF, "AMBER")
     assert spark.table(name).count() == b.count()
+
+
+def test_input_for_used_types_gives_the_same_milestones(bronze):
+    """Fan-out limited to the PO types that use it: fewer rows in, same rows out."""
+    from tidemark.operators.facts import milestone_input
+    from tidemark.operators.milestones import milestones
+    every, used = (milestone_input(bronze, used_only=u) for u in (False, True))
+    assert used.count() < every.count()
+    a, b = (milestones(m, bronze.config_milestone_status, "2000-01-01 00:00:00") for m in (every, used))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
