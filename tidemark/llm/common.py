@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_path
 
@@ -20,6 +20,9 @@ WORD = rf"[^{SPACE}]+"
 # batch holds (a single longer text is handled alone).
 CHUNK_BYTES = 6 << 20
 
+#: Column with the number of a row.
+ROW = "__row"
+
 
 def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
@@ -38,6 +41,45 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with a number per row in ``ROW`` that ascends with doc_id, rows
+    without one last; and whether that number is the doc_id itself.
+
+    doc_ids that are all there and all different serve as they are.  Otherwise
+    rows are numbered from 0 in order of (doc_id, hash of text), so a second call
+    numbers them alike up to rows that repeat whole.  The range shuffle spreads
+    rows of one doc_id, or without one, by that hash and by their place.
+    """
+    spark, doc_id = docs.sparkSession, F.col("doc_id")
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        n = docs.groupBy(doc_id.cast("long").alias("id")).agg(F.count("*").alias("n"))
+        if n.where(f"id is null or n > 1 or id = {(1 << 63) - 1}").isEmpty():
+            return docs.withColumn(ROW, doc_id.cast("long")), True
+    order = [doc_id.asc_nulls_last(), F.col("__hash"), F.col("__place")]
+    placed = docs.withColumn("__hash", F.xxhash64(F.col("text").cast("string"))) \
+        .withColumn("__place", F.monotonically_increasing_id())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stage(placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("__hash", "__place")
+                 .withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    # numbers of a partition start at its index << 33; a count per partition closes the gaps
+    part = F.shiftright(ROW, 33)
+    first, at = [], 0
+    for r in rows.groupBy(part.alias("part")).count().orderBy("part").collect():
+        first.append((r.part, at - (r.part << 33)))
+        at += r["count"]
+    first = spark.createDataFrame(first, "__part long, __first long")
+    return rows.withColumn("__part", part).join(F.broadcast(first), "__part") \
+        .withColumn(ROW, F.col(ROW) + F.col("__first")).select(*docs.columns, ROW), False
+
+
+def with_ids(df: DataFrame, column: str, rows: DataFrame, own: bool) -> DataFrame:
+    """``df`` with the doc_id of each row number in ``column``, from ``keyed``."""
+    if own:
+        return df
+    ids = rows.select(F.col(ROW).alias(column), F.col("doc_id").cast("long").alias("__id"))
+    return df.join(ids, column, "left").withColumn(column, F.col("__id")).drop("__id")
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as a long; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -10,9 +10,9 @@ of an earlier line (``percent``), whether or not the earlier one is itself
 removed.  Lines of fewer than ``min_words`` words are never touched: they are
 headings and stray words rather than copies.
 
-Defined cases: NULL or empty text has no lines to remove; rows that repeat a
-doc_id are one document and don't remove each other's equal lines; other
-columns pass through ``drop_lines`` untouched.
+Defined cases: NULL or empty text has no lines to remove; each row is a document
+of its own, so rows without a doc_id, or of one doc_id, are told apart, and rank by
+hash of text; other columns pass through ``drop_lines`` untouched.
 """
 from __future__ import annotations
 
@@ -22,8 +22,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import split_words, stage
-from .setjoin import NO_ID, PAIR, Heavy, Sets, Units, equal_units, known_id, more_pairs, nominated, survey, tiles, verify
+from .common import ROW, keyed, split_words, stage, with_ids
+from .setjoin import PAIR, Heavy, Sets, Units, equal_units, more_pairs, nominated, survey, tiles, verify
 
 MIN_WORDS = 8
 
@@ -84,10 +84,10 @@ class Lines(Units):
         return Sets(doc, line, np.r_[0, np.cumsum(np.bincount(owner, minlength=len(doc)))], values, id1, id2, again)
 
 
-def later_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, line, x_doc): lines to remove and the document of an earlier line
-    that they match."""
-    docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
+def later_lines(rows: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, line, x_doc): lines to remove and the row of an earlier line that they
+    match, by the numbers of ``keyed`` rows."""
+    docs = rows.select(F.col(ROW).alias("doc"), F.col("text").cast("string"))
     units = Lines(percent, min_words)
     t = tiles(docs, units, survey(docs, units))
     equal = equal_units(t).select("doc", "line", "x_doc")
@@ -108,29 +108,29 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS)
 
 def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document row: doc_id, n_lines (with a word), n_removed,
-    removed (line numbers from 0, ascending), matched (a document with an
-    earlier match, per removed line)."""
-    gone = later_lines(docs, percent, min_words).groupBy("doc").agg(
+    removed (line numbers from 0, ascending), matched (doc_id of a row with an
+    earlier match, per removed line; NULL if it has none)."""
+    rows, own = keyed(docs)
+    gone = with_ids(later_lines(rows, percent, min_words), "x_doc", rows, own).groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct("line", "x_doc"))).alias("gone"))
     n_lines = F.regexp_count(F.concat(F.lit("\n"), "text"), F.lit(r"\n[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D]"))
-    sizes = docs.select("doc_id", known_id(F.col("doc_id")).alias("doc"), n_lines.cast("long").alias("n_lines"))
+    sizes = rows.select("doc_id", F.col(ROW).alias("doc"), n_lines.cast("long").alias("n_lines"))
     return sizes.join(gone, "doc", "left").select(
         "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
         F.coalesce(F.size("gone.line"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("gone.line", F.array().cast("array<int>")).alias("removed"),
-        F.transform(F.coalesce("gone.x_doc", F.array().cast("array<long>")),
-                    lambda x: F.when(x != NO_ID, x)).alias("matched"))
+        F.coalesce("gone.x_doc", F.array().cast("array<long>")).alias("matched"))
 
 
 def drop_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without their removed lines; n_chars, where present,
     follows the text.  Documents that lose all their words go."""
-    gone = later_lines(docs, percent, min_words).groupBy(F.col("doc").alias("__doc")) \
+    rows, _ = keyed(docs)
+    gone = later_lines(rows, percent, min_words).groupBy(F.col("doc").alias(ROW)) \
         .agg(F.collect_set("line").alias("__gone"))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    out = docs.withColumn("__id", known_id(F.col("doc_id"))) \
-        .join(gone, F.col("__id") == F.col("__doc"), "left") \
+    out = rows.join(gone, ROW, "left") \
         .withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)) \
-        .where(F.col("__gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).drop("__id", "__doc", "__gone")
+        .where(F.col("__gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else out

@@ -11,8 +11,10 @@ components are computed over one document per class.
 
 Defined cases: NULL text or text without words has an empty set and links with
 nothing; fewer words than ``words`` make one shingle of the whole sequence;
-rows without a doc_id rank last and get component_id NULL when alone; rows
-that repeat a doc_id are the same node; other columns are ignored.
+each row is a node of its own, also rows without a doc_id or of one doc_id (which
+can so lie in several components of one smallest doc_id); rows without a doc_id
+rank last, and a component of only such rows has component_id NULL; other
+columns are ignored.
 """
 from __future__ import annotations
 
@@ -21,10 +23,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix, split_words, stage
+from .common import ROW, keyed, mix, split_words, stage, with_ids
 from .components import components
-from .setjoin import (NO_ID, PAIR, Heavy, Sets, Units, digests, equal_units, known_id, leading, more_pairs, nominated, prefix_size,
-                      survey, tiles, verify)
+from .setjoin import (PAIR, Heavy, Sets, Units, digests, equal_units, leading, more_pairs, nominated, prefix_size, survey,
+                      tiles, verify)
 
 
 class Shingles(Units):
@@ -84,15 +86,15 @@ class Shingles(Units):
         return doc, np.zeros(len(doc), np.int32), chunk.column("text")
 
 
-def similar_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(classes, links, labels) of the texts whose shingle sets link.
+def similar_links(rows: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes, links, labels) of the ``keyed`` rows whose shingle sets link.
 
     classes: doc, n_shingles, rep (the smallest doc with an equal set), for
     documents with words.  links: a, b between class representatives; every
     two linked classes are connected by a path of links.  labels: node,
     component of the representatives that have a link.
     """
-    docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
+    docs = rows.select(F.col(ROW).alias("doc"), F.col("text").cast("string"))
     units = Shingles(words, percent)
     t = tiles(docs, units, survey(docs, units))
     classes = equal_units(t).select("doc", F.col("n").cast("long").alias("n_shingles"), F.col("x_doc").alias("rep"))
@@ -122,24 +124,21 @@ def similar_links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[D
 def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest
     doc_id reachable by links)."""
-    classes, _, label = similar_links(docs, words, percent)
+    rows, own = keyed(docs)
+    classes, _, label = similar_links(rows, words, percent)
     ids = classes.groupBy("doc").agg(F.max("n_shingles").alias("n_shingles"), F.min("rep").alias("rep")) \
         .join(label.withColumnRenamed("node", "rep"), "rep", "left") \
         .select("doc", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    out = docs.select("doc_id", known_id(F.col("doc_id")).alias("doc")).join(ids, "doc", "left")
-    component = F.coalesce("component", "doc")
-    return out.select("doc_id", F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"),
-                      F.when(component != NO_ID, component).alias("component_id"))
+    out = rows.select("doc_id", F.col(ROW).alias("doc")).join(ids, "doc", "left").select(
+        "doc_id", F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    return with_ids(out, "component_id", rows, own).select("doc_id", "n_shingles", "component_id")
 
 
 def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that are linked to a smaller doc_id.
-
-    Rows without words or without a doc_id of a kept group stay; of rows that
-    repeat a doc_id all stay or go together.
-    """
-    classes, _, label = similar_links(docs, words, percent)
+    """Of each component the row of the smallest doc_id, rows without one last;
+    rows without words all stay."""
+    rows, _ = keyed(docs)
+    classes, _, label = similar_links(rows, words, percent)
     gone = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left") \
-        .where(F.col("doc") > F.coalesce("component", "rep")).select(F.col("doc").alias("__doc")).distinct()
-    return docs.withColumn("__id", known_id(F.col("doc_id"))) \
-        .join(gone, F.col("__id") == F.col("__doc"), "left_anti").drop("__id")
+        .where(F.col("doc") > F.coalesce("component", "rep")).select(F.col("doc").alias(ROW)).distinct()
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)

@@ -1,7 +1,8 @@
 """Exact set-similarity join by prefix, length, positional and bitmap filters.
 
 Both users, line dedup and the shingle join, have units (a document, or a line
-of one) with a set of 64-bit hashes each.  Two sets link when
+of one) with a set of 64-bit hashes each.  Documents are input rows, known by the
+number that ``common.keyed`` gives them.  Two sets link when
 ``100 * |x & y| >= percent * |x | y|``.
 
 1. ``survey`` reads the texts once and counts values and unit digests over all
@@ -34,7 +35,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import mix, signed, stage, text_chunks
 
@@ -46,7 +47,7 @@ HELD_ROWS = 500_000
 FILTER_BITS = 1 << 24
 #: Values of sets turned into bitmaps at once.
 SLICE = 1 << 17
-#: Stands for a missing doc_id inside the join; ranks last.
+#: Larger than the number of any row.
 NO_ID = (1 << 63) - 1
 #: ``pos`` of rows that are no set members: a unit among equals, a settled unit,
 #: a unit's whole bitmap.
@@ -565,7 +566,3 @@ def verify(pairs: DataFrame, t: DataFrame, docs: DataFrame, units: Units) -> Dat
         .join(texts.select(F.col("doc").alias("x_doc"), F.col("line").alias("x_line"), F.col("text").alias("b")),
               ["x_doc", "x_line"])
     return both.select(*PAIR, "a", "b").mapInArrow(count, PAIR_TYPE)
-
-
-def known_id(doc_id: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))

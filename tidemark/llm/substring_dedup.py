@@ -14,8 +14,9 @@ Occurrences rank by (doc_id, offset), rows without a doc_id last.  Two units
 are equal if their normalised text (lower case, runs of space as one) has the
 same digest and length.
 
-Defined cases: NULL or empty text has no units; rows that repeat a doc_id are
-one document and leave each other alone; other columns are ignored.
+Defined cases: NULL or empty text has no units; each row is a document of its
+own, so rows without a doc_id, or of one doc_id, are told apart, and rank by hash of
+text; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -27,8 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stage, text_chunks
-from .setjoin import known_id
+from .common import ROW, keyed, stage, text_chunks
 
 MIN_WORDS = 25
 #: A unit: up to a sentence end or line end, or up to a word in upper case.
@@ -71,9 +71,13 @@ def hashed_units(docs: DataFrame) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, spans, n_words): per document with any, the runs to remove as
-    character offsets (start, stop) of the original text."""
-    docs = docs.select(known_id(F.col("doc_id")).alias("doc"), F.col("text").cast("string"))
+    """(doc, spans, n_words): per row with any, by its number from ``keyed``, the
+    runs to remove as character offsets (start, stop) of the original text."""
+    return _runs(keyed(docs)[0], min_words)
+
+
+def _runs(rows: DataFrame, min_words: int) -> DataFrame:
+    docs = rows.select(F.col(ROW).alias("doc"), F.col("text").cast("string"))
     u = stage(hashed_units(docs), "units")
     same = ["digest", "words"]
     # the first document of each digest, only where there is a second
@@ -107,8 +111,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document row: doc_id, spans to remove, n_removed_words."""
-    found = stage(repeated_runs(docs, min_words), "runs")
-    return docs.select("doc_id", known_id(F.col("doc_id")).alias("doc")).join(found, "doc", "left").select(
+    rows, _ = keyed(docs)
+    found = stage(_runs(rows, min_words), "runs")
+    return rows.select("doc_id", F.col(ROW).alias("doc")).join(found, "doc", "left").select(
         "doc_id", F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"),
         F.coalesce("n_words", F.lit(0).cast("long")).alias("n_removed_words"))
 
@@ -120,6 +125,5 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
         lambda acc, x: F.struct(F.concat(acc["done"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"])).alias("done"),
                                 x["stop"].alias("at")),
         lambda acc: F.concat(acc["done"], F.substring("text", acc["at"] + 1, F.char_length("text"))))
-    return docs.withColumn("__id", known_id(F.col("doc_id"))) \
-        .join(found.select(F.col("doc").alias("__id"), F.col("spans").alias("__spans")), "__id", "left") \
-        .withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut)).drop("__id", "__spans")
+    return keyed(docs)[0].join(found.select(F.col("doc").alias(ROW), F.col("spans").alias("__spans")), ROW, "left") \
+        .withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
