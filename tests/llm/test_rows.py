@@ -52,3 +52,23 @@ def test_op9_rows_are_told_apart(spark):
         (i, len(shingles(t, 3)), c) for i, t, c in want)
     kept = [(r.doc_id, r.text) for r in ngram_join.one_per_group(df, 3, 90).collect()]
     assert len(kept) == 6 and set(rows[:4]) | {rows[-1]} < set(kept) and sum(t in (E, near(E)) for _, t in kept) == 1
+
+
+def test_op1_repeated_rows_take_their_quota_once(spark):
+    from tidemark.llm import mixing
+    # rows that repeat whole, and rows without a doc_id of one source and word count
+    data = [(i % 5, prose(f"r{i % 5}x", 300), f"s{i % 2}") for i in range(40)] + \
+        [(None, prose(f"n{i}x", 200), "s0") for i in range(30)] + [(100 + i, prose(f"u{i}x", 250), "s2") for i in range(20)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    taken = collections.Counter()
+    for r in mixing.mix(df).collect():
+        taken[r.doc_id, r.source] += r.taken
+    found, per_text = collections.Counter(), collections.Counter()
+    for r in mixing.mixed_documents(df).collect():
+        found[r.doc_id, r.source] += len(r.text.split())
+        per_text[r.text.split()[0].split("x")[0], r.source] += len(r.text.split())
+    assert found == taken
+    size = collections.Counter()
+    for _, t, s in data:
+        size[t.split("x")[0], s] += len(t.split())
+    assert all(n <= 2 * size[k] for k, n in per_text.items())

@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .common import stage, word_count
+from .common import ROW, stage, word_count
 
 #: Weights of the sources in turn.
 WEIGHTS = (3, 1, 2)
@@ -93,7 +93,7 @@ def plan(sizes: DataFrame, share: int = 150, most: int = 2, seed: int = 17, bloc
          shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, int]:
     """(sources, shards, block): targets and integer quotas.
 
-    ``sizes`` has id, source, size.  The block is at most ``block`` words, and
+    ``sizes`` has a number per row (``ROW``), id, source, size.  The block is at most ``block`` words, and
     small enough that the mix holds some hundred blocks per source.
     """
     src = stage(targets(sizes, share, most), "targets")
@@ -133,7 +133,7 @@ def mix_sizes(sizes: DataFrame, share: int = 150, most: int = 2, seed: int = 17,
     """Sizes with source_size, target, taken, whole (times the document is taken
     whole) and at, shard columns from which ``taken_spans`` finds the rest."""
     src, shards, block = plan(sizes, share, most, seed, block, shard_words)
-    line = Window.partitionBy("s", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "id", "size"), "id", "size")
+    line = Window.partitionBy("s", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "id", "size"), "id", "size", ROW)
     at = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     d = place(sizes, src, seed).withColumn("at", at).join(shards, ["s", "shard"])
     n, q = F.greatest("n_blocks", F.lit(1)), F.col("quota")
@@ -152,7 +152,9 @@ def mix_sizes(sizes: DataFrame, share: int = 150, most: int = 2, seed: int = 17,
 
 
 def sizes_of(docs: DataFrame) -> DataFrame:
-    return stage(docs.select(F.col("doc_id").alias("id"), F.col("source"), word_count(F.col("text")).alias("size")), "sizes")
+    """Sizes of the rows of ``docs``, numbered by ``ROW`` where they aren't yet."""
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id().alias(ROW)
+    return stage(docs.select(row, F.col("doc_id").alias("id"), F.col("source"), word_count(F.col("text")).alias("size")), "sizes")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -163,14 +165,16 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: documents taken whole, once per time, and the taken parts
-    of documents taken in part, with the columns of ``docs``."""
+    of documents taken in part, with the columns of ``docs``.
+
+    The rows are numbered in scratch and meet their plan by that number alone, so
+    rows that repeat, or lack a doc_id, take their own quota.
+    """
     names = docs.columns
-    d = mix_sizes(sizes_of(docs), **options).select(
-        "id", F.col("source").alias("from"), F.col("size").alias("words"), "at", "whole", "extra", "start", "n_blocks",
-        "block", "taken").distinct()
-    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("rid"), F.col("source").alias("rsource"),
-                       word_count(F.col("text")).alias("rwords"))
-    rows = rows.join(d, rows.rid.eqNullSafe(d.id) & rows.rsource.eqNullSafe(d["from"]) & (rows.rwords == d.words))
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    d = mix_sizes(sizes_of(rows), **options).select(
+        ROW, F.col("size").alias("words"), "at", "whole", "extra", "start", "n_blocks", "block", "taken")
+    rows = rows.select(F.struct(*names).alias("row"), ROW).join(d, ROW)
     part = F.col("taken") - F.col("whole") * F.col("words")
     times = F.col("whole") + F.when((part > 0) & (part == F.col("words")), 1).otherwise(0)
     whole = rows.where(times > 0).withColumn("n", F.explode(F.sequence(F.lit(1), times.cast("int")))).select("row.*")
