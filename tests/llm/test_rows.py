@@ -72,3 +72,17 @@ def test_op1_repeated_rows_take_their_quota_once(spark):
     for _, t, s in data:
         size[t.split("x")[0], s] += len(t.split())
     assert all(n <= 2 * size[k] for k, n in per_text.items())
+
+
+def test_op7_full_pieces_of_repeated_rows(spark):
+    from tidemark.llm import packing
+    data = [(1, prose("a", 700), "s0")] * 3 + [(None, prose("b", 600), "s1")] * 2 + [(None, prose("c", 512), "s1"), (2, prose("d", 40), "s2")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(2)
+    got = packing.pack(df, capacity=256).collect()
+    assert sum(r.n_words for r in got) == sum(len(t.split()) for _, t, _ in data)
+    words, rows = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        words[r.pack_group, r.bin] += r.n_words
+        rows[r.pack_group, r.bin].append((r.doc_id, r.source))
+    assert max(words.values()) <= 256 and all(len(set(v)) == len(v) for v in rows.values())
+    assert sum(n == 256 for n in words.values()) == 12

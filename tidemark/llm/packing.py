@@ -82,9 +82,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
     first = F.col("piece").cast("long") * capacity
     pieces = pieces.select("doc_id", "source", "cluster", "piece", first.alias("first_word"),
                            F.least(F.col("words") - first, F.lit(capacity)).cast("int").alias("n_words"))
+    # numbered one by one, as rows that repeat have full pieces alike in all columns
     full = pieces.where(F.col("n_words") == capacity).select(
         "doc_id", "source", "piece", "first_word", "n_words", F.lit(-1).cast("long").alias("pack_group"),
-        F.xxhash64("doc_id", "cluster", "piece").alias("bin"), F.lit(0).alias("bin_start"))
+        F.monotonically_increasing_id().alias("bin"), F.lit(0).alias("bin_start"))
     # Copies differ in doc_id, so a cluster is spread; rows that repeat whole are
     # spread by their place in the scratch table.
     salt = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "cluster", F.monotonically_increasing_id()), F.lit(groups))
