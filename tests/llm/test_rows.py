@@ -86,3 +86,12 @@ def test_op7_full_pieces_of_repeated_rows(spark):
         rows[r.pack_group, r.bin].append((r.doc_id, r.source))
     assert max(words.values()) <= 256 and all(len(set(v)) == len(v) for v in rows.values())
     assert sum(n == 256 for n in words.values()) == 12
+
+
+def test_op5_short_lines(spark):
+    notice = "Licensed under CC BY 4.0."
+    data = [(1, f"{prose('a')}\n{notice}\nNext"), (2, f"{notice}\n{prose('b')}\nby 4.0. CC under licensed"),
+            (3, f"one two three four\nNext\n\nNext page"), (4, "one two three four five\none two three\n  Next")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: (list(r.removed), list(r.matched)) for r in line_dedup.removed_lines(df).collect()}
+    assert got == {1: ([], []), 2: ([0, 2], [1, 1]), 3: ([1], [1]), 4: ([0, 2], [3, 1])}

@@ -7,8 +7,8 @@ Lines are split at ``\\n``; a line's set holds its distinct lower-cased words.
 Lines rank by (doc_id, line number), rows without a doc_id last.  A line is
 removed when its text equals that of an earlier line or its set links with that
 of an earlier line (``percent``), whether or not the earlier one is itself
-removed.  Lines of fewer than ``min_words`` words are never touched: they are
-headings and stray words rather than copies.
+removed.  Every line with a word takes part; ``min_words`` is there for callers
+that want to spare short ones.
 
 Defined cases: NULL or empty text has no lines to remove; each row is a document
 of its own, so rows without a doc_id, or of one doc_id, are told apart, and rank by
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import ROW, keyed, split_words, stage, with_ids
 from .setjoin import PAIR, Heavy, Sets, Units, equal_units, more_pairs, nominated, survey, tiles, verify
 
-MIN_WORDS = 8
+MIN_WORDS = 1
 
 
 class Lines(Units):
