@@ -95,3 +95,26 @@ def test_op5_short_lines(spark):
     df = spark.createDataFrame(data, "doc_id long, text string")
     got = {r.doc_id: (list(r.removed), list(r.matched)) for r in line_dedup.removed_lines(df).collect()}
     assert got == {1: ([], []), 2: ([0, 2], [1, 1]), 3: ([1], [1]), 4: ([0, 2], [3, 1])}
+
+
+def test_op4_full_licences(spark):
+    import textwrap
+
+    from tidemark.llm import licenses
+    known = {r.license: r.known for r in licenses.known_texts(spark).collect() if len(r.known) > 300}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "Unlicense"} < set(known)
+    names = sorted(known)
+    data = [(k, known[n]) for k, n in enumerate(names)]
+    # in a longer text, its lines broken elsewhere
+    data += [(100 + k, "About this tool.\n\n" + "\n\n".join(textwrap.fill(x, 50) for x in known[n].split("\n\n")) + "\n\nThat was all.")
+             for k, n in enumerate(names) if n in ("MIT", "ISC", "Unlicense", "0BSD")]
+    data += [(200, "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + known["MIT"]), (201, "ISC License (ISC)\n\n" + known["ISC"]),
+             (202, known["GPL-2.0"].split("END OF TERMS AND CONDITIONS")[0]), (203, known["Apache-2.0"][:4000]), (204, "MIT License")]
+    got = {r.doc_id: (list(r.licenses), r.whole_license, r.n_notices) for r in
+           licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    for k, n in enumerate(names):
+        assert n in got[k][0] and got[k][1] == n, (n, got[k])
+        if 100 + k in got:
+            assert got[100 + k][:2] == ([n], None), n
+    assert [got[k] for k in (200, 201, 202, 203, 204)] == [
+        (["MIT"], "MIT", 1), (["ISC"], "ISC", 1), (["GPL-2.0"], "GPL-2.0", 1), ([], None, 0), ([], None, 0)]

@@ -2,8 +2,10 @@
 
 Method: case, punctuation, copyright lines and equivalent spellings are
 normalised, and the digest of the entire text is joined to the digests of known
-licence texts.  Entire texts are looked up at two scales: the document as a
-whole and each of its lines, since notices are mostly lines of a longer text.
+licence texts.  Texts are looked up at two scales: each line of a document, since
+notices are mostly lines of a longer text, and the document as a whole.  A full
+licence (a known text of several lines) also counts where a longer document holds
+its normalised text as a stretch of whole words, however its lines are broken.
 
 Defined cases: NULL or empty text matches nothing; texts that are empty after
 normalising match nothing; rows that repeat a doc_id are one document and get
@@ -11,8 +13,13 @@ the same result; other columns are ignored.
 """
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: Licence texts as published, a file each, by SPDX name.
+FOLDER = Path(__file__).with_name("known_licenses")
+
 # Known notices and licence texts, as published.
 KNOWN = (
     ("MIT", "Released under the MIT License."),
@@ -52,44 +59,62 @@ THIS SOFTWARE."""),
 # Equivalent spellings, after lower-casing.
 SPELLINGS = (
     ("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"),
-    ("merchantibility", "merchantability"), ("organisation", "organization"), ("copyright holder's", "copyright holders"),
+    ("merchantibility", "merchantability"), ("organisation", "organization"), ("copyright holder's", "copyright holder"),
+    ("copyright holders", "copyright holder"),
     ("https:", "http:"),
 )
 #: Lines that name the holder: (c), © or a year or a placeholder after "copyright".
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\n(©]*(?:copyright\s*(?:\(c\)|©|[<\[(]?(?:\d{4}|year|yyyy))|\(c\)\s|©)[^\n]*$"
+#: Title lines of the short licences, which are often left out.
+TITLE_LINE = (r"(?m)^[^\p{L}\p{N}\n]*(?:the )?(?:mit|isc|x11|zlib|(?:new |modified |simplified |revised )?bsd|bsd zero clause"
+              r"|zero-clause bsd|[0-4]-clause bsd|bsd [0-4]-clause)(?: [\"'(]?(?:new|revised|simplified)[\"')]?)? licen[cs]e"
+              r"(?: \([^()\n]{1,30}\))?[^\p{L}\p{N}\n]*$")
+#: Numbers of list items, which some copies have as bullets.
+ITEM = r"(?m)^[\x20\t]*\d{1,2}[.)]\s"
 
 
 def canonical(text: Column) -> Column:
-    """Normalised text: lower case, holder lines dropped, one spelling, runs of
-    anything but letters and digits as one space."""
-    x = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    """Normalised text: lower case, holder and title lines and item numbers
+    dropped, one spelling, runs of anything but letters and digits as one space."""
+    x = F.regexp_replace(F.lower(text), f"{COPYRIGHT_LINE}|{TITLE_LINE}|{ITEM}", "")
     for a, b in SPELLINGS:
         x = F.replace(x, F.lit(a), F.lit(b))
     return F.btrim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))
 
 
-def known_digests(spark, known: tuple = KNOWN) -> DataFrame:
-    """(license, digest) of the known texts."""
-    return spark.createDataFrame(list(known), "license string, known string") \
-        .select("license", F.sha2(canonical(F.col("known")), 256).alias("digest")).distinct()
+def known_texts(spark) -> DataFrame:
+    """(license, known) of the notices above and the texts of ``known_licenses``."""
+    files = sorted(FOLDER.glob("*.txt"))
+    return spark.createDataFrame([*KNOWN, *((f.stem, f.read_text(encoding="utf-8")) for f in files)], "license string, known string")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document row: doc_id, licenses (ascending, without
-    repeats), n_notices (lines or whole texts that matched), whole_license."""
-    known = known_digests(docs.sparkSession) if known is None else known
+    repeats), n_notices (lines that matched, and licences that the text is or
+    holds), whole_license.  ``known`` has license, known, as ``known_texts``."""
+    known = known_texts(docs.sparkSession) if known is None else known
+    # a few hundred texts at most; a full one is also known without its appendix
+    body = F.substring_index("canon", " end of terms and conditions", 1)
+    known = known.select("license", F.contains("known", F.lit("\n")).alias("full"), canonical(F.col("known")).alias("canon")) \
+        .where("canon <> ''").withColumn("form", F.explode(F.array_distinct(F.array("canon", body)))) \
+        .select("license", (F.col("full") & (F.col("form") == body)).alias("full"), "form").distinct()
     text = F.col("text").cast("string")
-    has_lines = F.contains(text, F.lit("\n"))
+    lines = docs.where(F.contains(text, F.lit("\n"))).select("doc_id", F.explode(F.split(text, "\n")).alias("unit")) \
+        .select("doc_id", canonical(F.col("unit")).alias("unit")).where("unit <> ''") \
+        .select("doc_id", F.sha2("unit", 256).alias("digest"))
     # the join sends the known digests to all tasks only if Spark finds them small
-    units = docs.select("doc_id", F.explode(F.concat(
-        F.transform(F.split(text, "\n"), lambda x: F.struct((~has_lines).alias("whole"), x.alias("unit"))),
-        F.when(has_lines, F.array(F.struct(F.lit(True).alias("whole"), text.alias("unit"))))
-        .otherwise(F.array().cast("array<struct<whole:boolean,unit:string>>")))).alias("u")) \
-        .select("doc_id", F.col("u.whole").alias("whole"), canonical(F.col("u.unit")).alias("unit"))
-    hits = units.where("unit <> ''").select("doc_id", "whole", F.sha2("unit", 256).alias("digest")).join(known, "digest")
-    found = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set("license")).alias("licenses"),
-                                       F.count("*").alias("n_notices"),
-                                       F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"))
+    notices = lines.join(known.select("license", F.sha2("form", 256).alias("digest")).distinct(), "digest") \
+        .select("doc_id", "license", F.lit(True).alias("line"), F.lit(False).alias("whole"))
+    padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    texts = docs.select("doc_id", padded(canonical(text)).alias("unit"))
+    forms = known.select("license", "full", padded(F.col("form")).alias("form"))
+    same = F.col("unit") == F.col("form")
+    held = F.col("full") & F.contains("unit", F.col("form"))
+    wholes = texts.join(F.broadcast(forms), same | held).select("doc_id", "license", F.lit(False).alias("line"), same.alias("whole"))
+    found = notices.unionByName(wholes).groupBy("doc_id").agg(
+        F.array_sort(F.collect_set("license")).alias("licenses"),
+        (F.count_if("line") + F.size(F.collect_set(F.when(~F.col("line"), F.col("license"))))).alias("n_notices"),
+        F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"))
     ids = docs.select("doc_id")
     return ids.join(found, ids["doc_id"].eqNullSafe(found["doc_id"]), "left").select(
         ids["doc_id"], F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"),
