@@ -22,8 +22,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.operators import facts as fx  # noqa: E402
 from tidemark.operators import milestones as ml  # noqa: E402
-from tidemark.plans.silver_job import silver_milestones  # noqa: E402
-from tidemark.session import get_session  # noqa: E402
+from tidemark.plans.silver_job import milestone_table, milestone_table_by_union, silver_milestones  # noqa: E402
+from tidemark.session import get_session, staged  # noqa: E402
 from tidemark.sources import bronze as br  # noqa: E402
 from tidemark.sources.sinks import replace_table  # noqa: E402
 
@@ -44,14 +44,12 @@ def main() -> None:
         replace_table(spark, df, names[n])
     ingest = time.time() - t0
     b = br.from_tables(spark, names)
-    th = b.config_milestone_status
 
     headline = {
         "m8_silver": lambda: silver_milestones(b, AS_OF, first_red_status="AMBER"),
-        "m8_silver_literal_union": lambda: silver_milestones(b, AS_OF, first_red_status="AMBER",
-                                                             single_pass=False),
+        "m8_silver_literal_union": lambda: ml.silver(staged(milestone_table_by_union(b, AS_OF), "milestones"), AS_OF, "AMBER"),
         "m0j_milestone_input": lambda: fx.milestone_input(b),
-        "k1_milestones": lambda: ml.milestones(fx.milestone_input(b), th, AS_OF),
+        "k1_milestones": lambda: milestone_table(b, AS_OF),
         "m0_po_type": lambda: fx.po_types(b.purchase_orders, b.export_order),
         "m0b_po_lines": lambda: fx.po_line_rollup(b.purchase_order_line),
         "m0c_ct_shipments": lambda: fx.ct_shipment_rollup(b.ct_shipment, b.export_order),

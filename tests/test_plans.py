@@ -1,7 +1,10 @@
 """Plan shape: thresholds broadcast, no cartesian products, filters pushed."""
 import uuid
 
-from tidemark.plans.silver_job import silver_milestones
+from tidemark.operators.milestones import silver
+from tidemark.operators.skew import Heavy
+from tidemark.plans.silver_job import milestone_table
+from tidemark.session import staged
 from tidemark.sources import bronze as br
 from tidemark.sources.sinks import replace_table
 
@@ -19,14 +22,21 @@ def _bronze_tables(spark, bronze):
 def test_silver_plan(spark, bronze):
     b = _bronze_tables(spark, bronze)
     b.stop_table, b.tracking_table = b.names["stop"], b.names["tracking_message"]
-    df = silver_milestones(b, "2000-01-01 00:00:00", "AMBER")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        df = milestone_table(b, "2000-01-01 00:00:00")
         plan = df._jdf.queryExecution().executedPlan().toString()
+        ms = staged(df.limit(100), "plan-test")
+        table = [silver(ms, "2000-01-01 00:00:00", "AMBER", heavy)._jdf.queryExecution().executedPlan().toString()
+                 for heavy in ((), [Heavy("PO1", 4)])]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The per-PO values come from an aggregate joined back: no task buffers a PO.
+    assert not any("Window" in p for p in [plan, *table])
+    assert all("partial_min" in p and "partial_max" in p for p in table)
+    assert all("CartesianProduct" not in p and "NestedLoop" not in p for p in table)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     # Only the checked threshold table is broadcast when automatic

@@ -20,8 +20,3 @@ def max_if_complete(c) -> Column:
 def max_where(cond: Column, value) -> Column:
     """Conditional MAX: MAX over the rows where ``cond`` holds."""
     return F.max(F.when(cond, _col(value)))
-
-
-def min_where(cond: Column, value) -> Column:
-    """Conditional MIN: MIN over the rows where ``cond`` holds."""
-    return F.min(F.when(cond, _col(value)))

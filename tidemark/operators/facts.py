@@ -12,10 +12,14 @@ shipments, ASNs) multiply it.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import drop_unshipped_international, max_if_complete, max_where
+from ..session import staged
 from .joins import exists_flag, left_join
+from .skew import MIN_ROWS, Heavy, heavy_keys, is_heavy, split_left_join, stripes
 
 INTERNATIONAL, PREPAID, COLLECT = "INTERNATIONAL", "PREPAID", "COLLECT"
 
@@ -118,20 +122,24 @@ def export_article_rollup(export_order: DataFrame) -> DataFrame:
                  F.max("CARGO_READY_DATE").alias("CARGO_READY_DATE")))
 
 
-def ct_lines_with_export(ct_shipment: DataFrame, export_order: DataFrame,
-                         keep_unmatched: bool = True) -> DataFrame:
-    """Shipment lines joined to export orders on PO and article."""
+def ct_lines_with_export(ct_shipment: DataFrame, export_order: DataFrame, keep_unmatched: bool = True,
+                         heavy: Sequence[Heavy] = ()) -> DataFrame:
+    """Shipment lines joined to export orders on PO and article.
+
+    ``heavy`` POs, to which both frames are then limited, are split."""
     exp = export_article_rollup(export_order)
-    how_left = ct_shipment.select("SC_CT_SHIPMENT_ID", "TSC_PO_NO", "ARTICLE_NO",
-                                  "SHIPMENT_START_DATE")
+    lines = ct_shipment.select("SC_CT_SHIPMENT_ID", "TSC_PO_NO", "ARTICLE_NO", "SHIPMENT_START_DATE")
+    keys = [("TSC_PO_NO", "PO"), ("ARTICLE_NO", "SKU")]
+    if heavy:  # an article has one export row, so only the lines are dealt out
+        j = split_left_join(lines, exp, keys, [Heavy(h.key, h.right) for h in heavy], drop_right_keys=False)
+        return j if keep_unmatched else j.where(F.col("PO").isNotNull())
     if keep_unmatched:
-        return left_join(how_left, exp, [("TSC_PO_NO", "PO"), ("ARTICLE_NO", "SKU")],
-                         drop_right_keys=False)
-    return how_left.join(exp, (F.col("TSC_PO_NO") == F.col("PO")) & (F.col("ARTICLE_NO") == F.col("SKU")))
+        return left_join(lines, exp, keys, drop_right_keys=False)
+    return lines.join(exp, (F.col("TSC_PO_NO") == F.col("PO")) & (F.col("ARTICLE_NO") == F.col("SKU")))
 
 
-def ct_shipment_rollup(ct_shipment: DataFrame, export_order: DataFrame,
-                       keep_unmatched: bool = True) -> DataFrame:
+def ct_shipment_rollup(ct_shipment: DataFrame, export_order: DataFrame, keep_unmatched: bool = True,
+                       heavy: Sequence[Heavy] = ()) -> DataFrame:
     """Control-tower shipments per (export PO, shipment).
 
     The group key is the *export* PO, so shipment lines without an export
@@ -139,7 +147,7 @@ def ct_shipment_rollup(ct_shipment: DataFrame, export_order: DataFrame,
     passes ``keep_unmatched=False`` to drop those lines before grouping;
     the rows that reach a PO are the same.
     """
-    j = ct_lines_with_export(ct_shipment, export_order, keep_unmatched)
+    j = ct_lines_with_export(ct_shipment, export_order, keep_unmatched, heavy)
     return j.groupBy("PO", "SC_CT_SHIPMENT_ID").agg(
         F.max("VENDOR_BOOKED_DATE").alias("VENDOR_BOOKED_DATE"),
         F.max("CARGO_READY_DATE").alias("CARGO_READY_DATE"),
@@ -365,7 +373,55 @@ MILESTONE_INPUT_COLUMNS = (
 )
 
 
-def milestone_input(b, used_only: bool = False) -> DataFrame:
+def heavy_pos(b, min_rows: int = MIN_ROWS, shares: int | None = None) -> list[Heavy]:
+    """POs with a large share of the control-tower lines or of the PO lines.
+
+    Their stripes follow from the rows that the rollups leave of them: ``left``
+    for line groups, ``right`` for shipments.  Two counts of narrow columns; the
+    rollups are counted for the POs found only."""
+    lines, per_group = heavy_keys(b.purchase_order_line, "PO_NO", min_rows, shares)
+    shipped, per_shipment = heavy_keys(b.ct_shipment, "TSC_PO_NO", min_rows, shares)
+    found = [Heavy(po) for po in sorted({*lines, *shipped})]
+    if not found:
+        return []
+
+    def rows(df: DataFrame, key: str) -> dict:
+        return {r[key]: r["n"] for r in df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
+    groups = rows(po_line_rollup(b.purchase_order_line.where(is_heavy("PO_NO", found))), "PO_NO")
+    shipments = rows(b.ct_shipment.where(is_heavy("TSC_PO_NO", found)).select("TSC_PO_NO", "SC_CT_SHIPMENT_ID").distinct(),
+                     "TSC_PO_NO")
+    return [Heavy(h.key, stripes(groups.get(h.key, 0), per_group), stripes(shipments.get(h.key, 0), per_shipment)) for h in found]
+
+
+def _fan_out(po: DataFrame, b, used_only: bool, heavy: Sequence[Heavy] = ()) -> DataFrame:
+    """PO rows times their line groups and control-tower shipments.  With
+    ``heavy`` all of it is limited to those POs, and their rows are split."""
+    lines, exports, shipments = b.purchase_order_line, b.export_order, b.ct_shipment
+    if heavy:
+        po = po.where(is_heavy("TC_PURCHASE_ORDERS_ID", heavy))
+        lines = lines.where(is_heavy("PO_NO", heavy))
+        exports = exports.where(is_heavy("SC_EXP_PO_NO", heavy))
+        shipments = shipments.where(is_heavy("TSC_PO_NO", heavy))
+    pol = po_line_rollup(lines).select(
+        "PO_NO", "DELIV_DATE", "SHIP_START_DATE", "SHIP_END_DATE", "DELIV_START_DATE",
+        "DELIV_END_DATE", "PO_RCVD_DATE", "PO_FULL_RCVD_DATE")
+    cts = ct_shipment_rollup(shipments, exports, keep_unmatched=False, heavy=heavy)
+    cts = left_join(cts, ct_event_times(b.ct_shipment_event, only_used_codes=True),
+                    [("SC_CT_SHIPMENT_ID", "CT_SHIPMENT_ID")], spread_null_keys=False)
+    t = F.col("PO_TYPE")
+    if heavy:
+        x = split_left_join(po, pol, [("TC_PURCHASE_ORDERS_ID", "PO_NO")], [Heavy(h.key, 1, h.left) for h in heavy],
+                            drop_right_keys=False)
+        # prepaid and collect POs need no shipments
+        key = F.when(t.isNull() | (t == INTERNATIONAL), F.col("TC_PURCHASE_ORDERS_ID")) if used_only else F.col("TC_PURCHASE_ORDERS_ID")
+        return split_left_join(x.withColumn("__CT_PO", key), cts, [("__CT_PO", "PO")], heavy).drop("__CT_PO")
+    x = left_join(po, pol, [("TC_PURCHASE_ORDERS_ID", "PO_NO")], drop_right_keys=False, spread_null_keys=False)
+    if used_only:
+        return x.join(cts, (F.col("TC_PURCHASE_ORDERS_ID") == F.col("PO")) & (t.isNull() | (t == INTERNATIONAL)), "left")
+    return left_join(x, cts, [("TC_PURCHASE_ORDERS_ID", "PO")], spread_null_keys=False)
+
+
+def milestone_input(b, used_only: bool = False, heavy: Sequence[Heavy] = ()) -> DataFrame:
     """Milestone input (M0j, relation M): one row per PO x line group x
     control-tower shipment x ASN, international POs without a control-tower
     shipment removed (P6).
@@ -382,6 +438,9 @@ def milestone_input(b, used_only: bool = False) -> DataFrame:
     rows (a PO without a type still does: P6 asks whether it has a shipment), so
     a PO's line groups, shipments and ASNs aren't multiplied with each other;
     the de-duplicated milestones are the same.
+
+    ``heavy`` POs (``heavy_pos``) leave that path: the PO frame is written to the
+    shared folder, and their fan-out is split over many tasks (``skew``).
     """
     po = with_shipment_facts(po_orders(b), b)
     po = po.withColumn("SHIPMENT_ID_O", F.col("SHIPMENT_ID"))
@@ -393,20 +452,15 @@ def milestone_input(b, used_only: bool = False) -> DataFrame:
     else:
         po = left_join(po, asn, [("TC_SHIPMENT_ID", "TC_SHIPMENT_ID")])
     ppol = pending_pos(b.pending_po_line).select(F.col("PO_NO").alias("P_PO_NO"))
-    x = left_join(po, ppol, [("TC_PURCHASE_ORDERS_ID", "P_PO_NO")], drop_right_keys=False,
-                  spread_null_keys=False)
-    pol = po_line_rollup(b.purchase_order_line).select(
-        "PO_NO", "DELIV_DATE", "SHIP_START_DATE", "SHIP_END_DATE", "DELIV_START_DATE",
-        "DELIV_END_DATE", "PO_RCVD_DATE", "PO_FULL_RCVD_DATE")
-    x = left_join(x, pol, [("TC_PURCHASE_ORDERS_ID", "PO_NO")], drop_right_keys=False,
-                  spread_null_keys=False)
-    cts = ct_shipment_rollup(b.ct_shipment, b.export_order, keep_unmatched=False)
-    cts = left_join(cts, ct_event_times(b.ct_shipment_event, only_used_codes=True),
-                    [("SC_CT_SHIPMENT_ID", "CT_SHIPMENT_ID")], spread_null_keys=False)
-    if used_only:
-        t = F.col("PO_TYPE")
-        x = x.join(cts, (F.col("TC_PURCHASE_ORDERS_ID") == F.col("PO")) & (t.isNull() | (t == INTERNATIONAL)), "left")
+    po = left_join(po, ppol, [("TC_PURCHASE_ORDERS_ID", "P_PO_NO")], drop_right_keys=False, spread_null_keys=False)
+    if heavy:
+        po = staged(po, "po-frame")
+        rest = type(b)(b | {"purchase_order_line": b.purchase_order_line.where(~is_heavy("PO_NO", heavy)),
+                            "export_order": b.export_order.where(~is_heavy("SC_EXP_PO_NO", heavy)),
+                            "ct_shipment": b.ct_shipment.where(~is_heavy("TSC_PO_NO", heavy))})
+        x = _fan_out(po.where(~is_heavy("TC_PURCHASE_ORDERS_ID", heavy)), rest, used_only) \
+            .select(*MILESTONE_INPUT_COLUMNS) \
+            .unionByName(_fan_out(po, b, used_only, heavy).select(*MILESTONE_INPUT_COLUMNS))
     else:
-        x = left_join(x, cts, [("TC_PURCHASE_ORDERS_ID", "PO")], spread_null_keys=False)
-    x = x.where(drop_unshipped_international("PO_TYPE", "SC_CT_SHIPMENT_ID"))
-    return x.select(*MILESTONE_INPUT_COLUMNS)
+        x = _fan_out(po, b, used_only)
+    return x.where(drop_unshipped_international("PO_TYPE", "SC_CT_SHIPMENT_ID")).select(*MILESTONE_INPUT_COLUMNS)

@@ -17,13 +17,16 @@ the benchmark comparison.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import add_days, add_hours, days_between, hours_between, keep_timestamp, non_blank
+from ..schemas import SILVER_SCHEMA
 from .facts import COLLECT as C, INTERNATIONAL as I, PREPAID as P
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, left_join
+from .skew import Heavy, is_heavy, split_left_join
 
 ANY = "*"
 
@@ -221,8 +224,9 @@ def rules(as_of: Column) -> list[Rule]:
 
 
 def shipment_key() -> Column:
-    """Control-tower shipment for international POs, else TMS shipment."""
-    return F.when(_po_type() == F.lit(I), F.col("SC_CT_SHIPMENT_ID")).otherwise(F.col("TC_SHIPMENT_ID"))
+    """Control-tower shipment for international POs, else TMS shipment, as text."""
+    return F.when(_po_type() == F.lit(I), F.col("SC_CT_SHIPMENT_ID").cast("string")) \
+        .otherwise(F.col("TC_SHIPMENT_ID").cast("string"))
 
 
 def _rule_values(rule: Rule, ts_type: T.DataType) -> dict[str, Column]:
@@ -271,10 +275,8 @@ def with_thresholds(m: DataFrame, thresholds: DataFrame, max_rows: int = 10_000)
     return m.join(broadcast_if_small(th, max_rows), "PO_TYPE", "left")
 
 
-def _ts_type(m: DataFrame) -> T.DataType:
-    """Times stay times even where PO_DATE arrives as a date."""
-    t = m.schema["PO_DATE"].dataType
-    return t if isinstance(t, (T.TimestampType, T.TimestampNTZType)) else T.TimestampNTZType()
+#: All times are zone-less, whatever the input has.
+_TS = T.TimestampNTZType()
 
 
 def milestones(m: DataFrame, thresholds: DataFrame, as_of=None,
@@ -291,7 +293,7 @@ def milestones(m: DataFrame, thresholds: DataFrame, as_of=None,
     expressions several times).  The ``inline`` then only references
     columns, and the Generate/Filter pair stays in whole-stage codegen.
     """
-    ts_type = _ts_type(m)
+    ts_type = _TS
     clock = _clock(as_of, ts_type)
     x = with_thresholds(m, thresholds)
     chosen = [r for r in rules(clock) if only is None or r.name in only]
@@ -339,7 +341,7 @@ def milestones(m: DataFrame, thresholds: DataFrame, as_of=None,
 
 def milestone_branch(m: DataFrame, thresholds: DataFrame, name: str, as_of=None) -> DataFrame:
     """One branch of the reference: the rows of one milestone (M1 - M7)."""
-    ts_type = _ts_type(m)
+    ts_type = _TS
     clock = _clock(as_of, ts_type)
     rule = next(r for r in rules(clock) if r.name == name)
     x = with_thresholds(m, thresholds)
@@ -366,87 +368,57 @@ def rank_name(rank: Column) -> Column:
     return expr
 
 
-def _per_po(agg: Column) -> Column:
-    """``agg`` over the rows of the same PO as a window column; NULL for a
-    NULL PO (the original equi-joins would not match it).  For whole tables
-    prefer ``po_summary`` (map-side aggregation, no group buffering)."""
-    po = F.col("TC_PURCHASE_ORDERS_ID")
-    return F.when(po.isNotNull(), agg.over(Window.partitionBy(po)))
-
-
-def first_with_status(status: str) -> Column:
-    """Name of the lowest-rank milestone of the PO with ``status`` (K2)."""
-    r = F.col("MILESTONE_RANK")
-    return rank_name(_per_po(F.min(F.when(F.col("ADHERENCE_STATUS") == F.lit(status), r))))
-
-
-def first_status_by_po(ms: DataFrame, status: str, alias: str) -> DataFrame:
-    """Per PO: name of the lowest-rank milestone with ``status`` (K2 report).
+def po_summary(ms: DataFrame, first_red_status: str = "RED") -> DataFrame:
+    """Per PO: lowest AMBER rank, lowest ``first_red_status`` rank, top rank (K2, K3).
 
-    An aggregate (map-side partial MIN), one row per PO.
+    A plain aggregate: each map task sends one partial row per PO, however many
+    rows the PO has there, and the partial rows are merged after the exchange.
     """
-    r = F.min(F.when(F.col("ADHERENCE_STATUS") == F.lit(status), F.col("MILESTONE_RANK")))
-    return ms.groupBy(F.col("TC_PURCHASE_ORDERS_ID").alias("ORDER_NO")).agg(rank_name(r).alias(alias))
-
+    r, st = F.col("MILESTONE_RANK"), F.col("ADHERENCE_STATUS")
+    return (ms.groupBy("TC_PURCHASE_ORDERS_ID")
+            .agg(F.min(F.when(st == F.lit(AMBER), r)).alias("FIRST_AMBER"),
+                 F.min(F.when(st == F.lit(first_red_status), r)).alias("FIRST_RED"),
+                 F.max(r).alias("TOP_RANK")))
 
-def active_flag() -> Column:
-    """ACTIVE for the PO's highest-rank milestone, else INACTIVE (K3).
 
-    Per PO, not per shipment: all shipments at the top rank are ACTIVE.
-    """
-    top = _per_po(F.max("MILESTONE_RANK"))
-    return F.when(F.col("MILESTONE_RANK") == top, F.lit("ACTIVE")).otherwise(F.lit("INACTIVE"))
+def first_status_by_po(ms: DataFrame, status: str, alias: str) -> DataFrame:
+    """Per PO: name of the lowest-rank milestone with ``status`` (K2 report)."""
+    return po_summary(ms, status).select(F.col("TC_PURCHASE_ORDERS_ID").alias("ORDER_NO"),
+                                         rank_name(F.col("FIRST_RED")).alias(alias))
 
 
-SILVER_COLUMNS = ("ORDER_NO", "MILESTONE", "ADHERENCE_STATUS", "TC_SHIPMENT_ID", "ACTIVE_STATUS",
-                  "FIRST_MILESTONE_TO_AMBER", "FIRST_MILESTONE_TO_RED",
-                  "EXPECTED_ETA_FOR_MILESTONE", "ACTUAL_ETA_FOR_MILESTONE",
-                  "NEXT_MILESTONE_EXPECTED_ETA", "CURRENT_DELAY_IN_DAYS", "REVISED_ETA_FOR_PO",
-                  "PO_TYPE", "CDC_TIMESTAMP", "RECORD_TYPE", "isCanceled", "ETL_CREATED_DTTM",
-                  "ETL_UPDATED_DTTM")
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema``, in its order and types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def po_summary(ms: DataFrame, first_red_status: str = "RED") -> DataFrame:
-    """Per PO: lowest AMBER rank, lowest ``first_red_status`` rank, top rank.
+def silver(ms: DataFrame, as_of=None, first_red_status: str = "RED", heavy: Sequence[Heavy] = ()) -> DataFrame:
+    """The silver milestone table (M8, ``SILVER_SCHEMA``) from de-duplicated milestones.
 
-    A plain aggregate, so it is combined map-side: a PO holding a third of
-    all rows is reduced per map task and never buffered as one group.  NULL
-    POs are left out (the original equi-joins never match them).  The
-    aggregate form of K2/K3 for per-PO reports.
+    The per-PO values (K2, K3) come from ``po_summary`` joined back on PO, so no
+    task buffers a PO as a window would; ``ms`` is read twice and should be a
+    written table (``plans.silver_job``).  Rows of ``heavy`` POs are dealt over the
+    tasks and meet their one summary row there.  A NULL PO has no summary, as in
+    the original equi-joins.  ``first_red_status`` names the status
+    FIRST_MILESTONE_TO_RED looks for; the original job looks for 'AMBER' there,
+    pass that to reproduce its table.
     """
-    r, st = F.col("MILESTONE_RANK"), F.col("ADHERENCE_STATUS")
-    return (ms.where(F.col("TC_PURCHASE_ORDERS_ID").isNotNull())
-            .groupBy(F.col("TC_PURCHASE_ORDERS_ID").alias("__PO"))
-            .agg(F.min(F.when(st == F.lit(AMBER), r)).alias("__FIRST_AMBER"),
-                 F.min(F.when(st == F.lit(first_red_status), r)).alias("__FIRST_RED"),
-                 F.max(r).alias("__TOP_RANK")))
-
-
-def silver(ms: DataFrame, as_of=None, first_red_status: str = "RED") -> DataFrame:
-    """The silver milestone table (M8) from de-duplicated milestones.
-
-    The three per-PO values (K2, K3) are window aggregates over one
-    partitioning by PO.  ``ms`` already arrives hash-partitioned by PO, so
-    they need no exchange, and the milestone rows are computed once (an
-    aggregate joined back would read ``ms`` twice and, with no exchange to
-    reuse, recompute it).  The window buffer of a PO spills to disk when a
-    PO is very large.  ``first_red_status`` names the status
-    FIRST_MILESTONE_TO_RED looks for; the original job looks for 'AMBER'
-    there, pass that to reproduce its table.
-    """
-    ts_type = ms.schema["ACTUAL_ETA_FOR_MILESTONE"].dataType
-    t = F.col("PO_TYPE")
-    return ms.select(
-        F.col("TC_PURCHASE_ORDERS_ID").alias("ORDER_NO"),
-        "MILESTONE", "ADHERENCE_STATUS", "TC_SHIPMENT_ID",
-        active_flag().alias("ACTIVE_STATUS"),
-        first_with_status(AMBER).alias("FIRST_MILESTONE_TO_AMBER"),
-        first_with_status(first_red_status).alias("FIRST_MILESTONE_TO_RED"),
-        "EXPECTED_ETA_FOR_MILESTONE", "ACTUAL_ETA_FOR_MILESTONE", "NEXT_MILESTONE_EXPECTED_ETA",
-        "CURRENT_DELAY_IN_DAYS", "REVISED_ETA_FOR_PO", "PO_TYPE",
-        _clock(as_of, ts_type).alias("CDC_TIMESTAMP"),
-        F.when(t.isin(C, P), F.lit("PO")).when(t == F.lit(I), F.lit("SHIPMENT")).alias("RECORD_TYPE"),
-        F.lit(None).cast("boolean").alias("isCanceled"),
-        F.lit(None).cast("timestamp").alias("ETL_CREATED_DTTM"),
-        F.lit(None).cast("timestamp").alias("ETL_UPDATED_DTTM"),
-    )
+    summary = po_summary(ms, first_red_status)
+    on = [("TC_PURCHASE_ORDERS_ID", "TC_PURCHASE_ORDERS_ID")]
+    if heavy:
+        hot = is_heavy("TC_PURCHASE_ORDERS_ID", heavy)
+        one = [Heavy(h.key, h.left * h.right) for h in heavy]  # as many stripes as the PO has cells
+        x = left_join(ms.where(~hot), summary.where(~hot), on, spread_by="TC_SHIPMENT_ID") \
+            .unionByName(split_left_join(ms.where(hot), summary.where(hot), on, one))
+    else:
+        x = left_join(ms, summary, on, spread_by="TC_SHIPMENT_ID")
+    t, rank = F.col("PO_TYPE"), F.col("MILESTONE_RANK")
+    out = x.withColumns({
+        "ORDER_NO": F.col("TC_PURCHASE_ORDERS_ID"),
+        "ACTIVE_STATUS": F.when(rank == F.col("TOP_RANK"), "ACTIVE").otherwise("INACTIVE"),
+        "FIRST_MILESTONE_TO_AMBER": rank_name(F.col("FIRST_AMBER")),
+        "FIRST_MILESTONE_TO_RED": rank_name(F.col("FIRST_RED")),
+        "CDC_TIMESTAMP": _clock(as_of, _TS),
+        "RECORD_TYPE": F.when(t.isin(C, P), F.lit("PO")).when(t == F.lit(I), F.lit("SHIPMENT")),
+        "isCanceled": F.lit(None), "ETL_CREATED_DTTM": F.lit(None), "ETL_UPDATED_DTTM": F.lit(None)})
+    return conform(out, SILVER_SCHEMA)

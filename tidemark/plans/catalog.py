@@ -21,6 +21,8 @@ from ..functions.runinfo import run_info
 from ..operators import facts as fx
 from ..operators import milestones as ml
 from ..operators.joins import left_join
+from ..operators.skew import Heavy, heavy_keys, split_left_join, stripes
+from ..session import staged
 from ..sources import bronze as br
 from ..sources.control import example_control
 from ..sources.extract import extract_full, extract_incremental
@@ -28,7 +30,7 @@ from ..sources.sinks import (append_run_log, compact_table, publish, replace_tab
                              with_audit_ts)
 from . import oracle as o
 from .ingest_job import ingest_all
-from .silver_job import silver_milestones
+from .silver_job import milestone_table, milestone_table_by_union, silver_milestones
 
 AS_OF = dt.datetime(2000, 1, 1)
 INGEST_NOW_UTC = dt.datetime(2024, 1, 20, 18, 0, 0)
@@ -78,7 +80,26 @@ def m8_silver_red(spark, sf):
 @query("m8_silver_literal", o.silver_sql("amber"))
 def m8_silver_literal(spark, sf):
     """Silver table through the literal seven-branch union (comparison)."""
-    return silver_milestones(bronze(spark, sf), AS_OF, first_red_status="AMBER", single_pass=False)
+    ms = staged(milestone_table_by_union(bronze(spark, sf), AS_OF), "milestones")
+    return ml.silver(ms, AS_OF, first_red_status="AMBER")
+
+
+# A third of all control-tower lines, and their export orders, under one PO.
+_HOT_PO = "(select concat('PO', cast(min(o_orderkey) as string)) from orders where o_orderkey%5=0 and o_orderkey%20<>7)"
+_HOT_VIEWS = {n: br.fixtures.RECIPES[n].replace(
+    "concat('PO',cast(o_orderkey as string)) " + column,
+    f"case when o_orderkey%3=0 then {_HOT_PO} else concat('PO',cast(o_orderkey as string)) end {column}")
+    for n, column in (("ct_shipment", "tsc_po_no"), ("export_order", "sc_exp_po_no"))}
+
+
+@query("m8_silver_hot_po", o.silver_sql("red", _HOT_VIEWS))
+def m8_silver_hot_po(spark, sf):
+    """The silver table where one PO holds a third of all control-tower lines: the
+    PO is found by counting and split."""
+    frames = br.fixtures.register_views(spark, sf) | {n: spark.sql(text) for n, text in _HOT_VIEWS.items()}
+    b = br.from_frames({n: br.as_delivered(n, df) for n, df in frames.items()})
+    assert len(fx.heavy_pos(b, 20, 20)) == 1
+    return silver_milestones(b, AS_OF, first_red_status="RED", heavy_rows=20, shares=20)
 
 
 _MS = f"SELECT {o.MILESTONE_SELECT} FROM ms"
@@ -86,14 +107,12 @@ _MS = f"SELECT {o.MILESTONE_SELECT} FROM ms"
 
 @query("k1_milestones", o.sql(_MS, "ms"))
 def k1_milestones(spark, sf):
-    b = bronze(spark, sf)
-    return ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
+    return milestone_table(bronze(spark, sf), AS_OF)
 
 
 @query("k1_union_distinct", o.sql(_MS, "ms"))
 def k1_union_distinct(spark, sf):
-    b = bronze(spark, sf)
-    return ml.milestones_by_union(fx.milestone_input(b), b.config_milestone_status, AS_OF)
+    return milestone_table_by_union(bronze(spark, sf), AS_OF)
 
 
 def _branch_query(name: str, key: str):
@@ -115,15 +134,13 @@ def _first_sql(colour: str, alias: str) -> str:
 
 @query("k2_first_amber", _first_sql("amber", "FIRST_MILESTONE_TO_AMBER"))
 def k2_first_amber(spark, sf):
-    b = bronze(spark, sf)
-    ms = ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
+    ms = milestone_table(bronze(spark, sf), AS_OF)
     return ml.first_status_by_po(ms, "AMBER", "FIRST_MILESTONE_TO_AMBER")
 
 
 @query("k2_first_red", _first_sql("red", "FIRST_MILESTONE_TO_RED"))
 def k2_first_red(spark, sf):
-    b = bronze(spark, sf)
-    ms = ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
+    ms = milestone_table(bronze(spark, sf), AS_OF)
     return ml.first_status_by_po(ms, "RED", "FIRST_MILESTONE_TO_RED")
 
 
@@ -131,8 +148,7 @@ def k2_first_red(spark, sf):
 SELECT s.po AS ORDER_NO, milestone AS MILESTONE, unit AS TC_SHIPMENT_ID, if(step = top, 'ACTIVE', 'INACTIVE') AS ACTIVE_STATUS
 FROM ms s LEFT JOIN per_po p ON p.po = s.po""", "ms", "per_po"))
 def k3_active_status(spark, sf):
-    b = bronze(spark, sf)
-    ms = ml.milestones(fx.milestone_input(b, used_only=True), b.config_milestone_status, AS_OF)
+    ms = staged(milestone_table(bronze(spark, sf), AS_OF), "milestones")
     return ml.silver(ms, AS_OF).select("ORDER_NO", "MILESTONE", "TC_SHIPMENT_ID", "ACTIVE_STATUS")
 
 
@@ -315,6 +331,19 @@ _CTJ = ("SC_CT_SHIPMENT_ID", "TSC_PO_NO", "ARTICLE_NO", "SHIPMENT_START_DATE", "
         "SHIP_NOT_AFTER", "SHIP_NOT_BEFORE", "VENDOR_BOOKED_DATE", "CARGO_READY_DATE")
 
 
+@query("j2_heavy_split", """SELECT c_custkey, c_nationkey, s_suppkey FROM customer
+  LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey <> 3) ON c_nationkey = s_nationkey""")
+def j2_heavy_split(spark, sf):
+    """A fan-out in which nearly every key is heavy, one of them without a match."""
+    left = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_nationkey")
+    right = spark.read.parquet(f"{sf}/supplier.parquet").where("s_nationkey <> 3").select("s_suppkey", "s_nationkey")
+    keys, bound = heavy_keys(left, "c_nationkey", 10, 30)
+    heavy = [Heavy(k, stripes(2 * bound, bound), 3) for k in keys]
+    hot = F.col("c_nationkey").isin(keys)
+    split = split_left_join(left.where(hot), right.where(F.col("s_nationkey").isin(keys)), [("c_nationkey", "s_nationkey")], heavy)
+    return split.unionByName(left_join(left.where(~hot), right, [("c_nationkey", "s_nationkey")]))
+
+
 @query("j3_left_two_keys", o.sql(f"SELECT {_sel_sql(_CTJ)} FROM ct_line", "ct_line"))
 def j3_left_two_keys(spark, sf):
     b = bronze(spark, sf)

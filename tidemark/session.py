@@ -4,8 +4,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on.  Timestamps of the sources
 # are zone-less (timestamp_ntz); a UTC session keeps any zoned value equal
@@ -76,5 +77,9 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tidemark", *parts])
 
 
-def unique_name(prefix: str) -> str:
-    return f"{prefix}_{os.getpid()}_{os.urandom(4).hex()}"
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage with
+    files every executor can read, and is computed once for several readers."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,44 +1,23 @@
 """Bronze inputs of the milestone job.
 
-A ``Bronze`` maps source name -> DataFrame with upper-case column names.  In
-production the frames come from catalog tables (``from_tables``); in tests
-and benchmarks from the source views derived from the TPC-H-style tables
-(``from_fixtures``).  Nothing is read until an action runs, and each query
+A ``Bronze`` maps source name -> DataFrame with the columns of its contract
+(``contracts``).  In production the frames come from catalog tables
+(``from_tables``); in tests and benchmarks from the source views derived from the
+TPC-H-style tables (``from_fixtures``).  Nothing is read until an action runs, and each query
 scans only the columns it uses.
 """
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import upper_columns
 from . import fixtures
+from .contracts import CONTRACTS, as_delivered, bind
 
 # Source name -> columns the job reads.
-SOURCES: dict[str, tuple[str, ...]] = {
-    "purchase_orders": ("TC_PURCHASE_ORDERS_ID", "PURCHASE_ORDERS_ID", "CREATED_SOURCE",
-                        "O_FACILITY_ALIAS_ID", "D_FACILITY_ALIAS_ID", "BUSINESS_PARTNER_ID",
-                        "O_CITY", "O_STATE_PROV", "O_COUNTRY_CODE", "D_CITY", "D_COUNTRY_CODE",
-                        "BILLING_METHOD", "CREATED_DTTM", "LAST_UPDATED_DTTM"),
-    "purchase_order_line": ("PO_NO", "PO_TRACKING_NO", "DELIV_DATE", "SHIP_START_DATE",
-                            "SHIP_END_DATE", "DELIV_START_DATE", "DELIV_END_DATE",
-                            "PO_LINE_UNIT_PRICE", "PO_LINE_ORDER_QTY", "PO_LINE_RCVD_QTY",
-                            "PO_TOTAL_WEIGHT", "PO_TOTAL_VOLUME", "FREIGHT_TYPE_CODE",
-                            "PO_LINE_MOVE_TYPE_CODE", "PO_LINE_MAX_RCVD_DATE"),
-    "pending_po_line": ("PO_NO",),
-    "export_order": ("SC_EXP_PO_NO", "ARTICLE_NO", "SHIP_NOT_AFTER", "SHIP_NOT_BEFORE",
-                     "VENDOR_BOOKED_DATE", "CARGO_READY_DATE"),
-    "ct_shipment": ("SC_CT_SHIPMENT_ID", "TSC_PO_NO", "ARTICLE_NO", "SHIPMENT_START_DATE"),
-    "ct_shipment_event": ("SC_CT_SHIPMENT_ID", "EVENT_CODE", "EVENT_TS"),
-    "order_master_order": ("TC_MASTER_ORDER_ID", "ORDER_ID"),
-    "tlm_orders": ("ORDER_ID", "O_FACILITY_ALIAS_ID", "SHIPMENT_ID", "TC_SHIPMENT_ID", "CREATED_DTTM"),
-    "tlm_shipment": ("SHIPMENT_ID", "SHIPMENT_STATUS", "STATUS_CHANGE_DTTM", "TRAILER_NUMBER"),
-    "rts_line_item": ("ORDER_ID", "PICKUP_END_DTTM"),
-    "stop": ("SHIPMENT_ID", "FACILITY_ALIAS_ID", "STOP_SEQ", "DEPARTURE_START_DTTM", "ARRIVAL_START_DTTM"),
-    "tracking_message": ("SHIPMENT_ID", "STOP_SEQ", "MESSAGE_TYPE", "MESSAGE_STATUS", "EVENT_DTTM"),
-    "shipment_event": ("SHIPMENT_ID", "FIELD_NAME", "NEW_VALUE", "CREATED_DTTM"),
-    "asn": ("TC_SHIPMENT_ID", "ACTUAL_SHIPPED_DTTM"),
-    "config_milestone_status": ("PO_TYPE",),
-}
+SOURCES: dict[str, tuple[str, ...]] = {n: tuple(f.name for f in fields) for n, fields in CONTRACTS.items()}
 
 
 class Bronze(dict):
@@ -51,15 +30,24 @@ class Bronze(dict):
             raise AttributeError(name) from e
 
 
-def from_fixtures(spark: SparkSession, sf_dir: str) -> Bronze:
-    """Source views over the test tables in ``sf_dir``."""
-    frames = fixtures.register_views(spark, sf_dir)
-    return Bronze({k: upper_columns(v) for k, v in frames.items()})
+def from_frames(frames: Mapping[str, DataFrame], columns: Mapping[str, Mapping[str, str]] | None = None) -> Bronze:
+    """Frames under their delivered names, bound to the contracts.
+
+    All faults of all sources are raised together, before any scan; ``columns``
+    names delivered columns the contracts do not know."""
+    return Bronze(bind(frames, columns))
 
 
-def from_tables(spark: SparkSession, names: dict[str, str]) -> Bronze:
-    """Catalog tables, e.g. ``{"asn": "logistics.bronze_vw_sc_wms_asn", ...}``."""
-    return Bronze({k: upper_columns(spark.table(v)) for k, v in names.items()})
+def from_tables(spark: SparkSession, names: Mapping[str, str],
+                columns: Mapping[str, Mapping[str, str]] | None = None) -> Bronze:
+    """Catalog tables, e.g. ``{"asn": "warehouse.bronze_asn", ...}``, bound to the contracts."""
+    return from_frames({k: spark.table(v) for k, v in names.items()}, columns)
+
+
+def from_fixtures(spark: SparkSession, sf_dir: str) -> Bronze:
+    """Source views over the test tables in ``sf_dir``, delivered as real sources are."""
+    frames = fixtures.register_views(spark, sf_dir)
+    return from_frames({k: as_delivered(k, v) for k, v in frames.items()})
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:
