@@ -16,10 +16,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import drop_unshipped_international, max_if_complete, max_where
+from ..functions import drop_unshipped_international, max_where
 from ..session import staged
 from .joins import exists_flag, left_join
 from .skew import MIN_ROWS, Heavy, heavy_keys, is_heavy, split_left_join, stripes
+from .states import Agg, rollup
 
 INTERNATIONAL, PREPAID, COLLECT = "INTERNATIONAL", "PREPAID", "COLLECT"
 
@@ -29,6 +30,10 @@ def _max(*cols: str, rename: dict | None = None):
     return [F.max(c).alias(rename.get(c, c)) for c in cols]
 
 
+def _max_state(*cols: str) -> tuple[Agg, ...]:
+    return tuple(Agg(c, "max", c) for c in cols)
+
+
 # --------------------------------------------------------------------------
 # Purchase orders (M0)
 # --------------------------------------------------------------------------
@@ -87,23 +92,25 @@ def pending_pos(pending_po_line: DataFrame) -> DataFrame:
 PO_LINE_KEYS = ("PO_NO", "PO_TRACKING_NO", "FREIGHT_TYPE_CODE", "PO_LINE_MOVE_TYPE_CODE")
 
 
+PO_LINE_AGGS = (
+    *_max_state("DELIV_DATE", "SHIP_START_DATE", "SHIP_END_DATE", "DELIV_START_DATE", "DELIV_END_DATE"),
+    Agg("MONETARY_VALUE", "sum", "PO_LINE_UNIT_PRICE * PO_LINE_ORDER_QTY"),
+    Agg("ORDER_QTY", "sum", "PO_LINE_ORDER_QTY"),
+    Agg("RCVD_QTY", "sum", "PO_LINE_RCVD_QTY"),
+    Agg("PO_WEIGHT", "max", "PO_TOTAL_WEIGHT"),
+    Agg("PO_VOLUME", "max", "PO_TOTAL_VOLUME"),
+    Agg("PO_RCVD_DATE", "max", "PO_LINE_MAX_RCVD_DATE"),
+    Agg("PO_FULL_RCVD_DATE", "max_if_complete", "PO_LINE_MAX_RCVD_DATE"),
+)
+
+
 def po_line_rollup(purchase_order_line: DataFrame) -> DataFrame:
     """Lines rolled up per PO, tracking number, freight type and move type.
 
     MONETARY_VALUE is SUM(price * qty) in exact decimals; PO_FULL_RCVD_DATE
     is the last receipt date only when every line has one (A8).
     """
-    price, qty = F.col("PO_LINE_UNIT_PRICE"), F.col("PO_LINE_ORDER_QTY")
-    return purchase_order_line.groupBy(*PO_LINE_KEYS).agg(
-        *_max("DELIV_DATE", "SHIP_START_DATE", "SHIP_END_DATE", "DELIV_START_DATE", "DELIV_END_DATE"),
-        F.sum(price * qty).alias("MONETARY_VALUE"),
-        F.sum(qty).alias("ORDER_QTY"),
-        F.sum("PO_LINE_RCVD_QTY").alias("RCVD_QTY"),
-        F.max("PO_TOTAL_WEIGHT").alias("PO_WEIGHT"),
-        F.max("PO_TOTAL_VOLUME").alias("PO_VOLUME"),
-        F.max("PO_LINE_MAX_RCVD_DATE").alias("PO_RCVD_DATE"),
-        max_if_complete("PO_LINE_MAX_RCVD_DATE").alias("PO_FULL_RCVD_DATE"),
-    )
+    return rollup(purchase_order_line, PO_LINE_KEYS, PO_LINE_AGGS)
 
 
 # --------------------------------------------------------------------------
@@ -161,6 +168,14 @@ COB_CODES = ("COB",)
 CARRIER_DROP_CODES = ("CARRDROP", "DROP")
 
 
+def _codes_state(name: str, codes: tuple[str, ...]) -> Agg:
+    listed = ", ".join(f"'{c}'" for c in codes)
+    return Agg(name, "max", f"CASE WHEN EVENT_CODE IN ({listed}) THEN EVENT_TS END")
+
+
+CT_EVENT_AGGS = (_codes_state("COB_TS", COB_CODES), _codes_state("CARRIER_DROP_TS", CARRIER_DROP_CODES))
+
+
 def ct_event_times(ct_shipment_event: DataFrame, only_used_codes: bool = False) -> DataFrame:
     """Per control-tower shipment: COB time and carrier-drop time.
 
@@ -169,24 +184,22 @@ def ct_event_times(ct_shipment_event: DataFrame, only_used_codes: bool = False)
     scan); shipments with only such codes then have no row instead of a row
     of NULLs, which a LEFT join cannot tell apart.
     """
-    code, ts = F.col("EVENT_CODE"), F.col("EVENT_TS")
     ev = ct_shipment_event
     if only_used_codes:
-        ev = ev.where(code.isin(*COB_CODES, *CARRIER_DROP_CODES))
-    return ev.groupBy(F.col("SC_CT_SHIPMENT_ID").alias("CT_SHIPMENT_ID")).agg(
-        max_where(code.isin(*COB_CODES), ts).alias("COB_TS"),
-        max_where(code.isin(*CARRIER_DROP_CODES), ts).alias("CARRIER_DROP_TS"),
-    )
+        ev = ev.where(F.col("EVENT_CODE").isin(*COB_CODES, *CARRIER_DROP_CODES))
+    return rollup(ev, ("SC_CT_SHIPMENT_ID",), CT_EVENT_AGGS).withColumnRenamed("SC_CT_SHIPMENT_ID", "CT_SHIPMENT_ID")
 
 
 # --------------------------------------------------------------------------
 # Transport-management facts (M0e, M0g, M0h, M0i)
 # --------------------------------------------------------------------------
 
+SHIPMENT_AGGS = _max_state("SHIPMENT_STATUS", "STATUS_CHANGE_DTTM", "TRAILER_NUMBER")
+
+
 def shipment_status(tlm_shipment: DataFrame) -> DataFrame:
     """Per shipment: MAX status, status-change time and trailer (A1)."""
-    return tlm_shipment.groupBy("SHIPMENT_ID").agg(
-        *_max("SHIPMENT_STATUS", "STATUS_CHANGE_DTTM", "TRAILER_NUMBER"))
+    return rollup(tlm_shipment, ("SHIPMENT_ID",), SHIPMENT_AGGS)
 
 
 def pickup_end(rts_line_item: DataFrame) -> DataFrame:

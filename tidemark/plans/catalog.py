@@ -20,16 +20,19 @@ from ..functions.dates import batch_id, central_time
 from ..functions.runinfo import run_info
 from ..operators import facts as fx
 from ..operators import milestones as ml
+from ..operators import states
 from ..operators.joins import left_join
 from ..operators.skew import Heavy, heavy_keys, split_left_join, stripes
 from ..session import staged
 from ..sources import bronze as br
 from ..sources.control import example_control
-from ..sources.extract import extract_full, extract_incremental
+from ..sources.extract import extract_full, extract_in_ranges, extract_incremental
+from ..sources.merging import accumulate, read_merged, upsert
 from ..sources.sinks import (append_run_log, compact_table, publish, replace_table, table_count, truncate_append,
                              with_audit_ts)
 from . import oracle as o
 from .ingest_job import ingest_all
+from .refresh import refresh_silver
 from .silver_job import milestone_table, milestone_table_by_union, silver_milestones
 
 AS_OF = dt.datetime(2000, 1, 1)
@@ -152,6 +155,22 @@ def k3_active_status(spark, sf):
     return ml.silver(ms, AS_OF).select("ORDER_NO", "MILESTONE", "TC_SHIPMENT_ID", "ACTIVE_STATUS")
 
 
+@query("m8_refresh", o.silver_sql("red"))
+def m8_refresh(spark, sf):
+    """The silver table from a first run over what was there at some time and a
+    refresh of the POs that later rows of six sources affect."""
+    b = bronze(spark, sf)
+    late = {"tracking_message": F.col("EVENT_DTTM") >= "1997-01-01", "stop": F.col("ARRIVAL_START_DTTM") >= "1997-06-01",
+            "shipment_event": F.col("CREATED_DTTM") >= "1997-03-01", "asn": F.col("ACTUAL_SHIPPED_DTTM") >= "1997-05-01",
+            "ct_shipment_event": F.col("EVENT_TS") >= "1997-02-01", "purchase_order_line": F.col("DELIV_DATE") >= "1998-01-01"}
+    before = br.Bronze(b | {n: b[n].where(~F.coalesce(cond, F.lit(False))) for n, cond in late.items()})
+    name = _uniq("silver_kept")
+    refresh_silver(spark, before, name, "20240119120000", AS_OF)
+    done = refresh_silver(spark, b, name, INGEST_BATCH, AS_OF, {n: b[n].where(cond) for n, cond in late.items()}, AS_OF)
+    assert not done.skipped
+    return read_merged(spark, name)
+
+
 # ---------------------------------------------------------------- facts (M0*)
 
 @query("m0_po_type", o.sql("""
@@ -285,6 +304,29 @@ def a8_max_if_complete(spark, sf):
         *fx.PO_LINE_KEYS, "PO_RCVD_DATE", "PO_FULL_RCVD_DATE")
 
 
+@query("a8_merged_state", o.sql(f"SELECT {_sel_sql(_POL_COLS, _POL_NUM)} FROM line_group", "line_group"))
+def a8_merged_state(spark, sf):
+    """The PO line rollup from stored states: earlier lines first, later ones merged in."""
+    lines = bronze(spark, sf).purchase_order_line
+    early = F.coalesce(F.col("PO_LINE_MAX_RCVD_DATE") < "1996-01-01", F.lit(False))
+    name = _uniq("line_state")
+    for batch, increment in (("20240119120000", lines.where(early)), (INGEST_BATCH, lines.where(~early)),
+                             (INGEST_BATCH, lines.where(~early))):  # the second batch twice, as after a failure
+        accumulate(spark, increment, name, fx.PO_LINE_KEYS, fx.PO_LINE_AGGS, batch)
+    return states.finish(read_merged(spark, name), fx.PO_LINE_KEYS, fx.PO_LINE_AGGS).select(*_POL_COLS, *_dbl(*_POL_NUM))
+
+
+@query("a6_merged_state", o.sql("""SELECT ct_shipment_id AS CT_SHIPMENT_ID, cob_ts AS COB_TS,
+  carrier_drop_ts AS CARRIER_DROP_TS FROM ct_times""", "ct_times"))
+def a6_merged_state(spark, sf):
+    """Event times per shipment from the states of two increments."""
+    events, keys = bronze(spark, sf).ct_shipment_event, ("SC_CT_SHIPMENT_ID",)
+    early = F.col("EVENT_TS") < "1996-01-01"
+    parts = [states.partial(events.where(cond), keys, fx.CT_EVENT_AGGS) for cond in (early, ~early)]
+    return states.finish(states.merge(parts, keys, fx.CT_EVENT_AGGS), keys, fx.CT_EVENT_AGGS) \
+        .withColumnRenamed("SC_CT_SHIPMENT_ID", "CT_SHIPMENT_ID")
+
+
 @query("a9_multi_key", o.sql("""SELECT shipment_id AS SHIPMENT_ID, stop_seq AS STOP_SEQ,
   message_status AS MESSAGE_STATUS, message_type AS MESSAGE_TYPE, event_dttm AS EVENT_DTTM FROM heard""", "heard"))
 def a9_multi_key(spark, sf):
@@ -663,6 +705,33 @@ def s3_incremental_extract(spark, sf):
     return df
 
 
+@query("s2_partitioned_extract", "SELECT * FROM orders WHERE o_custkey % 10 <> 3")
+def s2_partitioned_extract(spark, sf):
+    """A configured query read in ranges of its key, cut at quantiles."""
+    br.fixtures.register_raw(spark, sf)
+    return extract_in_ranges(spark, "SELECT * FROM orders WHERE o_custkey % 10 <> 3;", "o_custkey", 8)
+
+
+def _events_between(spark, sf, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    spark.read.parquet(f"{sf}/events.parquet").createOrReplaceTempView("events")
+    tpl = ("SELECT * FROM events WHERE <IncrementalColumn> > '<IncrementalStartTime>' "
+           "AND <IncrementalColumn> <= '<JobStartTime>'")
+    return extract_incremental(spark, tpl, "ts", start, end)[0]
+
+
+@query("s3_upsert_history", f"""SELECT * EXCLUDE k FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events
+  WHERE ts <= TIMESTAMP '{INGEST_JOB_START}') WHERE k = 1""")
+def s3_upsert_history(spark, sf):
+    """The latest event per user and type from three increments, each from where the last ended."""
+    name, start = _uniq("bronze_events"), dt.datetime(1970, 1, 1)
+    for batch, end in (("20240105000000", dt.datetime(2024, 1, 5)), ("20240112000000", dt.datetime(2024, 1, 12)),
+                       (INGEST_BATCH, dt.datetime.fromisoformat(INGEST_JOB_START))):
+        done = upsert(spark, _events_between(spark, sf, start, end), name, ["user_id", "event_type"], ["ts", "event_id"], batch, start)
+        start = done.next_start
+    return read_merged(spark, name)
+
+
 @query("s6_audit_column", f"""SELECT o_orderkey, o_orderstatus,
   TIMESTAMP '{INGEST_JOB_START}' AS ETL_CREATED_DTTM FROM orders""")
 def s6_audit_column(spark, sf):
