@@ -168,6 +168,66 @@ def test_op4_finds_notices_and_texts(spark, edge):
     assert licenses.scan(edge).count() == len(EDGE)
 
 
+def brute_scan(data):
+    """(doc_id, licenses, n_notices, whole) by the definitions, without digests or joins."""
+    import regex
+
+    def canon(text):
+        x = regex.sub("|".join((licenses.COPYRIGHT_LINE, licenses.TITLE_LINE, licenses.ITEM)).replace("(?m)", ""), "",
+                      text.lower(), flags=regex.M)
+        for a, b in licenses.SPELLINGS:
+            x = x.replace(a, b)
+        return regex.sub(r"[^\p{L}\p{N}]+", " ", x).strip(" ")
+    known = [*licenses.KNOWN, *((f.stem, f.read_text(encoding="utf-8")) for f in licenses.FOLDER.glob("*.txt"))]
+    same, full = collections.defaultdict(set), set()
+    for name, text in known:
+        c = canon(text)
+        body = c.split(" end of terms and conditions")[0]
+        for form in {c, body}:
+            same[form].add(name)
+        if "\n" in text:
+            full.add((name, body))
+    out = []
+    for i, text, _ in data:
+        c = canon(text or "")
+        of_text = set(same.get(c, ())) | {n for n, f in full if f" {f} " in f" {c} "} if c else set()
+        lines = [canon(x) for x in (text or "").split("\n")] if "\n" in (text or "") else []
+        by_line = [n for x in lines if x for n in same.get(x, ())]
+        out.append((i or 0, sorted(of_text | set(by_line)), len(by_line) + len(of_text), min(same.get(c, ()), default=None) if c else None))
+    return sorted(out, key=str)
+
+
+def scanned(df):
+    return sorted(((r.doc_id or 0, r.licenses, r.n_notices, r.whole_license) for r in licenses.scan(df).collect()), key=str)
+
+
+def test_op4_brute_force(spark, docs, edge, rows, none):
+    for table, data in both(docs, edge, rows):
+        assert scanned(table) == brute_scan(data)
+    assert any(r[1] for r in brute_scan([(r["doc_id"], r["text"], None) for r in rows])) and scanned(none) == []
+    full = {f.stem: f.read_text(encoding="utf-8") for f in licenses.FOLDER.glob("*.txt")}
+    data = [(k, t, None) for k, t in enumerate(full.values())]
+    data += [(100, "Before.\n" + full["GPL-2.0"].upper() + "\nafter " + full["Zlib"], None),
+             (101, "x".join(full["BSD-2-Clause"].split("\n")), None), (102, full["MPL-2.0"][: len(full["MPL-2.0"]) // 2], None),
+             (None, "plain prose", None), (None, "Released under the MIT License.", None), (None, "All rights reserved.\nAll rights reserved.", None),
+             (7, "prose", None), (7, "Licensed under CC BY 4.0.", None)]
+    assert scanned(spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(5)) == brute_scan(data)
+
+
+def test_op4_plan_and_bounds(spark, docs, monkeypatch):
+    plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+    want = scanned(docs)
+    monkeypatch.setattr(licenses, "MOST_DIGESTS", 3)  # beyond the bound the digests are joined as Spark sees fit
+    assert scanned(docs) == want
+    monkeypatch.setattr(licenses, "MOST_FULL", 3)
+    with pytest.raises(ValueError, match="full licence texts"):
+        licenses.scan(docs)
+    few = spark.createDataFrame([("X", "one notice"), ("Y", "One, notice!")], "license string, known string")
+    got = licenses.scan(spark.createDataFrame([(1, "a\nONE notice.")], "doc_id long, text string"), few).first()
+    assert (got.licenses, got.n_notices) == (["X", "Y"], 2)
+
+
 # -- 5 ------------------------------------------------------------------
 def later(data, percent=80, min_words=line_dedup.MIN_WORDS):
     rank = lambda i: (1 << 63) if i is None else i

@@ -5,11 +5,20 @@ normalised, and the digest of the entire text is joined to the digests of known
 licence texts.  Texts are looked up at two scales: each line of a document, since
 notices are mostly lines of a longer text, and the document as a whole.  A full
 licence (a known text of several lines) also counts where a longer document holds
-its normalised text as a stretch of whole words, however its lines are broken.
+its normalised text as a stretch of whole words, however its lines are broken:
+a document that has the licence's first words (its anchor) is joined to the licence
+on them, and only then compared with it.
+
+Both joins send the known side to all tasks, after a count: beyond
+``MOST_DIGESTS`` the digests are joined as Spark sees fit, and full texts, which
+are anchors of a plan, may be ``MOST_FULL`` at most.  A document's units stay in its
+task; what is grouped afterwards is the matches, by row.
 
 Defined cases: NULL or empty text matches nothing; texts that are empty after
-normalising match nothing; rows that repeat a doc_id are one document and get
-the same result; other columns are ignored.
+normalising match nothing; each row is a document of its own, so rows that repeat
+or lack a doc_id are told apart; very long texts are normalised whole, and line by
+line; a line or text known under several licences has them all; an empty table
+gives no rows; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -69,6 +78,11 @@ COPYRIGHT_LINE = r"(?m)^[^\p{L}\n(©]*(?:copyright\s*(?:\(c\)|©|[<\[(]?(?:\d{4}
 TITLE_LINE = (r"(?m)^[^\p{L}\p{N}\n]*(?:the )?(?:mit|isc|x11|zlib|(?:new |modified |simplified |revised )?bsd|bsd zero clause"
               r"|zero-clause bsd|[0-4]-clause bsd|bsd [0-4]-clause)(?: [\"'(]?(?:new|revised|simplified)[\"')]?)? licen[cs]e"
               r"(?: \([^()\n]{1,30}\))?[^\p{L}\p{N}\n]*$")
+#: Words of a full text that a document must have to be compared with it.
+ANCHOR_WORDS = 8
+#: Bounds of what is sent to all tasks: distinct normalised texts, and full ones among them.
+MOST_DIGESTS = 100_000
+MOST_FULL = 500
 #: Numbers of list items, which some copies have as bullets.
 ITEM = r"(?m)^[\x20\t]*\d{1,2}[.)]\s"
 
@@ -88,34 +102,54 @@ def known_texts(spark) -> DataFrame:
     return spark.createDataFrame([*KNOWN, *((f.stem, f.read_text(encoding="utf-8")) for f in files)], "license string, known string")
 
 
+def known_forms(known: DataFrame) -> DataFrame:
+    """(license, full, form): the normalised texts; a full one, of several lines, is
+    also known without its appendix."""
+    body = F.substring_index("canon", " end of terms and conditions", 1)
+    return known.select("license", F.contains("known", F.lit("\n")).alias("full"), canonical(F.col("known")).alias("canon")) \
+        .where("canon <> ''").withColumn("form", F.explode(F.array_distinct(F.array("canon", body)))) \
+        .select("license", (F.col("full") & (F.col("form") == body)).alias("full"), "form").distinct()
+
+
+def _padded(c: Column) -> Column:
+    return F.concat(F.lit(" "), c, F.lit(" "))
+
+
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document row: doc_id, licenses (ascending, without
     repeats), n_notices (lines that matched, and licences that the text is or
     holds), whole_license.  ``known`` has license, known, as ``known_texts``."""
-    known = known_texts(docs.sparkSession) if known is None else known
-    # a few hundred texts at most; a full one is also known without its appendix
-    body = F.substring_index("canon", " end of terms and conditions", 1)
-    known = known.select("license", F.contains("known", F.lit("\n")).alias("full"), canonical(F.col("known")).alias("canon")) \
-        .where("canon <> ''").withColumn("form", F.explode(F.array_distinct(F.array("canon", body)))) \
-        .select("license", (F.col("full") & (F.col("form") == body)).alias("full"), "form").distinct()
+    forms = known_forms(known_texts(docs.sparkSession) if known is None else known)
+    full = forms.where("full").withColumn("anchor", _padded(F.substring_index("form", " ", ANCHOR_WORDS)))
+    anchors = sorted(r.anchor for r in full.select("anchor").distinct().limit(MOST_FULL + 1).collect())
+    if len(anchors) > MOST_FULL:
+        raise ValueError(f"more than {MOST_FULL} full licence texts")
+    digests = forms.groupBy(F.sha2("form", 256).alias("digest")).agg(F.collect_set("license").alias("same"))
+    if digests.limit(MOST_DIGESTS + 1).count() <= MOST_DIGESTS:
+        digests = F.broadcast(digests)
+    held = F.broadcast(full.groupBy("anchor").agg(F.collect_set(F.struct("license", _padded(F.col("form")).alias("form"))).alias("texts")))
+
     text = F.col("text").cast("string")
-    lines = docs.where(F.contains(text, F.lit("\n"))).select("doc_id", F.explode(F.split(text, "\n")).alias("unit")) \
-        .select("doc_id", canonical(F.col("unit")).alias("unit")).where("unit <> ''") \
-        .select("doc_id", F.sha2("unit", 256).alias("digest"))
-    # the join sends the known digests to all tasks only if Spark finds them small
-    notices = lines.join(known.select("license", F.sha2("form", 256).alias("digest")).distinct(), "digest") \
-        .select("doc_id", "license", F.lit(True).alias("line"), F.lit(False).alias("whole"))
-    padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    texts = docs.select("doc_id", padded(canonical(text)).alias("unit"))
-    forms = known.select("license", "full", padded(F.col("form")).alias("form"))
-    same = F.col("unit") == F.col("form")
-    held = F.col("full") & F.contains("unit", F.col("form"))
-    wholes = texts.join(F.broadcast(forms), same | held).select("doc_id", "license", F.lit(False).alias("line"), same.alias("whole"))
-    found = notices.unionByName(wholes).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set("license")).alias("licenses"),
-        (F.count_if("line") + F.size(F.collect_set(F.when(~F.col("line"), F.col("license"))))).alias("n_notices"),
-        F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license"))
-    ids = docs.select("doc_id")
-    return ids.join(found, ids["doc_id"].eqNullSafe(found["doc_id"]), "left").select(
-        ids["doc_id"], F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"),
-        F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), "whole_license")
+    unit = lambda line, c: F.struct(F.lit(line).alias("line"), c.alias("text"))
+    whole = F.array(unit(False, F.col("text")))
+    lines = F.transform(F.split("text", "\n"), lambda x: unit(True, x))
+    units = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text")) \
+        .select("row", "doc_id", F.explode(F.when(F.contains("text", F.lit("\n")), F.concat(whole, lines)).otherwise(whole)).alias("u")) \
+        .select("row", "doc_id", "u.line", canonical(F.col("u.text")).alias("canon")) \
+        .withColumn("canon", F.when(F.col("canon") != "", F.col("canon"))) \
+        .select("row", "doc_id", "line", F.sha2("canon", 256).alias("digest"),
+                F.when(~F.col("line"), _padded(F.col("canon"))).alias("unit"))
+    none = F.array().cast("array<string>")
+    hits = F.array_compact(F.array(*[F.when(F.contains("unit", F.lit(a)), F.lit(a)) for a in anchors])) if anchors else none
+    found = units.withColumn("anchor", F.explode_outer(hits)).join(digests, "digest", "left").join(held, "anchor", "left") \
+        .select("row", "doc_id", "line", F.coalesce("same", none).alias("same"),
+                F.coalesce(F.transform(F.filter("texts", lambda t: F.contains(F.col("unit"), t["form"])), lambda t: t["license"]),
+                           none).alias("held"))
+    of_text = F.when(~F.col("line"), F.array_union("same", "held")).otherwise(none)
+    by_row = found.groupBy("row", "doc_id").agg(
+        F.flatten(F.collect_set(F.array_union("same", "held"))).alias("all"),
+        F.sum(F.when(F.col("line"), F.size("same")).otherwise(0)).alias("n_lines"),
+        F.flatten(F.collect_set(of_text)).alias("of_text"),
+        F.min(F.when(~F.col("line"), F.array_min("same"))).alias("whole_license"))
+    return by_row.select("doc_id", F.array_sort(F.array_distinct("all")).alias("licenses"),
+                         (F.col("n_lines") + F.size(F.array_distinct("of_text"))).alias("n_notices"), "whole_license")
