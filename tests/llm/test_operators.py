@@ -90,7 +90,16 @@ def test_op2_counts_and_verdict(docs, edge, rows):
             grams = collections.Counter(zip(w, w[1:], w[2:], strict=False))
             hit = {k + d for k, g in enumerate(zip(w, w[1:], w[2:], strict=False)) if grams[g] > 1 for d in range(3)}
             lines = [x for x in t.split("\n") if words(x)]
-            lost = sum(len(words(x)) for x in lines if quality.line_fault(x))
+            bad, run = set(), []
+            for k, x in enumerate([*lines, None]):  # short lines count in runs of three
+                if x is not None and len(x.split()) < 3 and quality.line_fault(x) == "punctuation":
+                    run.append(k)
+                    continue
+                bad |= set(run) if len(run) > 2 else set()
+                run = []
+                if x is not None and quality.line_fault(x):
+                    bad.add(k)
+            lost = sum(len(words(lines[k])) for k in bad)
             failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
             want.append((i or 0, len(w), len(b"".join(w).decode()), len(re.findall(r"[#*$%&|<>]", t)),
                          len(lines) - len(set(lines)), len(hit), failed, not failed and 100 * lost <= 40 * len(w)))
@@ -119,6 +128,28 @@ def test_op2_line_rules():
     assert fault("Licensed under CC BY-NC 4.0.") is None
 
 
+def test_op2_rules_do_not_look_at_length():
+    fault = quality.line_fault
+    notice = "We use cookies to tell our readers apart"
+    for n in range(1, 60, 7):
+        assert fault(notice + " and to count them" * n + ".") == "boilerplate", n
+        assert fault(" ".join(["SHOUTED WORDS GO ON"] * n * 20)) == "punctuation"
+        prose = "An ordinary sentence says what it has to say and ends. " * (5 + n)
+        assert fault(prose + "See the terms of service. " + prose) is None
+    assert fault("We use cookies to see how you read. They help us to see how the site is used. Thank you.") == "boilerplate"
+
+
+def test_op2_scripts_headings_and_code():
+    assert quality.line_fault("昨日は天気が良かったので公園を散歩しました") is None
+    assert quality.line_fault("if (a[i] == b) { x = y; }") is None
+    faults = quality.faulty_lines
+    prose = "An ordinary sentence, that ends as it should."
+    assert faults(["Second Chapter", "", prose, "Notes", prose]) == [False] * 5
+    assert faults(["Home", "Next page", "", "Contact", prose]) == [True, True, False, True, False]
+    assert faults(["Home", "News"]) == [False, False] and faults(["a", "b", "c"]) == [True] * 3
+    assert faults([]) == [] and faults([""]) == [False]
+
+
 def test_clean_documents_keeps_columns(edge):
     got = quality.clean_documents(edge)
     assert got.columns == edge.columns

@@ -6,6 +6,12 @@ boilerplate rules; lines that fail go; a document that loses more than
 fails on its own counts: fewer than 50 words, or more than half of its words
 in repeated three-word windows.
 
+No rule looks at a line's length: page furniture is a fault where the sentences that
+hold it make up a quarter of the line's words or more, be that a short notice or a
+long one; a phrase in passing is none.  In scripts without spaces two characters
+count as a word.  Lines of one or two words without a closing mark are a fault in
+runs of ``RUN`` and more (menus); alone they are headings.
+
 Everything happens where the document lies: no shuffle, one task per split.
 
 Defined cases: NULL text counts as empty, has no words and is rejected; lines
@@ -35,29 +41,70 @@ BOILERPLATE = (
 )
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
 _END = re.compile(r"""[.!?:;…。！？]["'”’»)\]]*$""")
-_SYMBOL = re.compile(r"[#*$%&|<>{}~^=\\]")
+_SYMBOL = re.compile(r"[#*$%&|<>~^\\]")
 _SEPARATOR = re.compile(r"(?:^|\s)(?:[|>»•·/]|::|->)(?=\s|$)")
+_SENTENCE = re.compile(r"[.!?](?=\s)|[。！？]")
+#: Scripts written without spaces.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+#: Short lines in a row that make a menu.
+RUN = 3
 
 
-def line_fault(line: str) -> str | None:
-    """The rule a line with words breaks: 'boilerplate', 'navigation' or
-    'punctuation'; None if it passes."""
-    words = line.split()
-    n = len(words)
-    if len(line) < 400 and _BOILERPLATE.search(line.lower()):
+def _n_words(text: str) -> int:
+    return max(len(text.split()), len(_UNSPACED.findall(text)) // 2)
+
+
+def _furniture(line: str, n: int) -> bool:
+    """Do sentences with a phrase of page furniture make up a quarter of the words?"""
+    low = line.lower()
+    if not _BOILERPLATE.search(low):
+        return False
+    return 4 * sum(_n_words(x) for x in _SENTENCE.split(low) if _BOILERPLATE.search(x)) >= n
+
+
+def _is_crumb(line: str) -> bool:
+    return _n_words(line) < 3 and not _END.search(line.rstrip(SPACES))
+
+
+def _fault(line: str) -> str | None:
+    words, n = line.split(), _n_words(line)
+    if _furniture(line, n):
         return "boilerplate"
     if len(_SEPARATOR.findall(line)) * 5 >= n and "".join(words).strip("|>»•·/:-") and _SEPARATOR.search(line):
         return "navigation"
     if len(_SYMBOL.findall(line)) * 5 > n * 2:
         return "punctuation"
-    if line.count("!!") * 3 > n or (n >= 5 and line.upper() == line and line.lower() != line and n < 1000
+    if line.count("!!") * 3 > n or (n >= 5 and line.upper() == line and line.lower() != line
                                     and sum(w.isalpha() for w in words) * 2 > n):
         return "punctuation"
-    if n < 10 and not _END.search(line.rstrip(SPACES)) and n < 3:
-        return "punctuation"
     return None
 
 
+def line_fault(line: str) -> str | None:
+    """The rule a line with words breaks, taken by itself: 'boilerplate',
+    'navigation' or 'punctuation'; None if it passes."""
+    return _fault(line) or ("punctuation" if _is_crumb(line) else None)
+
+
+def faulty_lines(lines: list[str]) -> list[bool]:
+    """Which lines of a document break a rule; lines without words break none, and
+    short ones only in runs of ``RUN`` lines with words."""
+    out, run = [False] * len(lines), []
+    for k, line in enumerate([*lines, "."]):  # the last closes a run
+        if k < len(lines) and not line.strip(SPACES):
+            continue
+        if k < len(lines) and _fault(line):
+            out[k] = True
+        if k < len(lines) and _is_crumb(line):
+            run.append(k)
+            continue
+        if len(run) >= RUN:
+            for i in run:
+                out[i] = True
+        run = []
+    return out
+
+
 def _repeated(grams: np.ndarray) -> int:
     """Words covered by three-word windows found twice or more."""
     s = np.sort(grams)
@@ -90,12 +137,13 @@ def _judged(docs: DataFrame, max_lost: int, with_text: bool) -> DataFrame:
                 seen: set[str] = set()
                 dup = lost = 0
                 good = []
-                for line in text.split("\n"):
+                lines = text.split("\n")
+                for line, faulty in zip(lines, faulty_lines(lines), strict=True):
                     if line.strip(SPACES):
                         if line in seen:
                             dup += 1
                         seen.add(line)
-                        if line_fault(line):
+                        if faulty:
                             lost += len(line.encode().split())
                             continue
                     good.append(line)

@@ -23,8 +23,8 @@ number that ``common.keyed`` gives them.  Two sets link when
    bit per value of a set (the 128 bits of a posting say little about sets of
    hundreds of values; smaller sets need no more), then joins the pairs left with
    the units' texts and counts the intersection of the sorted arrays.
-4. ``more_pairs`` lists what passes the bounds and was not nominated, only for
-   sets whose outcome is still open.  A group of n near copies so costs about n
+4. ``more_pairs`` lists what passes the bounds, those of the whole bitmaps among
+   them, and was not nominated, only for sets whose outcome is still open.  A group of n near copies so costs about n
    comparisons, not n squared, and no link is lost.
 """
 from __future__ import annotations
@@ -470,7 +470,8 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
     gathered by value.
     """
     members = t.where("pos >= 0 and open").select("key", "doc", "line", "n", "pos", "sig", "sig2", "digest")
-    side = stage(members.join(open_units.select("doc", "line", "part"), ["doc", "line"], "left")
+    whole = t.where(F.col("pos") == BITMAP).select("doc", "line", "bitmap")
+    side = stage(members.join(open_units.select("doc", "line", "part"), ["doc", "line"], "left").join(whole, ["doc", "line"], "left")
                  .withColumn("is_open", F.col("part").isNotNull()).withColumn("part", F.coalesce("part", F.lit(0))), "open-tiles")
     live = stage(side.groupBy("key").agg(F.max("is_open").alias("any"), F.min("is_open").alias("all"),
                                          F.min("part").alias("lo"), F.max("part").alias("hi"))
@@ -482,11 +483,16 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
             starts = np.unique(_groups(c["key"])[0])
             for a, b in zip(starts, np.r_[starts[1:], len(c["key"])], strict=True):
                 g = _take(c, slice(a, b))
+                bits = WholeBitmaps(g["bitmap"])
                 for lo in range(0, b - a, 256):
                     i = lo + np.flatnonzero(g["is_open"][lo:lo + 256])[:, None]
                     j = np.arange(min(b - a, lo + 256))[None, :]
                     ok, dist = passes(percent, g, i, g, j)
                     ok &= (j < i) & ~(g["is_open"][j] & (g["part"][i] == g["part"][j]))
+                    y, x = np.nonzero(ok)
+                    n = g["n"][i[y, 0]] + g["n"][x]
+                    far = bits.distance(i[y, 0], x) > n - 2 * need(percent, n)
+                    ok[y[far], x[far]] = False
                     if per_unit is not None:
                         rank = np.argsort(np.argsort(np.where(ok, dist, 999), axis=1, kind="stable"), axis=1)
                         ok &= rank < per_unit
@@ -498,6 +504,40 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
     return side.mapInArrow(run, PAIR_TYPE).distinct()
 
 
+class WholeBitmaps:
+    """Whole bitmaps of the members of a value group, None where there is none."""
+
+    def __init__(self, bitmaps: np.ndarray):
+        self.bitmaps = bitmaps
+        self.size = np.fromiter((len(b) if b is not None else 0 for b in bitmaps), np.int64, len(bitmaps))
+        self.place = np.zeros(len(bitmaps), np.int64)  # among the members of its size
+        for size in np.unique(self.size):
+            at = np.flatnonzero(self.size == size)
+            self.place[at] = np.arange(len(at))
+        self._folded: dict[tuple[int, int], np.ndarray] = {}
+
+    def folded(self, size: int, to: int) -> np.ndarray:
+        """The bitmaps of one size, a row each, halved to ``to`` bytes."""
+        if (size, to) not in self._folded:
+            self._folded[size, to] = _folded(pa.array(self.bitmaps[self.size == size], pa.binary()), to)
+        return self._folded[size, to]
+
+    def distance(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Bits in which members y and x differ, 0 where a bitmap is missing."""
+        out = np.zeros(len(y), np.int64)
+        if not len(y):
+            return out
+        both = np.stack([self.size[y], self.size[x]])
+        for p, q in np.unique(both, axis=1).T:
+            if not (p and q):
+                continue
+            at = np.flatnonzero((both[0] == p) & (both[1] == q))
+            a, b = self.folded(p, min(p, q)), self.folded(q, min(p, q))
+            for part in np.array_split(at, len(at) * a.shape[1] // SLICE + 1):  # bounded temporaries
+                out[part] = np.bitwise_count(a[self.place[y[part]]] ^ b[self.place[x[part]]]).sum(axis=1)
+        return out
+
+
 def may_link(pairs: DataFrame, t: DataFrame, percent: int) -> DataFrame:
     """The pairs that the bit counts of their whole bitmaps leave, or that lack one."""
     whole = t.where(F.col("pos") == BITMAP)
