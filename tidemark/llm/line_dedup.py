@@ -35,6 +35,7 @@ class Lines(Units):
     counts_all = True
     # lines have few enough words for the bits of a posting, and share frequent ones
     reach, bitmap_from = 255, 129
+    nominations, split_from = 4, 512
 
     def __init__(self, percent: int, min_words: int):
         self.percent, self.min_words = percent, min_words
@@ -92,12 +93,13 @@ def later_lines(rows: DataFrame, percent: int = 80, min_words: int = MIN_WORDS)
     t = tiles(docs, units, survey(docs, units))
     equal = equal_units(t).select("doc", "line", "x_doc")
     near = stage(nominated(t), "nominated")
-    tested = near.where("place <= 2").select(*PAIR)
+    tested = near.where("place <= 8").select(*PAIR)
     found = stage(verify(tested, t, docs, units), "near-lines")
     # still open: nominated but not tested, or not all nominated, and not removed yet
     gone = found.select("doc", "line").union(equal.select("doc", "line"))
-    left = near.where("place > 2").select(*PAIR).join(gone, ["doc", "line"], "left_anti").select(*PAIR)
-    rest = t.where("pos >= 0 and more").select("doc", "line").distinct() \
+    left = near.where("place > 8").select(*PAIR).join(gone, ["doc", "line"], "left_anti").select(*PAIR)
+    # what a line saw in a value group where it is not ``more`` was all nominated
+    rest = t.where("pos >= 0 and more").select("key", "doc", "line", "n") \
         .join(gone, ["doc", "line"], "left_anti").withColumn("part", F.xxhash64("doc", "line"))
     pairs = stage(left.union(more_pairs(t, percent, rest)).distinct().join(tested, PAIR, "left_anti"), "pairs")
     if not pairs.isEmpty():

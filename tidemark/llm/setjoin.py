@@ -8,15 +8,19 @@ number that ``common.keyed`` gives them.  Two sets link when
 1. ``survey`` reads the texts once and counts values and unit digests over all
    of them.  A value or digest is heavy if its count is at least 1/2**20 of the
    total, so at most 2**20 are, whatever the input: small enough to send to
-   every task.  Two hashed bitmaps of fixed size mark what occurs twice or more.
+   every task.  Hashed bitmaps, sized by what they hold up to 16 MB, mark what
+   occurs twice or more, and values in more units than ``split_from``.
    Sets are ordered by (heavy count, hash): rare values first, common ones last.
 2. ``tiles``: two linked sets share a value among their first
-   ``n - ceil(percent * n / 100) + 1``, so these are dealt out by value.  Each
+   ``n - ceil(percent * n / 100) + 1``, so these are dealt out by value; a value
+   in very many units is dealt out together with each value that may be the next
+   shared one, so its group falls into small ones (``dealt_values``).  Each
    value group, sorted by size, is read as a stream; each set is compared with the
    ``reach`` before it whose sizes allow a link, and the first of its size, under
-   three exact bounds: sizes, positions of the shared value, and the bit count of
-   the XOR of parity bitmaps (each set bit needs a value that only one set has).
-   Of the pairs that pass, the later unit nominates the closest.  Equal units meet
+   three exact bounds: sizes, positions of the first shared value, and the bit count
+   of the XOR of parity bitmaps (each set bit needs a value that only one set has).
+   Of the pairs that pass, the later unit nominates the closest, or all up to
+   ``nominations``.  Equal units meet
    by digest in the same shuffle; those of a heavy digest are settled where they
    lie, so no task gathers them.
 3. ``verify`` first holds the nominated pairs against whole bitmaps, about one
@@ -43,8 +47,10 @@ from .common import mix, signed, stage, text_chunks
 HEAVY_SLOTS = 1 << 20
 #: Rows of one value group held at once by the streaming stage.
 HELD_ROWS = 500_000
-#: Bits of the hashed bitmaps, fixed whatever the input.
-FILTER_BITS = 1 << 24
+#: Least and most bits of a hashed bitmap; between them, 16 a value.
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
+#: Order in ``_streamed``: the low bits of a key make room for the size.
+SIZE_BITS = 12
 #: Values of sets turned into bitmaps at once.
 SLICE = 1 << 17
 #: Larger than the number of any row.
@@ -94,6 +100,12 @@ class Units:
     percent = 80
     #: Sets before it with which a set is compared in the first round.
     reach = 31
+    #: Pairs a set nominates in one value group before the group counts as open.
+    nominations = 1
+    #: A value that is counted more often is dealt out with the next shared one.
+    split_from: int | None = None
+    #: From this size on, sets have too many pairs of values for that.
+    split_below = 512
     #: Least size of the sets that have a whole bitmap.
     bitmap_from = 1
     #: Are all values counted, so that a value counted once can't be shared?
@@ -117,6 +129,7 @@ class Units:
 class Survey(NamedTuple):
     heavy: Heavy
     shared_values: np.ndarray | None
+    split_values: np.ndarray | None
     shared_ids: np.ndarray
     hot_ids: dict[tuple[int, int], int]  # digest -> smallest document
 
@@ -137,25 +150,61 @@ def leading(offsets: np.ndarray, values: np.ndarray, size: np.ndarray) -> tuple[
     return owner, pos, values[offsets[:-1][owner] + pos]
 
 
-def _bit(x: np.ndarray) -> np.ndarray:
-    return (mix(x) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def dealt_values(s: Sets, size: np.ndarray, units: Units, known: Survey) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set index, position, key) of what a set is dealt out by.
+
+    Two linked sets meet at least at their first shared value, whose position in
+    either is then a bound: no value before it is shared.  Is it one of many units
+    (``split_values``), they meet at its key combined with the second shared value,
+    which is among the first ``size + 1``; the position before that one is the same bound.
+    Sets of ``split_below`` values or more have too many such pairs: they, and all
+    that may link with them, are dealt out by the single value also.  So are sets
+    for which one shared value is enough.
+    """
+    owner, pos, value = leading(s.offsets, s.values, size)
+    if known.shared_values is not None:
+        some = _marked(known.shared_values, value)
+        owner, pos, value = owner[some], pos[some], value[some]
+    if known.split_values is None:
+        return owner, pos, value
+    n, percent = np.diff(s.offsets), units.percent
+    hot = _marked(known.split_values, value)
+    single = (100 * n >= percent * units.split_below) | (-(-percent * n // 100) < 2)
+    at = np.flatnonzero(hot & (n < units.split_below)[owner])
+    many = np.minimum(size + 1, n)[owner[at]] - pos[at] - 1
+    first = np.repeat(at, many)
+    after = pos[first] + 1 + np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)
+    second = s.values[s.offsets[:-1][owner[first]] + after]
+    if known.shared_values is not None:
+        some = _marked(known.shared_values, second)
+        first, after, second = first[some], after[some], second[some]
+    alone = ~hot | single[owner]
+    return (np.r_[owner[alone], owner[first]], np.r_[pos[alone], after - 1],
+            np.r_[value[alone], combined(value[first], second)])
+
+
+def _bit(x: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(x) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def _marked(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
-    at = _bit(x)
+    at = _bit(x, len(bits) * 64)
     return ((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
 def hashed_bits(df: DataFrame, *columns: str) -> np.ndarray:
-    """Bitmap of the rows' hashes, 2 MB whatever their number."""
+    """Bitmap of the rows' hashes, at most 16 MB whatever their number; ``df`` is a
+    staged table, which is counted first."""
+    size = min(max(LEAST_BITS, 1 << (16 * df.count()).bit_length()), MOST_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = _bit(combined(*(c.to_numpy() for c in b.columns)))
+            at = _bit(combined(*(c.to_numpy() for c in b.columns)), size)
             yield pa.record_batch([at >> 6, np.int64(1) << (at & 63)], ["word", "bits"])
 
     got = df.select(*columns).mapInArrow(run, "word long, bits long") \
         .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out = np.zeros(size // 64, np.uint64)
     out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return out
 
@@ -189,7 +238,9 @@ def survey(docs: DataFrame, units: Units) -> Survey:
     order = np.argsort(v)
     hot = ids.where(F.col("n") >= max(64, least(False))).select("k1", "k2", "first").toArrow().to_pylist()
     return Survey(Heavy(v[order], got["n"].to_numpy()[order]),
-                  hashed_bits(values, "k1") if units.counts_all else None, hashed_bits(ids, "k1", "k2"),
+                  hashed_bits(values, "k1") if units.counts_all else None,
+                  hashed_bits(values.where(F.col("n") > units.split_from), "k1") if units.split_from else None,
+                  hashed_bits(ids, "k1", "k2"),
                   {(r["k1"], r["k2"]): r["first"] for r in hot})
 
 
@@ -250,10 +301,7 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
             keep = keep[np.unique(id1[keep], return_index=True)[1]]
             size = np.zeros(len(n), np.int64)
             size[keep] = prefix_size(percent, n[keep])
-            owner, pos, value = leading(s.offsets, s.values, size)
-            if known.shared_values is not None:
-                some = _marked(known.shared_values, value)
-                owner, pos, value = owner[some], pos[some], value[some]
+            owner, pos, value = dealt_values(s, size, units, known)
             yield _record(value, s, owner, n, pos, sig, short)
             at = np.unique(owner)
             at = at[n[at] >= units.bitmap_from]
@@ -265,9 +313,13 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
             rep = np.where(is_hot, np.minimum(first, s.doc), s.doc)
             yield _record(id1[at], s, at, n, np.full(len(at), SETTLED), (rep, sig[1]), short)
 
-    dealt = docs.mapInArrow(post, DEALT).repartition("key").sortWithinPartitions("key", "n", "doc", "line")
-    reach, reports_all = units.reach, units.reports_all
-    return stage(dealt.mapInArrow(lambda batches: _settled(batches, percent, reports_all, reach), TILE), "tiles")
+    # one long to sort by, which Spark sorts by radix; ``_streamed`` does the rest
+    low = (1 << SIZE_BITS) - 1
+    dealt = docs.mapInArrow(post, DEALT).repartition("key") \
+        .withColumn("at", F.col("key").bitwiseAND(F.lit(~low)).bitwiseOR(F.least(F.col("n").cast("long"), F.lit(low)))) \
+        .sortWithinPartitions("at").drop("at")
+    reach, reports_all, nominations = units.reach, units.reports_all, units.nominations
+    return stage(dealt.mapInArrow(lambda batches: _settled(batches, percent, reports_all, reach, nominations), TILE), "tiles")
 
 
 def equal_units(t: DataFrame) -> DataFrame:
@@ -283,13 +335,13 @@ def _record(key, s: Sets, at, n, pos, sig, short, bitmap=None) -> pa.RecordBatch
 
 
 def passes(percent: int, a: dict, i, b: dict, j):
-    """(may the sets link, bits that differ) for members i of a and j of b of
-    one value group."""
+    """(may the sets link with this as their first shared value, bits that differ)
+    for members i of a and j of b of one value group."""
     ni, nj, pi, pj = a["n"][i], b["n"][j], a["pos"][i], b["pos"][j]
     least = need(percent, ni + nj)
     dist = np.bitwise_count(a["sig"][i] ^ b["sig"][j]) + np.bitwise_count(a["sig2"][i] ^ b["sig2"][j])
     ok = (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj)) & (dist <= ni + nj - 2 * least) \
-        & (np.minimum(pi, pj) + np.minimum(ni - pi, nj - pj) >= least)
+        & (np.minimum(ni - pi, nj - pj) >= least)
     return ok, dist
 
 
@@ -309,12 +361,20 @@ def _take(cols: dict, at) -> dict:
     return {k: v[at] for k, v in cols.items()}
 
 
-def _streamed(batches: Iterator[pa.RecordBatch], held: int, reach: int = 0) -> Iterator[tuple[dict, np.ndarray]]:
-    """Whole value groups of a sorted stream, as (columns, is new).
+def _streamed(batches: Iterator[pa.RecordBatch], held: int, order: list[str],
+              reach: int = 0) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """Whole value groups, each sorted by ``order``, of a stream sorted by all but the
+    low ``SIZE_BITS`` bits of the key, as (columns, is new, is split).
 
-    A group of over ``held`` rows comes in parts; each part repeats, as not
-    new, the group's first row and the last ``reach``.
+    More than ``held`` rows that agree in these bits come in parts; each part repeats,
+    as not new, their first row and the last ``reach``.
     """
+    def out(cols: dict, old: int, whole: bool) -> tuple[dict, np.ndarray, np.ndarray]:
+        group = cols["key"] >> SIZE_BITS
+        split = (group == group[0]) & (old > 0 or not whole)
+        at = np.lexsort([cols[x] for x in reversed(order)])
+        return _take(cols, at), (np.arange(len(at)) >= old)[at], split[at]
+
     rest, old = None, 0
     for batch in batches:
         if not batch.num_rows:
@@ -322,17 +382,18 @@ def _streamed(batches: Iterator[pa.RecordBatch], held: int, reach: int = 0) -> I
         cols = _columns(batch)
         if rest is not None:
             cols = {k: np.concatenate([rest[k], v]) for k, v in cols.items()}
-        cut = int(np.searchsorted(cols["key"], cols["key"][-1], "left"))
+        group = cols["key"] >> SIZE_BITS
+        cut = int(np.searchsorted(group, group[-1], "left"))
         if cut:
-            yield _take(cols, slice(0, cut)), np.arange(cut) >= old
+            yield out(_take(cols, slice(0, cut)), old, True)
             old = 0
         rest = _take(cols, slice(cut, None))
         if (n := len(rest["key"])) > held:
-            yield rest, np.arange(n) >= old
+            yield out(rest, old, False)
             at = np.r_[0, max(1, n - reach):n]
             rest, old = _take(rest, at), len(at)
     if rest is not None:
-        yield rest, np.arange(len(rest["key"])) >= old
+        yield out(rest, old, True)
 
 
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +427,8 @@ def _tile(c: dict, x_doc, x_line=None, dist=None, lead=None, more=None, is_open=
         ["key", "doc", "line", "n", "pos", "sig", "sig2", "digest", "x_doc", "x_line", "dist", "lead_doc", "lead_line", "more", "open", "bitmap"])
 
 
-def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool, reach: int) -> Iterator[pa.RecordBatch]:
+def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool, reach: int,
+             nominations: int) -> Iterator[pa.RecordBatch]:
     """Bitmaps as they come, apart from the value groups."""
     aside = []
 
@@ -381,27 +443,25 @@ def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool,
                 rows = rows.filter(pc.invert(whole))
             yield rows
 
-    for out in _nominate(others(), percent, reports_all, reach):
+    for out in _nominate(others(), percent, reports_all, reach, nominations):
         while aside:
             yield aside.pop()
         yield out
     yield from aside
 
 
-def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool, reach: int) -> Iterator[pa.RecordBatch]:
-    for c, new in _streamed(batches, HELD_ROWS, reach):
+def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool, reach: int,
+              nominations: int) -> Iterator[pa.RecordBatch]:
+    for c, new, split in _streamed(batches, HELD_ROWS, ["key", "n", "doc", "line"], reach):
+        c["split"] = split
         member = c["pos"] >= 0
         if (~member & new).any():
             yield _equals(_take(c, ~member & new), reports_all)
         c, new = _take(c, member), new[member]
         if not len(new):
             continue
-        # groups that come in parts
-        start, size = _groups(c["key"])
-        old = np.zeros(len(new), bool)
-        old[start[~new]] = True
-        c["split"] = old[start] | (size >= HELD_ROWS // 2)
-        c, new = _take(c, size > 1), new[size > 1]
+        many = (_groups(c["key"])[1] > 1) | c["split"]
+        c, new = _take(c, many), new[many]
         if not len(new):
             continue
         # equal sets (digest, signature and size) of a group count once
@@ -416,7 +476,7 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool
             continue
         key, n, doc, line = c["key"], c["n"], c["doc"], c["line"]
         best, at, seen = np.full(m, 999), np.full(m, -1), np.zeros(m, np.int64)
-        live = np.arange(m)
+        live, others = np.arange(m), []
         for step in range(1, min(reach, m - 1) + 1):
             # by size: what is too large for a set is so at any greater step
             live = live[live + step < m]
@@ -429,6 +489,8 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool
             after = (doc[b] > doc[a]) | ((doc[b] == doc[a]) & (line[b] >= line[a]))
             for y, x, d in ((b[after], a[after], dist[after]), (a[~after], b[~after], dist[~after])):
                 seen[y] += 1
+                if nominations > 1 and (few := seen[y] <= nominations).any():
+                    others.append((y[few], x[few], d[few]))
                 closer = d < best[y]
                 best[y[closer]], at[y[closer]] = d[closer], x[closer]
         # the sets of its group whose size allows a link, and the first of its own size
@@ -441,12 +503,18 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool
         far = np.flatnonzero(i - lead > reach)
         lead, of_size = np.full(m, -1), lead
         lead[far] = np.where(passes(percent, c, far, c, of_size[far])[0], of_size[far], -1)
-        more = (seen > 1) | (i - low > reach) | (high - 1 - i > reach) | c["split"]
+        more = (seen > nominations) | (i - low > reach) | (high - 1 - i > reach) | c["split"]
         is_open = np.logical_or.reduceat(more, np.unique(start))[np.unique(start, return_inverse=True)[1]]
         keep = new & (is_open | (at >= 0) | (lead >= 0))
         col = lambda name, i: pa.array(c[name][i[keep]], mask=i[keep] < 0)
         yield _tile(_take(c, keep), col("doc", at), col("line", at), best[keep].astype(np.int32),
                     (col("doc", lead), col("line", lead)), more[keep], is_open[keep])
+        if others:
+            y, x, d = (np.concatenate(part) for part in zip(*others, strict=True))
+            second = new[y] & (x != at[y]) & (seen[y] <= nominations)
+            y, x, d = y[second], x[second], d[second]
+            if len(y):
+                yield _tile(_take(c, y), c["doc"][x], c["line"][x], d.astype(np.int32))
 
 
 def nominated(t: DataFrame) -> DataFrame:
@@ -467,19 +535,28 @@ def more_pairs(t: DataFrame, percent: int, open_units: DataFrame, per_unit: int
     units before it but those open in the same part.  ``per_unit`` keeps the
     closest so many of each unit and value.  Groups where all was nominated, that
     have no open unit, or only open units of one part go before anything is
-    gathered by value.
+    gathered by value.  With the columns key and n, a unit is open in these groups
+    only, and of a group only what is of a size to link with its open units is read.
     """
     members = t.where("pos >= 0 and open").select("key", "doc", "line", "n", "pos", "sig", "sig2", "digest")
     whole = t.where(F.col("pos") == BITMAP).select("doc", "line", "bitmap")
-    side = stage(members.join(open_units.select("doc", "line", "part"), ["doc", "line"], "left").join(whole, ["doc", "line"], "left")
+    keyed = "key" in open_units.columns
+    if keyed:
+        open_units = stage(open_units, "open-units")
+        sizes = open_units.groupBy("key").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        members = members.join(sizes, "key").where(f"100 * n >= {percent} * lo and {percent} * n <= 100 * hi").drop("lo", "hi")
+    unit = ["key", "doc", "line"] if keyed else ["doc", "line"]
+    side = stage(members.join(open_units.select(*unit, "part"), unit, "left").join(whole, ["doc", "line"], "left")
                  .withColumn("is_open", F.col("part").isNotNull()).withColumn("part", F.coalesce("part", F.lit(0))), "open-tiles")
-    live = stage(side.groupBy("key").agg(F.max("is_open").alias("any"), F.min("is_open").alias("all"),
-                                         F.min("part").alias("lo"), F.max("part").alias("hi"))
-                 .where("any and not (all and lo = hi)").select("key"), "open-keys")
-    side = side.join(live, "key").repartition("key").sortWithinPartitions("key", "doc", "line")
+    if not keyed:
+        live = stage(side.groupBy("key").agg(F.max("is_open").alias("any"), F.min("is_open").alias("all"),
+                                             F.min("part").alias("lo"), F.max("part").alias("hi"))
+                     .where("any and not (all and lo = hi)").select("key"), "open-keys")
+        side = side.join(live, "key")
+    side = side.repartition("key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, _ in _streamed(batches, 1 << 62):
+        for c, _, _ in _streamed(batches, 1 << 62, ["key", "doc", "line"]):
             starts = np.unique(_groups(c["key"])[0])
             for a, b in zip(starts, np.r_[starts[1:], len(c["key"])], strict=True):
                 g = _take(c, slice(a, b))
