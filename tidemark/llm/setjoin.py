@@ -16,7 +16,8 @@ number that ``common.keyed`` gives them.  Two sets link when
    in very many units is dealt out together with each value that may be the next
    shared one, so its group falls into small ones (``dealt_values``).  Each
    value group, sorted by size, is read as a stream; each set is compared with the
-   ``reach`` before it whose sizes allow a link, and the first of its size, under
+   ``reach`` anchors before it, sets in which the value comes early enough to link
+   with one of their size or larger, and the first of its size, under
    three exact bounds: sizes, positions of the first shared value, and the bit count
    of the XOR of parity bitmaps (each set bit needs a value that only one set has).
    Of the pairs that pass, the later unit nominates the closest, or all up to
@@ -98,7 +99,7 @@ class Units:
     """What a user of the join provides."""
 
     percent = 80
-    #: Sets before it with which a set is compared in the first round.
+    #: Anchors before it with which a set is compared in the first round.
     reach = 31
     #: Pairs a set nominates in one value group before the group counts as open.
     nominations = 1
@@ -180,7 +181,7 @@ def dealt_values(s: Sets, size: np.ndarray, units: Units, known: Survey) -> tupl
         first, after, second = first[some], after[some], second[some]
     alone = ~hot | single[owner]
     return (np.r_[owner[alone], owner[first]], np.r_[pos[alone], after - 1],
-            np.r_[value[alone], combined(value[first], second)])
+            np.r_[value[alone], mix(combined(value[first], second))])
 
 
 def _bit(x: np.ndarray, bits: int) -> np.ndarray:
@@ -477,15 +478,20 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool
         key, n, doc, line = c["key"], c["n"], c["doc"], c["line"]
         best, at, seen = np.full(m, 999), np.full(m, -1), np.zeros(m, np.int64)
         live, others = np.arange(m), []
-        for step in range(1, min(reach, m - 1) + 1):
-            # by size: what is too large for a set is so at any greater step
-            live = live[live + step < m]
-            live = live[(key[live + step] == key[live]) & (percent * n[live + step] <= 100 * n[live])]
+        # of two linked sets the one that comes first by size is an anchor
+        left = n - c["pos"]
+        anchor = need(percent, 2 * n) <= left
+        anchors, before = np.flatnonzero(anchor), np.cumsum(anchor) - anchor
+        for step in range(1, min(reach, len(anchors)) + 1):
+            # by size: an anchor too small for a set is followed by smaller ones
+            live = live[before[live] >= step]
+            a = anchors[before[live] - step]
+            fits = (key[a] == key[live]) & (percent * n[live] <= 100 * n[a])
+            live, a = live[fits], a[fits]
             if not len(live):
                 break
-            ok, dist = passes(percent, c, live + step, c, live)
-            a, dist = live[ok], dist[ok].astype(np.int64)
-            b = a + step
+            ok, dist = passes(percent, c, live, c, a)
+            a, b, dist = a[ok], live[ok], dist[ok].astype(np.int64)
             after = (doc[b] > doc[a]) | ((doc[b] == doc[a]) & (line[b] >= line[a]))
             for y, x, d in ((b[after], a[after], dist[after]), (a[~after], b[~after], dist[~after])):
                 seen[y] += 1
@@ -497,13 +503,15 @@ def _nominate(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool
         start = _groups(key)[0]
         width = int(n.max()) + 1
         place, i = start * width + n, np.arange(m)
+        most = np.minimum(100 * n // percent, (100 + percent) * left // percent - n)
         low = np.searchsorted(place, start * width + -(-percent * n // 100))
-        high = np.searchsorted(place, start * width + np.minimum(100 * n // percent, width - 1), "right")
+        high = np.searchsorted(place, start * width + np.minimum(most, width - 1), "right")
         lead = np.searchsorted(place, place)
-        far = np.flatnonzero(i - lead > reach)
+        far = np.flatnonzero(before - before[lead] > reach)
         lead, of_size = np.full(m, -1), lead
         lead[far] = np.where(passes(percent, c, far, c, of_size[far])[0], of_size[far], -1)
-        more = (seen > nominations) | (i - low > reach) | (high - 1 - i > reach) | c["split"]
+        missed = (before - before[low] > reach) | (anchor & (before[np.maximum(high - 1, i)] - before > reach))
+        more = (seen > nominations) | missed | c["split"]
         is_open = np.logical_or.reduceat(more, np.unique(start))[np.unique(start, return_inverse=True)[1]]
         keep = new & (is_open | (at >= 0) | (lead >= 0))
         col = lambda name, i: pa.array(c[name][i[keep]], mask=i[keep] < 0)
