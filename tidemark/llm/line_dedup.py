@@ -35,7 +35,8 @@ class Lines(Units):
     counts_all = True
     # lines have few enough words for the bits of a posting, and share frequent ones
     reach, bitmap_from = 1023, 129
-    nominations, split_from = 4, 4096
+    # few lines hold a frequent word among their rarest (about 1 of 100 at 1000 lines)
+    nominations, split_from = 4, 1 << 16
 
     def __init__(self, percent: int, min_words: int):
         self.percent, self.min_words = percent, min_words
