@@ -110,3 +110,15 @@ def test_an_empty_first_increment_makes_the_table(spark):
     assert upsert(spark, frame(spark, []), t, ["k"], ["t"], "1").rewritten == ()
     upsert(spark, frame(spark, [("a", 1, 1, "x")]), t, ["k"], ["t"], "2")
     assert read_merged(spark, t).count() == 1
+
+
+def test_a_batch_that_is_there_is_not_computed_again(spark, monkeypatch):
+    """Its buckets are found from the keys; nothing is written aside or shuffled for it."""
+    t, aggs = name(), (Agg("N", "sum", "j"),)
+    rows_ = frame(spark, [(str(i % 30), 1, 1, "x") for i in range(90)])
+    monkeypatch.setattr(merging, "staged", lambda *a: pytest.fail("written aside"))
+    assert len(accumulate(spark, rows_, t, ["k"], aggs, "1", buckets=4).rewritten) == 4
+    assert accumulate(spark, rows_, t, ["k"], aggs, "2").skipped == ()
+    assert len(accumulate(spark, rows_, t, ["k"], aggs, "2").skipped) == 4
+    assert {r.N for r in read_merged(spark, t).collect()} == {6}
+    assert all(len(files(spark, t, b)) == 1 for b in range(4))
