@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import facts as fx
-from tidemark.operators.skew import Heavy, heavy_keys, is_heavy, split_left_join, stripes
+from tidemark.operators.skew import Heavy, heavy_keys, is_heavy, split_left_join, stripes, stripes_by_pairs
 from tidemark.plans.silver_job import silver_milestones
 from tidemark.sources import bronze as br
 
@@ -113,3 +113,18 @@ def test_hot_pos_give_the_same_table(hot):
 def test_is_heavy_is_false_for_null(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
     assert [r.h for r in df.select(is_heavy("k", [Heavy("a")]).alias("h")).collect()] == [True, False, False]
+
+
+def test_cells_are_bounded_by_the_pairs_they_make(spark):
+    """The more rows a key has, the more cells; adaptive execution leaves them apart."""
+    def sides(n):
+        left = spark.range(n).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+        return left, spark.range(n).select((F.col("id") % 2).alias("r"), F.col("id").alias("w"))
+    for n in (200, 800):
+        left, right = sides(n)
+        heavy = stripes_by_pairs(left, "k", right, "r", [Heavy(0, 2, 3), Heavy(1, 2, 3)], pairs=1000)
+        assert all((n // 2) ** 2 <= h.left * h.right * 1000 for h in heavy)
+    assert stripes_by_pairs(left, "k", right, "r", [Heavy(7, 2, 3)]) == [Heavy(7, 2, 3)]
+    out = split_left_join(left, right, [("k", "r")], heavy)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 2 * 400 * 400 and max(sizes) <= 8000
