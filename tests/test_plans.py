@@ -3,8 +3,9 @@ import uuid
 
 from tidemark.operators.milestones import silver
 from tidemark.operators.skew import Heavy
-from tidemark.plans.silver_job import milestone_table
-from tidemark.session import staged
+from tidemark.plans.silver_job import milestone_table, milestone_table_by_union
+from tidemark.operators.facts import po_orders, with_shipment_facts
+from tidemark.session import staged, staged_by
 from tidemark.sources import bronze as br
 from tidemark.sources.sinks import replace_table
 
@@ -53,3 +54,30 @@ def test_silver_plan(spark, bronze):
     import re
     scans = re.findall(r"FileScan parquet \S+?\.(\w+)\[", plan)
     assert scans.count(b.stop_table) == 1 and scans.count(b.tracking_table) == 1
+
+
+def _plan(spark, make):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_milestones_in_buckets_of_the_po_are_not_exchanged(spark, bronze):
+    ms = staged_by(milestone_table(bronze, "2000-01-01 00:00:00").limit(300), "plan-test", "TC_PURCHASE_ORDERS_ID")
+    assert "Exchange" not in _plan(spark, lambda: silver(ms, "2000-01-01 00:00:00"))
+    assert ms.count() == 300 and not [t.name for t in spark.catalog.listTables() if t.name.startswith("tidemark_staged")]
+
+
+def test_the_literal_union_reads_the_input_once_written(spark, bronze):
+    plan = _plan(spark, lambda: milestone_table_by_union(bronze, "2000-01-01 00:00:00"))
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_shipment_facts_take_one_exchange_by_shipment(spark, bronze):
+    plan = _plan(spark, lambda: with_shipment_facts(staged(po_orders(bronze), "po"), bronze))
+    # of the PO frame: by shipment and by pickup order; it isn't unpivoted and grouped again
+    assert plan.count("hashpartitioning(__lk") == 2 and "inline" not in plan
