@@ -1,10 +1,12 @@
 """Plan shape: thresholds broadcast, no cartesian products, filters pushed."""
 import uuid
 
+from pyspark.sql import functions as F
+
 from tidemark.operators.milestones import silver
 from tidemark.operators.skew import Heavy
 from tidemark.plans.silver_job import milestone_table, milestone_table_by_union
-from tidemark.operators.facts import po_orders, with_shipment_facts
+from tidemark.operators.facts import po_context, po_orders, po_types, with_shipment_facts
 from tidemark.session import staged, staged_by
 from tidemark.sources import bronze as br
 from tidemark.sources.sinks import replace_table
@@ -81,3 +83,26 @@ def test_shipment_facts_take_one_exchange_by_shipment(spark, bronze):
     plan = _plan(spark, lambda: with_shipment_facts(staged(po_orders(bronze), "po"), bronze))
     # of the PO frame: by shipment and by pickup order; it isn't unpivoted and grouped again
     assert plan.count("hashpartitioning(__lk") == 2 and "inline" not in plan
+
+
+def test_po_context_exchanges_lines_and_po_rows_by_po_once(spark, bronze):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(spark, lambda: po_context(bronze))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the rollups take the partitioning of the join; pickups meet the PO rows before they are rolled up
+    assert plan.count("hashpartitioning(PO_NO") == 1 and plan.count("hashpartitioning(TC_PURCHASE_ORDERS_ID") == 1
+    assert plan.count("hashpartitioning(__lk") == 3  # raw PO rows by pickup order, order links by order, order facts by shipment
+
+
+def test_pickup_of_the_greatest_order_of_a_po(spark, bronze):
+    row = bronze.purchase_orders.where("CREATED_SOURCE = 'SAP'").limit(1)
+    ids = [("A", 1), ("A", 2), ("B", None), (None, 3), (None, 1)]
+    keys = spark.createDataFrame(ids, "po string, id long")
+    po = row.crossJoin(keys).withColumns({"TC_PURCHASE_ORDERS_ID": F.col("po"), "PURCHASE_ORDERS_ID": F.col("id")}).drop("po", "id")
+    rli = spark.sql("select * from values (1L, timestamp_ntz'2001-01-01'), (1L, timestamp_ntz'2009-01-01'), "
+                    "(3L, timestamp_ntz'2003-01-01'), (null, timestamp_ntz'2004-01-01') as t(ORDER_ID, PICKUP_END_DTTM)")
+    got = {r.TC_PURCHASE_ORDERS_ID: r.PICKUP_END_DTTM and r.PICKUP_END_DTTM.year
+           for r in po_types(po, bronze.export_order, rli).collect()}
+    assert got == {"A": None, "B": None, None: 2003}
