@@ -79,3 +79,42 @@ def test_stream_gives_whole_groups_in_order():
             seen.append(np.c_[c["key"], c["doc"]][new])
         got = np.concatenate(seen)
         assert len(got) == m and len(np.unique(got[:, 1])) == m
+
+
+def test_dealt_rows_hold_every_field_and_bitmap():
+    s = sets_of([range(1, 200), [5, 6], range(3, 400)])
+    n, at = np.diff(s.offsets), np.array([0, 2])
+    sig = [np.array([1, -2, 3]), np.array([-4, 5, 6])]
+    short = np.array([7, -8, 9], np.int32)
+    key = np.array([1 << 63, 3, 77], np.uint64)
+    dealt = list(setjoin._dealt(key, s, np.arange(3), n, np.array([0, 1, 2]), sig, short))
+    dealt += setjoin._dealt(key[at], s, at, n, np.full(2, setjoin.BITMAP), sig, short, setjoin.bitmaps(s, at))
+    low = (1 << setjoin.SIZE_BITS) - 1
+    for b in dealt:
+        assert b.schema.names == ["at", "row"]
+    assert dealt[0].column("at").to_pylist() == [-(1 << 63) | 199, 2, 397]
+    c = setjoin._columns(dealt[0].slice(1).select(["row"]))
+    assert {k: v.tolist() for k, v in c.items()} == {
+        "key": [3, 77], "doc": [1, 2], "line": [0, 0], "n": [2, 397], "pos": [1, 2], "sig": [(1 << 64) - 2, 3], "sig2": [5, 6],
+        "digest": [-8, 9]}
+    tiles = list(setjoin._settled(iter([b.select(["row"]) for b in dealt]), 80, False, 31, 1))
+    whole = [r for b in tiles for r in b.to_pylist() if r["pos"] == setjoin.BITMAP]
+    assert [r["bitmap"] for r in whole] == setjoin.bitmaps(s, at).to_pylist() and [r["doc"] for r in whole] == [0, 2]
+    assert [r["key"] & low for r in whole] == [0, 77] and [r["n"] for r in whole] == [199, 397]
+
+
+def test_words_are_counted_once_over_the_chunks_of_a_task():
+    class Docs:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            raise Stop(run)
+
+    class Stop(Exception):
+        pass
+
+    with pytest.raises(Stop) as stop:
+        setjoin.survey(Docs(), line_dedup.Lines(80, 1))
+    batch = pa.record_batch([pa.array([0, 1]), pa.array(["one two", "two\n\ntwo three"])], ["doc", "text"])
+    later = pa.record_batch([pa.array([2]), pa.array(["Two one"])], ["doc", "text"])
+    rows = [r for b in stop.value.args[0](iter([batch, later])) for r in b.to_pylist()]
+    assert sorted(r["n"] for r in rows if r["doc"] is None) == [1, 2, 4]
+    assert sorted(r["doc"] for r in rows if r["doc"] is not None) == [0, 1, 1, 2]

@@ -16,13 +16,15 @@ hash of text; other columns pass through ``drop_lines`` untouched.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, keyed, split_words, stage, with_ids
+from .common import ROW, keyed, split_words, stage, text_chunks, with_ids
 from .setjoin import PAIR, Heavy, Sets, Units, equal_units, more_pairs, nominated, survey, tiles, verify
 
 MIN_WORDS = 1
@@ -56,7 +58,7 @@ class Lines(Units):
         size = np.diff(offsets)
         keep = size >= self.min_words
         at = np.flatnonzero(keep)
-        raw = text.take(pa.array(at)).cast(pa.binary()).to_pylist()
+        raw = text.take(pa.array(at)).cast(pa.binary()).to_numpy(zero_copy_only=False)
         both = b"".join(map(xxhash.xxh3_128_digest, raw))
         ids = np.frombuffer(both, ">u8").astype(np.uint64).reshape(-1, 2)
         codes = codes[np.repeat(keep, size)]
@@ -75,7 +77,9 @@ class Lines(Units):
 
     def sets(self, chunk: pa.RecordBatch, heavy: Heavy) -> Sets:
         doc, line, offsets, codes, uniq, id1, id2, again = self._split(chunk)
-        order = np.lexsort((uniq, heavy.count(uniq)))
+        # ascending hashes are looked up faster, and a stable sort keeps them so within a count
+        order = np.argsort(uniq)
+        order = order[np.argsort(heavy.count(uniq[order]), kind="stable")]
         rank = np.empty(len(uniq), np.int64)
         rank[order] = np.arange(len(uniq))
         width = max(1, len(uniq))
@@ -116,8 +120,18 @@ def removed_lines(docs: DataFrame, percent: int = 80, min_words: int = MIN_WORDS
     rows, own = keyed(docs)
     gone = with_ids(later_lines(rows, percent, min_words), "x_doc", rows, own).groupBy("doc").agg(
         F.array_sort(F.collect_list(F.struct("line", "x_doc"))).alias("gone"))
-    n_lines = F.regexp_count(F.concat(F.lit("\n"), "text"), F.lit(r"\n[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D]"))
-    sizes = rows.select("doc_id", F.col(ROW).alias("doc"), n_lines.cast("long").alias("n_lines"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches, "text"):
+            lines = pc.split_pattern(pc.fill_null(chunk.column("text"), ""), "\n")
+            some = pc.greater(pc.binary_length(pc.ascii_trim_whitespace(lines.flatten())), 0).to_numpy(zero_copy_only=False)
+            first = np.cumsum(pc.list_value_length(lines).to_numpy(zero_copy_only=False).astype(np.int64))
+            before = np.r_[0, np.cumsum(some)][np.r_[0, first]]
+            yield pa.record_batch([chunk.column("doc_id"), chunk.column("doc"), np.diff(before)], ["doc_id", "doc", "n_lines"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    sizes = rows.select("doc_id", F.col(ROW).alias("doc"), F.col("text").cast("string").alias("text")) \
+        .mapInArrow(count, f"doc_id {id_type}, doc long, n_lines long")
     return sizes.join(gone, "doc", "left").select(
         "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
         F.coalesce(F.size("gone.line"), F.lit(0)).cast("long").alias("n_removed"),

@@ -52,8 +52,10 @@ HELD_ROWS = 500_000
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 #: Order in ``_streamed``: the low bits of a key make room for the size.
 SIZE_BITS = 12
-#: Values of sets turned into bitmaps at once.
+#: Values of sets turned into bitmaps at once; postings in one batch.
 SLICE = 1 << 17
+#: Values of several chunks whose counts a task adds up before it passes them on.
+MERGED = 1 << 20
 #: Larger than the number of any row.
 NO_ID = (1 << 63) - 1
 #: ``pos`` of rows that are no set members: a unit among equals, a settled unit,
@@ -61,7 +63,11 @@ NO_ID = (1 << 63) - 1
 EQUALS, SETTLED, BITMAP = -1, -2, -3
 
 POSTING = "key long, doc long, line int, n int, pos int, sig long, sig2 long, digest int"
-DEALT = POSTING + ", bitmap binary"
+#: What a posting is dealt out and sorted by, and its fields in one value (a whole
+#: bitmap follows them): a shuffle handles two columns a posting, not nine.
+DEALT = "at long, row binary"
+FIELDS = np.dtype([("key", "<i8"), ("doc", "<i8"), ("sig", "<i8"), ("sig2", "<i8"),
+                   ("line", "<i4"), ("n", "<i4"), ("pos", "<i4"), ("digest", "<i4")])
 TILE = POSTING + ", x_doc long, x_line int, dist int, lead_doc long, lead_line int, more boolean, open boolean, bitmap binary"
 PAIR = ["doc", "line", "x_doc", "x_line"]
 PAIR_TYPE = "doc long, line int, x_doc long, x_line int"
@@ -219,14 +225,31 @@ def combined(first: np.ndarray, *more: np.ndarray) -> np.ndarray:
 
 def survey(docs: DataFrame, units: Units) -> Survey:
     """Exact counts over all texts, kept where they exceed one."""
+    names = ["k1", "k2", "doc", "n"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for chunk in text_chunks(batches, "text"):
             values, counts, id1, id2, doc = units.counted(chunk)
-            m = len(values)
-            yield pa.record_batch(
-                [signed(np.r_[values, id1]), np.r_[np.zeros(m, np.int64), signed(id2)],
-                 pa.array(np.r_[np.zeros(m, np.int64), doc], mask=np.r_[np.ones(m, bool), np.zeros(len(doc), bool)]),
-                 np.r_[counts, np.ones(len(doc), np.int64)]], ["k1", "k2", "doc", "n"])
+            yield pa.record_batch([signed(id1), signed(id2), doc, np.ones(len(doc), np.int64)], names)
+            held.append((values, counts))
+            rows += len(values)
+            # words recur from chunk to chunk; values of which a few are counted seldom do
+            if rows > MERGED or not units.counts_all:
+                yield added_up(held)
+                held, rows = [], 0
+        if held:
+            yield added_up(held)
+
+    def added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        values, counts = (np.concatenate(part) for part in zip(*held, strict=True))
+        if len(held) > 1:
+            order = np.argsort(values)
+            values, counts = values[order], counts[order]
+            first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else order
+            values, counts = values[first], np.add.reduceat(counts, first) if len(first) else counts
+        return pa.record_batch([signed(values), np.zeros(len(values), np.int64), pa.nulls(len(values), pa.int64()),
+                                counts.astype(np.int64)], names)
 
     grouped = docs.mapInArrow(run, "k1 long, k2 long, doc long, n long").groupBy("k1", "k2", F.isnull("doc").alias("value")) \
         .agg(F.min("doc").alias("first"), F.sum("n").alias("n")).where("n > 1")
@@ -303,22 +326,19 @@ def tiles(docs: DataFrame, units: Units, known: Survey) -> DataFrame:
             size = np.zeros(len(n), np.int64)
             size[keep] = prefix_size(percent, n[keep])
             owner, pos, value = dealt_values(s, size, units, known)
-            yield _record(value, s, owner, n, pos, sig, short)
+            yield from _dealt(value, s, owner, n, pos, sig, short)
             at = np.unique(owner)
             at = at[n[at] >= units.bitmap_from]
-            yield _record(combined(s.doc[at], s.line[at]), s, at, n, np.full(len(at), BITMAP), sig, short, bitmaps(s, at))
+            yield from _dealt(combined(s.doc[at], s.line[at]), s, at, n, np.full(len(at), BITMAP), sig, short, bitmaps(s, at))
             equals = ~is_hot & ~s.again & _marked(known.shared_ids, combined(id1, id2))
             at = np.flatnonzero(equals)
-            yield _record(id1[at], s, at, n, np.full(len(at), EQUALS), (id2, sig[1]), short)
+            yield from _dealt(id1[at], s, at, n, np.full(len(at), EQUALS), (id2, sig[1]), short)
             at = np.flatnonzero(~equals if units.reports_all else copy)
             rep = np.where(is_hot, np.minimum(first, s.doc), s.doc)
-            yield _record(id1[at], s, at, n, np.full(len(at), SETTLED), (rep, sig[1]), short)
+            yield from _dealt(id1[at], s, at, n, np.full(len(at), SETTLED), (rep, sig[1]), short)
 
     # one long to sort by, which Spark sorts by radix; ``_streamed`` does the rest
-    low = (1 << SIZE_BITS) - 1
-    dealt = docs.mapInArrow(post, DEALT).repartition("key") \
-        .withColumn("at", F.col("key").bitwiseAND(F.lit(~low)).bitwiseOR(F.least(F.col("n").cast("long"), F.lit(low)))) \
-        .sortWithinPartitions("at").drop("at")
+    dealt = docs.mapInArrow(post, DEALT).repartition(F.shiftright("at", SIZE_BITS)).sortWithinPartitions("at").select("row")
     reach, reports_all, nominations = units.reach, units.reports_all, units.nominations
     return stage(dealt.mapInArrow(lambda batches: _settled(batches, percent, reports_all, reach, nominations), TILE), "tiles")
 
@@ -328,11 +348,28 @@ def equal_units(t: DataFrame) -> DataFrame:
     return t.where(F.col("pos").isin(EQUALS, SETTLED))
 
 
-def _record(key, s: Sets, at, n, pos, sig, short, bitmap=None) -> pa.RecordBatch:
-    return pa.record_batch([signed(key) if key.dtype == np.uint64 else key, s.doc[at], s.line[at], n[at].astype(np.int32),
-                            pos.astype(np.int32), sig[0][at], sig[1][at], short[at],
-                            pa.nulls(len(at), pa.binary()) if bitmap is None else bitmap],
-                           ["key", "doc", "line", "n", "pos", "sig", "sig2", "digest", "bitmap"])
+def _dealt(key, s: Sets, at, n, pos, sig, short, bitmap=None) -> Iterator[pa.RecordBatch]:
+    key, low = signed(key) if key.dtype == np.uint64 else key, (1 << SIZE_BITS) - 1
+    for lo in range(0, len(at), SLICE):
+        part = slice(lo, lo + SLICE)
+        which = at[part]
+        rows = np.empty(len(which), FIELDS)
+        for name, value in (("key", key[part]), ("doc", s.doc[which]), ("sig", sig[0][which]), ("sig2", sig[1][which]),
+                            ("line", s.line[which]), ("n", n[which]), ("pos", pos[part]), ("digest", short[which])):
+            rows[name] = value
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * FIELDS.itemsize
+        row = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+        if bitmap is not None:
+            row = pc.binary_join_element_wise(row, bitmap.slice(lo, len(rows)), b"")
+        yield pa.record_batch([key[part] & ~low | np.minimum(n[which], low), row], ["at", "row"])
+
+
+def _rows(row: pa.Array) -> np.ndarray:
+    """The fields of dealt rows without bitmaps."""
+    if not len(row):
+        return np.empty(0, FIELDS)
+    ends = np.frombuffer(row.buffers()[1], np.int32)
+    return np.frombuffer(row.buffers()[2], FIELDS, len(row), int(ends[row.offset]))
 
 
 def passes(percent: int, a: dict, i, b: dict, j):
@@ -347,9 +384,11 @@ def passes(percent: int, a: dict, i, b: dict, j):
 
 
 def _columns(batch) -> dict[str, np.ndarray]:
-    out = {}
-    for name, col in zip(batch.schema.names, batch.columns, strict=True):
-        out[name] = col.to_numpy(zero_copy_only=False)
+    if batch.schema.names == ["row"]:
+        rows = _rows(batch.column("row"))
+        out = {name: np.ascontiguousarray(rows[name]) for name in FIELDS.names}
+    else:
+        out = {name: col.to_numpy(zero_copy_only=False) for name, col in zip(batch.schema.names, batch.columns, strict=True)}
     for name in ("n", "pos"):
         out[name] = out[name].astype(np.int64)
     for name in ("sig", "sig2"):
@@ -435,14 +474,15 @@ def _settled(batches: Iterator[pa.RecordBatch], percent: int, reports_all: bool,
 
     def others() -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = b.drop_columns(["bitmap"])
-            whole = pc.equal(b.column("pos"), BITMAP)
+            rows, size = b.column("row"), FIELDS.itemsize
+            whole = pc.greater(pc.binary_length(rows), size)
             if pc.any(whole).as_py():
-                at = b.filter(whole)
-                aside.append(_tile(_columns(at.drop_columns(["bitmap"])), pa.nulls(at.num_rows, pa.int64()),
-                                   bitmap=at.column("bitmap")))
+                at = rows.filter(whole).to_numpy(zero_copy_only=False).tolist()
+                fields = pa.record_batch([pa.array([x[:size] for x in at], pa.binary())], ["row"])
+                aside.append(_tile(_columns(fields), pa.nulls(len(at), pa.int64()),
+                                   bitmap=pa.array([x[size:] for x in at], pa.binary())))
                 rows = rows.filter(pc.invert(whole))
-            yield rows
+            yield pa.record_batch([rows], ["row"])
 
     for out in _nominate(others(), percent, reports_all, reach, nominations):
         while aside:
