@@ -477,3 +477,31 @@ def test_empty_tables(none):
               lambda d: token_output.token_output(d, path), mixing.mixed_documents, line_dedup.drop_lines,
               ngram_join.one_per_group, quality.clean_documents):
         assert f(none).count() == 0
+
+
+def test_op10_new_words_share_texts():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, asked = Tokenizer.from_file(path), []
+    encoder = token_output.Encoder(path, "<u2")
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return t.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    texts = [" ".join(f"w{'xyz'[i % 3]}{i}, end{i}." for i in range(k, k + 700)) for k in range(0, 1400, 100)]
+    texts += ["a <|endoftext|> b<|endoftext|>", "", " lead", "trail \u00a0", "two  spaces", "\u0120 \u00e4\n\u0120x .", ". a. 7.", None]
+    for again in range(2):
+        out = encoder.encode(pa.array(texts, pa.string()), 0).to_pylist()
+        for text, x in zip(texts, out, strict=True):
+            want = [*t.encode(text or "", add_special_tokens=False).ids, 0]
+            assert np.frombuffer(x, "<u2").tolist() == want, (again, text)
+    assert len(asked) < 200
+    # where a text's tokens do not show its words, they are encoded one by one
+    encoder.opens[:] = False
+    assert encoder._spaced(["one", "two"]) == [np.array(t.encode(x, add_special_tokens=False).ids, "<u2").tobytes()
+                                               for x in (" one", " two")]

@@ -18,7 +18,7 @@ little-endian.  Decoding looks each control byte up in a numpy table.
 Encoding cuts texts at spaces that stand alone and encodes each distinct piece
 once a chunk, with a bounded cache: byte-level BPE cuts there by itself (its
 pattern never joins a space to what stands before it), so the ids are those of
-the whole text.  Texts with other runs of space at a cut are encoded whole.
+the whole text.  New pieces are encoded many at a time.  Texts with other runs of space at a cut are encoded whole.
 
 Defined cases: NULL text is empty and has the end id only; rows without a
 doc_id come first; rows that repeat a doc_id follow each other, ordered by
@@ -30,6 +30,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,11 @@ from .common import stage, text_chunks
 BLOCK_IDS = 1 << 16
 #: Distinct pieces whose ids a Python worker keeps between chunks.
 CACHE_PIECES = 800_000
+#: New words encoded as one text.
+WORDS_A_TEXT = 100
 _PUNCTUATION = frozenset(".,!?;:")
+#: How a byte-level vocabulary writes a space.
+_SPACE = "\u0120"
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -54,8 +59,12 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = kind
-        self.cache: dict[str, bytes] = {}
+        self.kind, self.item = kind, np.dtype(kind).itemsize
+        #: ids of words by what stands before them, a space or nothing
+        self.cache: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+        tokens = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(tokens.values(), default=0) + 1, bool)
+        self.opens[[k for t, k in tokens.items() if t.startswith(_SPACE)]] = True
 
     @classmethod
     def of(cls, path: str, kind: str) -> Encoder:
@@ -71,21 +80,50 @@ class Encoder:
             out += [np.array(e.ids, self.kind).tobytes() for e in got]
         return out
 
-    def pieces(self, texts: list[str]) -> list[bytes]:
-        """Ids of each piece.  Letters and a mark after them are encoded apart,
-        as the pattern of the tokenizer has them."""
-        cut = [(t[:-1], t[-1]) if t[-1:] in _PUNCTUATION and t[1:-1].isalpha() and (t[0] == " " or t[0].isalpha())
-               else (t, "") for t in texts]
-        wanted = {x for pair in cut for x in pair}
-        new = [x for x in wanted if x not in self.cache]
-        got = dict(zip(new, self._plain(new), strict=True))
-        room = CACHE_PIECES - len(self.cache)
-        if room >= len(new):
-            self.cache.update(got)
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it, many words a text.
+
+        A word holds no space, so a token that begins with one begins a word.  Where
+        not every word has its own such token, its text's words are encoded one by one.
+        """
+        out = []
+        for lo in range(0, len(words), 20_000):
+            parts = [words[k:k + WORDS_A_TEXT] for k in range(lo, min(lo + 20_000, len(words)), WORDS_A_TEXT)]
+            got = self.tokenizer.encode_batch_fast([" " + " ".join(x) for x in parts], add_special_tokens=False)
+            for part, e in zip(parts, got, strict=True):
+                ids = np.array(e.ids, np.int64)
+                starts = np.flatnonzero(self.opens[ids])
+                if len(starts) == len(part) and starts[0] == 0:
+                    raw, at = ids.astype(self.kind).tobytes(), (np.r_[starts, len(ids)] * self.item).tolist()
+                    out += [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+                else:
+                    out += self._plain([" " + x for x in part])
+        return out
+
+    def pieces(self, words: np.ndarray, space: str) -> list[bytes]:
+        """Ids of ``space`` and each word; none for a word that is empty or has space
+        at an end.  Letters and a mark after them are encoded apart, as the pattern of
+        the tokenizer has them."""
+        cache = self.cache[space]
+        out = list(map(cache.get, words))
+        missing = [k for k, x in enumerate(out) if x is None]
+        wanted = words[missing].tolist()
+        stems = [x[:-1] if x[-1:] in _PUNCTUATION and x[:-1].isalpha() else x for x in wanted]
+        new = set(stems).difference(cache)
+        odd = [x for x in new if not x or x.strip() != x]
+        new = list(new.difference(odd))
+        got = dict(zip(new, self._spaced(new) if space else self._plain(new), strict=True))
+        marks = dict(zip(_PUNCTUATION, self._plain(list(_PUNCTUATION)), strict=True))
+        none = dict.fromkeys(odd, b"")
+        for k, word, stem in zip(missing, wanted, stems, strict=True):
+            ids = got.get(stem) or cache.get(stem) or none[stem]
+            out[k] = ids if stem is word else ids + marks[word[-1]]
+        room = CACHE_PIECES - sum(map(len, self.cache.values()))
+        if room >= len(got):
+            cache.update(got)
         elif room > 0:
-            self.cache.update(list(got.items())[:room])
-        find = lambda x: got[x] if x in got else self.cache[x]
-        return [find(a) + find(b) for a, b in cut]
+            cache.update(islice(got.items(), room))
+        return out
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
         """Ids of each whole text and the end id, as bytes."""
@@ -93,33 +131,26 @@ class Encoder:
         lists = pc.split_pattern(texts, " ")
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         words = lists.flatten().dictionary_encode()
-        codes, known = words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_pylist()
+        # as objects in one step: ``to_pylist`` takes a microsecond or two a word
+        codes, known = words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
-        first = np.zeros(len(codes), bool)
-        first[ends - sizes] = True
         # codes of first pieces (no space before them) come after the others, the end id last
-        opening, at = np.unique(codes[first], return_inverse=True)
+        opening, at = np.unique(codes[ends - sizes], return_inverse=True)
         codes = codes.astype(np.int64)
-        codes[first] = len(known) + at
-        ids = self.pieces([" " + x for x in known] + [known[k] for k in opening]) + [np.array([end_id], self.kind).tobytes()]
-        odd = np.array([not x or x[0].isspace() or x[-1].isspace() for x in known] +
-                       [not known[k] or known[k][0].isspace() or known[k][-1].isspace() for k in opening], bool)
+        codes[ends - sizes] = len(known) + at
+        ids = pa.array(self.pieces(known, " ") + self.pieces(known[opening], "") +
+                       [np.array([end_id], self.kind).tobytes()], pa.binary())
+        odd = pc.equal(pc.binary_length(ids), 0).to_numpy(zero_copy_only=False)
         whole = np.flatnonzero(np.logical_or.reduceat(odd[codes], ends - sizes))
-        codes = np.insert(codes, ends, len(ids) - 1)
-        item = np.dtype(self.kind).itemsize
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // item
-        start = np.cumsum(length) - length
-        flat, n = np.frombuffer(b"".join(ids), self.kind), length[codes]
-        place = np.cumsum(n)
-        data = flat[np.arange(place[-1]) + np.repeat(start[codes] - place + n, n)]
-        per_text = np.diff(np.r_[0, place[ends + np.arange(len(ends))]])
-        offsets = np.r_[0, np.cumsum(per_text) * item].astype(np.int32)
-        out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+        # the pieces of all texts in one buffer, cut after each end id
+        flat = ids.take(pa.array(np.insert(codes, ends, len(ids) - 1)))
+        cuts = np.frombuffer(flat.buffers()[1], np.int32)[np.r_[0, ends + 1 + np.arange(len(ends))]]
+        out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts), flat.buffers()[2]])
         if len(whole):
             again = self._plain(texts.take(pa.array(whole)).to_pylist())
             out = out.to_pylist()
             for k, x in zip(whole, again, strict=True):
-                out[k] = x + ids[-1]
+                out[k] = x + ids[-1].as_py()
             out = pa.array(out, pa.binary())
         return out
 
