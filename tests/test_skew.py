@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import facts as fx
-from tidemark.operators.skew import Heavy, heavy_keys, is_heavy, split_left_join, stripes, stripes_by_pairs
+from tidemark.operators import facts as fx, skew
+from tidemark.operators.skew import Heavy, heavy_keys, is_heavy, packed, split_left_join, stripes, stripes_by_pairs, unpacked
+from tidemark.plans.catalog import j2_heavy_split
 from tidemark.plans.silver_job import silver_milestones
 from tidemark.sources import bronze as br
 
@@ -128,3 +129,28 @@ def test_cells_are_bounded_by_the_pairs_they_make(spark):
     out = split_left_join(left, right, [("k", "r")], heavy)
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(sizes) == 2 * 400 * 400 and max(sizes) <= 8000
+
+
+@pytest.mark.parametrize("left_stripes, right_stripes", [(1, 1), (5, 1), (4, 6)])
+@pytest.mark.parametrize("per_array", [1024, 4])
+def test_packed_join_equals_left_join(spark, monkeypatch, left_stripes, right_stripes, per_array):
+    """Rows without a match, NULL keys, repeated rows and keys with several arrays."""
+    monkeypatch.setattr(skew, "PACKED_ROWS", per_array)
+    rng = random.Random(left_stripes)
+    left = spark.createDataFrame([(rng.choice([1, 1, 2, 3, 9, None]), rng.randrange(5)) for _ in range(150)], "k long, v long")
+    right = spark.createDataFrame([(rng.choice([1, 1, 2, 4]), rng.choice([None, 1, 2]), "x") for _ in range(80)], "r long, w long, z string")
+    on, heavy = [("k", "r")], [Heavy(k, left_stripes, right_stripes) for k in (1, 2, 3, 4)]
+    want = left.join(right, F.col("k") == F.col("r"), "left")
+    got = unpacked(split_left_join(left, right, on, heavy, drop_right_keys=False, pack=True))
+    assert got.select(want.columns).dtypes == want.dtypes and rows(got.select(want.columns)) == rows(want)
+    assert rows(unpacked(split_left_join(left, right, on, [], pack=True))) == rows(want.drop("r"))
+    keys_only = unpacked(split_left_join(left, right.select("r"), on, heavy, pack=True))
+    assert keys_only.columns == left.columns and rows(keys_only) == rows(want.select(*left.columns))
+    sizes = [len(r[0]) for r in packed(right, ["r"]).select("__rows").collect()]
+    assert sum(sizes) == 80 and max(sizes) <= per_array
+
+
+def test_heavy_fan_out_makes_its_pairs_last(spark):
+    """The pairs of j2_heavy_split are made by the last step of the plan, after the union."""
+    plan = j2_heavy_split(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Union")
