@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.milestones import silver
 from tidemark.operators.skew import Heavy
 from tidemark.plans.silver_job import milestone_table, milestone_table_by_union
-from tidemark.operators.facts import po_context, po_orders, po_types, with_shipment_facts
+from tidemark.operators.facts import po_context, po_orders, po_types, stops_of_shipment, tracking_of_shipment, with_shipment_facts
 from tidemark.session import staged, staged_by
 from tidemark.sources import bronze as br
 from tidemark.sources.sinks import replace_table
@@ -106,3 +106,8 @@ def test_pickup_of_the_greatest_order_of_a_po(spark, bronze):
     got = {r.TC_PURCHASE_ORDERS_ID: r.PICKUP_END_DTTM and r.PICKUP_END_DTTM.year
            for r in po_types(po, bronze.export_order, rli).collect()}
     assert got == {"A": None, "B": None, None: 2003}
+
+
+def test_maps_of_a_shipment_take_one_exchange(spark, bronze):
+    for make in (lambda: stops_of_shipment(bronze.stop), lambda: tracking_of_shipment(bronze.tracking_message)):
+        assert _plan(spark, make).count("Exchange hashpartitioning") == 1
